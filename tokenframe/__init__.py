@@ -2,6 +2,7 @@
 
 from .functions import capture_field_names
 from .operators import (
+    dictionary_decode,
     dictionary_encode,
     extract,
     extract_first,
@@ -27,6 +28,7 @@ __all__ = [
     "check_tokenized",
     "class_coverage",
     "class_profile",
+    "dictionary_decode",
     "dictionary_encode",
     "extract",
     "extract_first",

@@ -1,8 +1,9 @@
 from .extract import extract, extract_first, extract_schema
-from .lookup import dictionary_encode
+from .lookup import dictionary_decode, dictionary_encode
 from .tokenize import tokenize, tokenize_schema, tokens_long
 
 __all__ = [
+    "dictionary_decode",
     "dictionary_encode",
     "extract",
     "extract_first",

@@ -14,6 +14,8 @@ each of the others is at most a share of 1/K.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 # A lookup table is broadcast whole when a count shows that it is below both bounds.
@@ -49,23 +51,25 @@ def lookup_elements(
     payload: str,
     out: str,
     content: str | None = None,
+    skip: Callable[[Column], Column] | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Add ``out``: for each element of ``array`` its ``payload`` in ``table``, or NULL.
 
     ``table`` has unique, non-NULL values. ``content`` is a column that determines the
-    array, by default the array itself. ``out`` ends with the last element found; read
-    it with ``get``.
+    array, by default the array itself. Elements for which ``skip`` holds are not looked
+    up. ``out`` ends with the last element found; ``zip_with`` fills up the rest.
     """
     small = fits_broadcast(table, value) if small is None else small
-    nothing = F.lit(None).cast(table.schema[payload].dataType)
+    kind = table.schema[payload].dataType
+    nothing = F.lit(None).cast(kind)
     table = table.select(F.col(value).alias(_VALUE), F.col(payload).alias(_HIT))
     content = content or array
     rows = df.withColumn(_CONTENT, content_hash(F.col(f"`{content}`"), df.schema[content].dataType))
 
-    elements = rows.select(_CONTENT, F.posexplode_outer(array).alias(_POS, _VALUE)).where(
-        F.col(_VALUE).isNotNull()
-    )
+    elements = rows.select(_CONTENT, F.posexplode_outer(array).alias(_POS, _VALUE))
+    wanted = F.col(_VALUE).isNotNull()
+    elements = elements.where(wanted if skip is None else wanted & ~skip(F.col(_VALUE)))
     if small:
         found = elements.join(F.broadcast(table), _VALUE)
     else:
@@ -75,7 +79,8 @@ def lookup_elements(
         F.array_sort(F.collect_set(F.struct(_POS, _HIT))).alias(_HITS)
     )
     joined = _join_back(rows, hits, df.schema)
-    return joined.withColumn(out, _dense(F.col(_HITS), nothing)).drop(_CONTENT, _HITS)
+    dense = F.coalesce(_dense(F.col(_HITS), nothing), F.array().cast(T.ArrayType(kind)))
+    return joined.withColumn(out, dense).drop(_CONTENT, _HITS)
 
 
 def _top(rows: DataFrame, column: str) -> DataFrame:
@@ -151,5 +156,18 @@ def dictionary_encode(
         (F.col("before") + F.col("place") - 1).alias("id"), "value"
     )
     found = lookup_elements(df, array_col, dictionary, "value", "id", "__tf_found")
-    ids = F.transform(array_col, lambda _, i: F.get(F.col("__tf_found"), i))
-    return dictionary, found.withColumn(out or array_col, ids).drop("__tf_found")
+    return dictionary, _replace(found, array_col, out)
+
+
+def dictionary_decode(
+    df: DataFrame, ids_col: str, dictionary: DataFrame, out: str | None = None
+) -> DataFrame:
+    """Values for the ids that ``dictionary_encode`` gave."""
+    found = lookup_elements(df, ids_col, dictionary, "id", "value", "__tf_found")
+    return _replace(found, ids_col, out)
+
+
+def _replace(found: DataFrame, array: str, out: str | None) -> DataFrame:
+    # Zipped, as an array that a lambda's body refers to could be built again per element.
+    values = F.zip_with(array, "__tf_found", lambda _, value: value)
+    return found.withColumn(out or array, values).drop("__tf_found")

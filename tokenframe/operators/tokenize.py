@@ -8,7 +8,7 @@ from ..functions import tokens as tk
 from .lookup import lookup_elements
 
 _TOKENS, _TYPES, _CLASSES = "__tf_tokens", "__tf_types", "__tf_classes"
-_WORDS, _LISTED = "__tf_words", "__tf_listed"
+_LISTED = "__tf_listed"
 _STRINGS = T.ArrayType(T.StringType())
 _IDS = T.ArrayType(T.ShortType())
 
@@ -128,29 +128,15 @@ def tokenize(
 
 
 def _classes_by_join(staged: DataFrame, col: str, model) -> DataFrame:
-    """Classes with the word lists looked up by join.
-
-    Only words are looked up: blanks are half of all tokens and never listed. Words
-    and blanks alternate, so a token's place gives its word's place.
-    """
-    blank = r"^[ \t\n\r\f]"
-    staged = staged.withColumn(_WORDS, F.filter(_TOKENS, lambda token: ~token.rlike(blank)))
+    """Classes with the word lists looked up by join; blanks are not worth a lookup."""
     staged = lookup_elements(
-        staged, _WORDS, model.classes, "entry", "class", _LISTED, content=col
+        staged, _TOKENS, model.classes, "entry", "class", _LISTED, content=col, skip=tk.is_blank
     )
-    starts_blank = F.get(F.col(_TOKENS), F.lit(0)).rlike(blank).cast("int")
-
-    def resolve(pair, i):
-        listed = F.get(F.col(_LISTED), F.floor((i - starts_blank) / 2).cast("int"))
-        word = F.when((i - starts_blank) % 2 == 0, listed)
-        return F.when(tk.is_blank(pair["token"]), pair["token"]).otherwise(
-            F.coalesce(word, pair["kind"])
-        )
-
-    pairs = F.zip_with(
-        _TOKENS, _TYPES, lambda token, kind: F.struct(token.alias("token"), kind.alias("kind"))
+    unlisted = F.zip_with(
+        _TOKENS, _TYPES, lambda token, kind: F.when(tk.is_blank(token), token).otherwise(kind)
     )
-    return staged.withColumn(_CLASSES, F.transform(pairs, resolve)).drop(_WORDS, _LISTED)
+    classes = F.zip_with(unlisted, _LISTED, lambda other, listed: F.coalesce(listed, other))
+    return staged.withColumn(_CLASSES, classes).drop(_LISTED)
 
 
 def tokens_long(df: DataFrame, key: str | list[str], col: str, model) -> DataFrame:
