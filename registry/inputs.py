@@ -7,6 +7,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenframe import Model
+from tokenframe.sources.storage import spread
 
 DEFINITIONS = [
     ("POSTALCODE", r"^[A-Z][0-9][A-Z][ _-]?[0-9][A-Z][0-9]$"),
@@ -42,9 +43,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table to tokenize."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An address per line item, such as ``ATTN 12 SMALL RING AVE N``; some are NULL."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    lines = texts(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     order = F.col("l_orderkey")
     kind = F.array(*[F.lit(word) for word in STREET_TYPES])

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import tokenframe as tf
 from tokenframe.functions import decode_col, encode_col
 from tokenframe.sources.model import DEFINITIONS_SCHEMA
-from tokenframe.streaming import shared_folder
+from tokenframe.sources.storage import new_folder, written_once
 
 from .inputs import (
     ADDRESS,
@@ -21,6 +20,7 @@ from .inputs import (
     addresses,
     model,
     table,
+    texts,
 )
 
 MODES = ("whole", "start", "end", "any")
@@ -31,12 +31,8 @@ def joined(array: str | Column) -> Column:
     return F.array_join(array, "|")
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tokenframe-{name}-{uuid4().hex}"
-
-
 def tokenize_docs(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     found = tf.tokenize(docs, "text", model(spark))
     return found.select(
         "doc_id",
@@ -48,7 +44,7 @@ def tokenize_docs(spark, sf_dir):
 
 
 def tokenize_ids(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     found = tf.tokenize(
         turns,
         "text",
@@ -111,13 +107,13 @@ def type_codes(spark, sf_dir):
 
 
 def tokens_long(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     long = tf.tokens_long(turns, ["conv_id", "turn"], "text", model(spark))
     return long.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def _dictionary(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     tokens = tf.tokenize(
         turns, "text", model(spark), raw_value=False, types=False, classes=False
     ).select("conv_id", "turn", F.col("text.tokens").alias("tokens"))
@@ -137,7 +133,7 @@ def dictionary_table(spark, sf_dir):
 
 def dictionary_roundtrip(spark, sf_dir):
     dictionary, encoded = _dictionary(spark, sf_dir)
-    decoded = tf.dictionary_decode(encoded, "tokens", dictionary)
+    decoded = tf.dictionary_decode(written_once(encoded, "encoded"), "tokens", dictionary)
     return decoded.select("conv_id", "turn", joined("tokens").alias("tokens"))
 
 
@@ -157,7 +153,7 @@ def _benchmark_model(spark, sf_dir):
 
 
 def tokenize_join_lookup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     found = tf.tokenize(
         docs, "text", _benchmark_model(spark, sf_dir), raw_value=False, types=False, lookup="join"
     )
@@ -165,14 +161,14 @@ def tokenize_join_lookup(spark, sf_dir):
 
 
 def extract_join_lookup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     m = _benchmark_model(spark, sf_dir)
     found = tf.extract(docs, "text", m, "<<WORD::BENCH_WORD>> <<NEXT@>>", "any")
     return found.select("doc_id", "text.*")
 
 
 def class_coverage_join_lookup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     return tf.class_coverage(docs, "text", _benchmark_model(spark, sf_dir))
 
 
@@ -195,7 +191,7 @@ def _extract_tokenized(fields: dict[str, bool], mode: str) -> Query:
 
 
 def extract_documents(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     found = tf.extract(docs, "text", model(spark), ARTICLE_PHRASE, "any")
     return found.select("doc_id", "text.*")
 
@@ -211,12 +207,12 @@ def extract_first(spark, sf_dir):
 
 
 def class_profile(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "lang", "text")
     return tf.class_profile(docs, "text", model(spark), by="lang")
 
 
 def type_profile(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("source", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text")
     return tf.class_profile(docs, "text", model(spark), by="source", kind="type")
 
 
@@ -225,17 +221,17 @@ def shape_topk(spark, sf_dir):
 
 
 def shape_topk_turns(spark, sf_dir):
-    turns = table(spark, sf_dir, "conversations").select("text")
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     return tf.shape_profile(turns, "text", model(spark), 20)
 
 
 def unknown_topk(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     return tf.unknown_tokens(docs, "text", model(spark), 50, key="doc_id")
 
 
 def unknown_topk_by_source(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text")
     return tf.unknown_tokens(
         docs, "text", model(spark), 5, key="doc_id", by="source", level="class"
     )
@@ -249,7 +245,7 @@ def extraction_report(spark, sf_dir):
 
 
 def class_coverage(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     return tf.class_coverage(docs, "text", model(spark))
 
 
@@ -259,7 +255,7 @@ def class_coverage_addresses(spark, sf_dir):
 
 def check_tokenized(spark, sf_dir):
     m = model(spark)
-    docs = table(spark, sf_dir, "documents").select("text")
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     return tf.check_tokenized(
         tf.tokenize(docs, "text", m, type_ids=True, class_ids=True), "text", m
     )

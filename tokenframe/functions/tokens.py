@@ -35,7 +35,7 @@ FAST_RULES = {
 }
 RAW_ID = 255
 
-# Characters that rules other than ALPHA and NUM can match at all.
+# Any token that a fast rule matches consists of these.
 FAST_CHARACTERS = r"^[A-Za-z0-9\s'_-]+\z"
 COMMON_BLANKS = (" ", "\n", "  ", "\n\n", "\t", "\r\n")
 
@@ -60,68 +60,67 @@ def tokens_col(text: Column) -> Column:
 def is_blank(token: Column) -> Column:
     """All whitespace in the Unicode sense, or empty.
 
-    Whitespace characters are below ``!`` or outside ASCII, so most words are settled
-    by comparing their first byte.
+    Nearly all blanks are one space. Other whitespace is below ``!`` or outside ASCII,
+    so most words are settled by comparing their first byte.
     """
     maybe = (token < F.lit("!")) | (token >= F.lit("\u0080"))
-    return maybe & token.rlike(BLANK_PATTERN)
+    return (token == " ") | (maybe & token.rlike(BLANK_PATTERN))
 
 
 def definition_type(token: Column, definitions, emit: Emit = F.lit) -> Column:
     """Name of the first definition whose regex is found in the token, else NULL."""
+    return _first_match(token, definitions, emit)
+
+
+def _first_match(token: Column, rules, emit: Emit) -> Column:
     chain = F
-    for name, regex in definitions:
+    for name, regex in rules:
         chain = chain.when(token.rlike(regex), emit(name))
     return chain
 
 
-def _any_definition(definitions) -> str | None:
-    """One regex that finds a match exactly when any definition does.
+def _gate(definitions) -> str | None:
+    """One regex that finds a match wherever a fast rule or a definition does.
 
-    None when a regex uses something that changes meaning inside an alternation.
+    Spares most tokens that match nothing all the single regexes. None when a definition
+    uses something that changes meaning inside an alternation.
     """
-    regexes = [regex for _, regex in definitions]
-    if len(regexes) < 2 or any(re.search(r"\\[1-9kQ]|\(\?[^:=!]", r) for r in regexes):
+    regexes = [FAST_CHARACTERS, *[regex for _, regex in definitions]]
+    if any(re.search(r"\\[1-9kQ]|\(\?[^:=!]", regex) for regex in regexes):
         return None
-    return "|".join(f"(?:{r})" for r in regexes)
+    return "|".join(f"(?:{regex})" for regex in regexes)
 
 
-def type_expr(token: Column, model, emit: Emit = F.lit, raw: Raw = _itself) -> Column:
-    """Type of one token: fast rules, then definitions in order, then the token itself.
+def known_type(token: Column, model, emit: Emit = F.lit, blanks: bool = True) -> Column:
+    """Type of one token by the fast rules, then the definitions in order, else NULL.
 
     The fast rules are checked commonest first. ALPHA (letters only) and NUM (digits
     only) exclude each other and every rule before them, so order does not matter there.
+    Usual blanks, half of all tokens, are answered from the model; with ``blanks=False``
+    the caller has dealt with them.
     """
     on = {name: rule for name, rule in FAST_RULES.items() if name in model.names}
+    nameless = [""]
     chain = F
-    for blank, name in model.blank_types:
-        chain = chain.when(token == blank, raw(token) if name is None else emit(name))
-    for name in ("ALPHA", "NUM"):
-        if name in on:
-            chain = chain.when(token.rlike(on.pop(name)), emit(name))
-    chain = chain.when(token == "", raw(token))
-    if on:
-        fast = F
-        for name, rule in on.items():
-            fast = fast.when(token.rlike(rule), emit(name))
-        possible = token.rlike(FAST_CHARACTERS)
-        slow = _definition_or_raw(token, model, emit, raw)
-        return chain.when(possible, F.coalesce(fast, slow)).otherwise(slow)
-    return chain.otherwise(_definition_or_raw(token, model, emit, raw))
-
-
-def _definition_or_raw(token, model, emit, raw):
-    found = F.coalesce(definition_type(token, model.definitions, emit), raw(token))
-    gate = _any_definition(model.definitions)
-    return found if gate is None else F.when(token.rlike(gate), found).otherwise(raw(token))
+    if blanks:
+        nameless += [blank for blank, name in model.blank_types if name is None]
+        for blank, name in model.blank_types:
+            if name is not None:
+                chain = chain.when(token == blank, emit(name))
+    chain = chain.when(token.isin(nameless), F.lit(None))
+    if "ALPHA" in on:
+        chain = chain.when(token.rlike(on.pop("ALPHA")), emit("ALPHA"))
+    if "NUM" in on:
+        # A digit comes before the colon; most words do not, and skip the regex.
+        chain = chain.when((token < F.lit(":")) & token.rlike(on.pop("NUM")), emit("NUM"))
+    found = _first_match(token, [*on.items(), *model.definitions], emit)
+    gate = _gate(model.definitions)
+    return chain.otherwise(found) if gate is None else chain.when(token.rlike(gate), found)
 
 
-def listed_class(token: Column, model, emit: Emit = F.lit) -> Column:
-    """Class whose word list holds the token exactly, else NULL."""
-    chain = F
-    for name, words in model.entries:
-        chain = chain.when(token.isin(list(words)), emit(name))
-    return F.lit(None) if chain is F else chain
+def type_expr(token: Column, model, emit: Emit = F.lit, raw: Raw = _itself) -> Column:
+    """Type of one token; what has no other type stands for itself."""
+    return F.coalesce(known_type(token, model, emit), raw(token))
 
 
 def is_listed(token: Column, model) -> Column:
@@ -129,6 +128,18 @@ def is_listed(token: Column, model) -> Column:
     return token.isin(words) if words else F.lit(False)
 
 
+def listed_class(token: Column, model, emit: Emit = F.lit) -> Column:
+    """Class whose word list holds the token exactly, else NULL."""
+    lists = [(name, list(words)) for name, words in model.entries if words]
+    if not lists:
+        return F.lit(None)
+    chain = F
+    for name, words in lists:
+        chain = chain.when(token.isin(words), emit(name))
+    # Most tokens are in no list: one probe tells.
+    return chain if len(lists) == 1 else F.when(is_listed(token, model), chain)
+
+
 def class_expr(
     token: Column,
     model,
@@ -138,14 +149,12 @@ def class_expr(
     blank: Raw | None = None,
 ) -> Column:
     """Class of one token: itself if blank, else its word list, else its type."""
-    kind = type_expr(token, model, emit, raw) if type_of is None else type_of
-    chain = F.when(is_blank(token), (blank or raw)(token))
-    if len(model.entries) > 1:
-        chain = chain.when(is_listed(token, model), listed_class(token, model, emit))
+    listed = listed_class(token, model, emit)
+    if type_of is None:
+        named = F.coalesce(listed, known_type(token, model, emit, blanks=False), raw(token))
     else:
-        for name, words in model.entries:
-            chain = chain.when(token.isin(list(words)), emit(name))
-    return chain.otherwise(kind)
+        named = F.coalesce(listed, type_of)
+    return F.when(is_blank(token), (blank or raw)(token)).otherwise(named)
 
 
 def value_id(value: Column, vocab) -> Column:

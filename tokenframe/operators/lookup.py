@@ -18,6 +18,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..sources.storage import written_once
+
 # A lookup table is broadcast whole when a count shows that it is below both bounds.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -141,7 +143,8 @@ def dictionary_encode(
 
     Gives ``(dictionary(id, value), encoded)``. Ids are dense from 0 and depend on the
     values only; they follow hash buckets, not the values' order, so that no task sees
-    the whole dictionary. NULL elements stay NULL.
+    the whole dictionary. NULL elements stay NULL. The dictionary is written once, to the
+    shared folder, as both results need it.
     """
     values = df.select(F.explode_outer(array_col).alias("value")).where("value IS NOT NULL")
     bucketed = values.distinct().withColumn(
@@ -152,8 +155,11 @@ def dictionary_encode(
     offsets = counts.select("bucket", before.alias("before"))
     place = F.row_number().over(Window.partitionBy("bucket").orderBy("value"))
     numbered = bucketed.withColumn("place", place)
-    dictionary = numbered.join(F.broadcast(offsets), "bucket").select(
-        (F.col("before") + F.col("place") - 1).alias("id"), "value"
+    dictionary = written_once(
+        numbered.join(F.broadcast(offsets), "bucket").select(
+            (F.col("before") + F.col("place") - 1).alias("id"), "value"
+        ),
+        "dictionary",
     )
     found = lookup_elements(df, array_col, dictionary, "value", "id", "__tf_found")
     return dictionary, _replace(found, array_col, out)

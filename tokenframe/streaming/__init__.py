@@ -1,3 +1,3 @@
-from .jobs import shared_folder, write_stream
+from .jobs import write_stream
 
-__all__ = ["shared_folder", "write_stream"]
+__all__ = ["write_stream"]

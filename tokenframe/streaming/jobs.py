@@ -7,18 +7,10 @@ checkpoint that lets it go on after a failure.
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all nodes see: the cluster's, or a new temporary one where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or tempfile.mkdtemp(prefix="tokenframe-")
-
-
 def write_stream(
     stream: DataFrame,
     path: str,
