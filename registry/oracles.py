@@ -342,6 +342,7 @@ WITH v AS (SELECT DISTINCT unnest(tokens) AS t FROM ({TURN_TOKENS}))
 SELECT count(*) AS n_values, 0::BIGINT AS first_id, count(*) - 1 AS last_id, count(*) AS n_ids FROM v
 """,
     "dictionary_roundtrip": f"SELECT conv_id, turn, {joined('tokens')} AS tokens FROM ({TURN_TOKENS})",
+    "tokenize_table_lookup": join_lookup(),
     "tokenize_join_lookup": join_lookup(),
     **{f"extract_{mode}": extract_addresses(mode) for mode in ADDRESS_REGEX},
     "extract_from_struct": extract_addresses("any"),

@@ -145,24 +145,27 @@ def _benchmark_words(spark, sf_dir):
     return entries.where(F.length("entry") > 3)
 
 
-def _benchmark_model(spark, sf_dir):
+def _benchmark_model(spark, sf_dir, force_join=False):
     definitions = spark.createDataFrame(
         [(i, name, regex) for i, (name, regex) in enumerate(DEFINITIONS)], DEFINITIONS_SCHEMA
     )
-    return tf.Model.from_tables(definitions, _benchmark_words(spark, sf_dir), max_inline_entries=10)
+    words = _benchmark_words(spark, sf_dir)
+    return tf.Model.from_tables(definitions, words, max_inline_entries=10, force_join=force_join)
 
 
-def tokenize_join_lookup(spark, sf_dir):
-    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
-    found = tf.tokenize(
-        docs, "text", _benchmark_model(spark, sf_dir), raw_value=False, types=False, lookup="join"
-    )
-    return found.select("doc_id", joined("text.classes").alias("classes"))
+def _tokenize_with_lists(force_join: bool) -> Query:
+    def query(spark, sf_dir):
+        docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+        m = _benchmark_model(spark, sf_dir, force_join)
+        found = tf.tokenize(docs, "text", m, raw_value=False, types=False)
+        return found.select("doc_id", joined("text.classes").alias("classes"))
+
+    return query
 
 
 def extract_join_lookup(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "text")
-    m = _benchmark_model(spark, sf_dir)
+    m = _benchmark_model(spark, sf_dir, force_join=True)
     found = tf.extract(docs, "text", m, "<<WORD::BENCH_WORD>> <<NEXT@>>", "any")
     return found.select("doc_id", "text.*")
 
@@ -371,7 +374,8 @@ QUERIES: dict[str, Query] = {
     "tokens_long": tokens_long,
     "dictionary_table": dictionary_table,
     "dictionary_roundtrip": dictionary_roundtrip,
-    "tokenize_join_lookup": tokenize_join_lookup,
+    "tokenize_table_lookup": _tokenize_with_lists(force_join=False),
+    "tokenize_join_lookup": _tokenize_with_lists(force_join=True),
     **{f"extract_{mode}": _extract(mode) for mode in MODES},
     "extract_from_struct": _extract_tokenized({}, "any"),
     "extract_from_ids": _extract_tokenized(

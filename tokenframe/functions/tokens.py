@@ -124,12 +124,17 @@ def type_expr(token: Column, model, emit: Emit = F.lit, raw: Raw = _itself) -> C
 
 
 def is_listed(token: Column, model) -> Column:
+    if model.entries is None:
+        return model.word_table.lookup(token).isNotNull()
     words = [word for _, listed in model.entries for word in listed]
     return token.isin(words) if words else F.lit(False)
 
 
 def listed_class(token: Column, model, emit: Emit = F.lit) -> Column:
     """Class whose word list holds the token exactly, else NULL."""
+    if model.entries is None:
+        found = model.word_table.lookup(token)
+        return found if emit is F.lit else _emitted(found, model.class_names, emit)
     lists = [(name, list(words)) for name, words in model.entries if words]
     if not lists:
         return F.lit(None)
@@ -140,6 +145,12 @@ def listed_class(token: Column, model, emit: Emit = F.lit) -> Column:
     return chain if len(lists) == 1 else F.when(is_listed(token, model), chain)
 
 
+def _emitted(name: Column, names, emit: Emit) -> Column:
+    """Looked up by place, so that the name itself is worked out once."""
+    values = F.array(*[emit(known) for known in names])
+    return F.get(values, (F.array_position(F.array(*map(F.lit, names)), name) - 1).cast("int"))
+
+
 def class_expr(
     token: Column,
     model,

@@ -94,7 +94,7 @@ def with_shape(df: DataFrame, col: str, model) -> DataFrame:
     if isinstance(kind, T.StructType):
         return _shape_from_struct(df, col, kind, model)
     text = string_column(df, col)
-    if model.entries is None:
+    if not model.inline:
         staged = tokenize(df, col, model, out=_STRUCT, raw_value=False, types=False)
         return (
             staged.withColumn(TOKENS, F.col(f"{_STRUCT}.tokens"))

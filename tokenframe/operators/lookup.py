@@ -1,7 +1,8 @@
-"""Look up every element of an array column in a table, by join.
+"""Look up every element of an array column in a table.
 
-Literals in the plan are the first choice everywhere else; this is for tables too long
-for that. Whole results under skew, without a limit on what may repeat:
+A table that a count shows to be small goes into the plan as a literal, and each row
+looks up its own elements. A larger one is joined. The join gives whole results under
+skew, without a limit on what may repeat:
 
 * Rows are told apart by a hash of their content, and copies of one content collapse
   before anything else is shuffled by it. Contents with very many copies are spread
@@ -18,11 +19,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..functions.literal_table import LiteralTable
 from ..sources.storage import written_once
 
-# A lookup table is broadcast whole when a count shows that it is below both bounds.
-BROADCAST_ROWS = 200_000
-BROADCAST_BYTES = 32 * 1024 * 1024
 # Top K of elements and of contents, and the salts for rows of a frequent content.
 FREQUENT = 2_000
 SALTS = 256
@@ -31,68 +30,62 @@ DICTIONARY_BUCKETS = 1_024
 
 _CONTENT, _SALT, _HITS = "__tf_content", "__tf_salt", "__tf_hits"
 _POS, _VALUE, _HIT = "__tf_pos", "__tf_value", "__tf_hit"
-_FREQUENT = "__tf_frequent"
+_FREQUENT, _FOUND = "__tf_frequent", "__tf_found"
+_TEXT, _COPIES = "__tf_text", "__tf_copies"
 
 
-def fits_broadcast(table: DataFrame, value: str) -> bool:
-    size = table.agg(F.count("*").alias("n"), F.sum(F.octet_length(value)).alias("b")).first()
-    return size.n <= BROADCAST_ROWS and (size.b or 0) <= BROADCAST_BYTES
-
-
-def content_hash(value: Column, kind: T.DataType) -> Column:
-    """Tells contents apart. JSON keeps NULLs and the borders between elements."""
-    text = value if isinstance(kind, T.StringType) else F.to_json(value)
-    return F.coalesce(F.sha2(text, 256), F.lit(""))
-
-
-def lookup_elements(
+def lookup_by_join(
     df: DataFrame,
-    array: str,
+    col: str,
+    elements_of: Callable[[Column], Column],
     table: DataFrame,
     value: str,
     payload: str,
     out: str,
-    content: str | None = None,
     skip: Callable[[Column], Column] | None = None,
-    small: bool | None = None,
 ) -> DataFrame:
-    """Add ``out``: for each element of ``array`` its ``payload`` in ``table``, or NULL.
+    """Add ``out``: for each element of ``elements_of(col)`` its ``payload``, or NULL.
 
-    ``table`` has unique, non-NULL values. ``content`` is a column that determines the
-    array, by default the array itself. Elements for which ``skip`` holds are not looked
-    up. ``out`` ends with the last element found; ``zip_with`` fills up the rest.
+    ``table`` has unique, non-NULL values. Elements for which ``skip`` holds are not
+    looked up. ``out`` ends with the last element found; ``zip_with`` fills up the rest.
     """
-    small = fits_broadcast(table, value) if small is None else small
     kind = table.schema[payload].dataType
-    nothing = F.lit(None).cast(kind)
     table = table.select(F.col(value).alias(_VALUE), F.col(payload).alias(_HIT))
-    content = content or array
-    rows = df.withColumn(_CONTENT, content_hash(F.col(f"`{content}`"), df.schema[content].dataType))
-
-    elements = rows.select(_CONTENT, F.posexplode_outer(array).alias(_POS, _VALUE))
+    content = F.col(f"`{col}`")
+    # One row per content, before anything is exploded. The condition keeps the count in
+    # every plan that reads this, so that they can share one shuffle.
+    contents = (
+        df.groupBy(content.alias(_TEXT)).agg(F.count("*").alias(_COPIES)).where(F.col(_COPIES) > 0)
+    ).withColumn(_CONTENT, _content_hash(F.col(_TEXT), df.schema[col].dataType))
+
+    elements = contents.select(
+        _CONTENT, F.posexplode_outer(elements_of(F.col(_TEXT))).alias(_POS, _VALUE)
+    )
     wanted = F.col(_VALUE).isNotNull()
     elements = elements.where(wanted if skip is None else wanted & ~skip(F.col(_VALUE)))
-    if small:
-        found = elements.join(F.broadcast(table), _VALUE)
-    else:
-        found = _join_large(elements.distinct(), table)
-    # A set, as copies of one content bring the same pairs: bounded by one row's length.
-    hits = found.groupBy(_CONTENT).agg(
-        F.array_sort(F.collect_set(F.struct(_POS, _HIT))).alias(_HITS)
+    # Bounded by the length of one row's array.
+    hits = (
+        _join_elements(elements, table)
+        .groupBy(_CONTENT)
+        .agg(F.array_sort(F.collect_list(F.struct(_POS, _HIT))).alias(_HITS))
     )
-    joined = _join_back(rows, hits, df.schema)
-    dense = F.coalesce(_dense(F.col(_HITS), nothing), F.array().cast(T.ArrayType(kind)))
+    frequent = contents.orderBy(F.desc(_COPIES), _CONTENT).limit(FREQUENT).select(_CONTENT)
+    rows = df.withColumn(_CONTENT, _content_hash(content, df.schema[col].dataType))
+    joined = _join_back(rows, hits, frequent, df.schema)
+    dense = F.coalesce(_dense(F.col(_HITS), kind), F.array().cast(T.ArrayType(kind)))
     return joined.withColumn(out, dense).drop(_CONTENT, _HITS)
 
 
-def _top(rows: DataFrame, column: str) -> DataFrame:
-    counts = rows.groupBy(column).count()
-    return counts.orderBy(F.desc("count"), column).limit(FREQUENT).select(column)
+def _content_hash(value: Column, kind: T.DataType) -> Column:
+    """Tells contents apart. JSON keeps NULLs and the borders between elements."""
+    text = value if isinstance(kind, T.StringType) else F.to_json(value)
+    return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b""))
 
 
-def _join_large(elements: DataFrame, table: DataFrame) -> DataFrame:
-    known = _top(elements, _VALUE).join(table, _VALUE, "left")
-    known = known.select(_VALUE, F.col(_HIT).alias("__tf_known"), F.lit(True).alias(_FREQUENT))
+def _join_elements(elements: DataFrame, table: DataFrame) -> DataFrame:
+    counts = elements.groupBy(_VALUE).count()
+    top = counts.orderBy(F.desc("count"), _VALUE).limit(FREQUENT)
+    known = top.join(table, _VALUE, "left").select(_VALUE, F.col(_HIT).alias("__tf_known"), F.lit(True).alias(_FREQUENT))
     # What the broadcast has settled gets a salt that no table row has, so the second
     # join spreads it out instead of sending each frequent element to one task.
     spread = F.pmod(F.xxhash64(_CONTENT, _POS), F.lit(SALTS)) + 1
@@ -108,8 +101,10 @@ def _join_large(elements: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
-def _join_back(rows: DataFrame, hits: DataFrame, schema: T.StructType) -> DataFrame:
-    frequent = F.broadcast(_top(rows, _CONTENT).withColumn(_FREQUENT, F.lit(True)))
+def _join_back(
+    rows: DataFrame, hits: DataFrame, frequent: DataFrame, schema: T.StructType
+) -> DataFrame:
+    frequent = F.broadcast(frequent.withColumn(_FREQUENT, F.lit(True)))
     # The salt comes from the row's own values, so a task that runs again repeats it.
     own = [F.col(f"`{f.name}`") for f in schema if isinstance(f.dataType, T.AtomicType)]
     spread = F.pmod(F.xxhash64(*own), F.lit(SALTS)) if own else F.lit(0).cast("bigint")
@@ -126,8 +121,9 @@ def _join_back(rows: DataFrame, hits: DataFrame, schema: T.StructType) -> DataFr
     return left.join(right, [_CONTENT, _SALT], "left").drop(_SALT, _FREQUENT)
 
 
-def _dense(hits: Column, nothing: Column) -> Column:
+def _dense(hits: Column, kind: T.DataType) -> Column:
     """Array with each hit at its position and NULL in the gaps."""
+    nothing = F.lit(None).cast(kind)
 
     def step(hit, i):
         before = F.coalesce(F.get(hits, i - 1)[_POS], F.lit(-1))
@@ -136,6 +132,18 @@ def _dense(hits: Column, nothing: Column) -> Column:
     return F.flatten(F.transform(hits, step))
 
 
+def _replace(
+    df: DataFrame, array: str, table: DataFrame, value: str, payload: str, out: str | None
+) -> DataFrame:
+    literal = LiteralTable.build(table, value, payload)
+    if literal is not None:
+        return df.withColumn(out or array, F.transform(array, literal.lookup))
+    found = lookup_by_join(df, array, lambda items: items, table, value, payload, _FOUND)
+    # Zipped, as an array that a lambda's body refers to could be built again per element.
+    values = F.zip_with(array, _FOUND, lambda _, hit: hit)
+    return found.withColumn(out or array, values).drop(_FOUND)
+
+
 def dictionary_encode(
     df: DataFrame, array_col: str, out: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -161,19 +169,11 @@ def dictionary_encode(
         ),
         "dictionary",
     )
-    found = lookup_elements(df, array_col, dictionary, "value", "id", "__tf_found")
-    return dictionary, _replace(found, array_col, out)
+    return dictionary, _replace(df, array_col, dictionary, "value", "id", out)
 
 
 def dictionary_decode(
     df: DataFrame, ids_col: str, dictionary: DataFrame, out: str | None = None
 ) -> DataFrame:
     """Values for the ids that ``dictionary_encode`` gave."""
-    found = lookup_elements(df, ids_col, dictionary, "id", "value", "__tf_found")
-    return _replace(found, ids_col, out)
-
-
-def _replace(found: DataFrame, array: str, out: str | None) -> DataFrame:
-    # Zipped, as an array that a lambda's body refers to could be built again per element.
-    values = F.zip_with(array, "__tf_found", lambda _, value: value)
-    return found.withColumn(out or array, values).drop("__tf_found")
+    return _replace(df, ids_col, dictionary, "id", "value", out)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import tokens as tk
-from .lookup import lookup_elements
+from .lookup import lookup_by_join
 
 _TOKENS, _TYPES, _CLASSES = "__tf_tokens", "__tf_types", "__tf_classes"
 _LISTED = "__tf_listed"
@@ -74,10 +74,10 @@ def tokenize(
         raw_value, types, classes, type_ids, class_ids, token_output, type_output, class_output
     )
     text = string_column(df, col)
-    lookup = lookup or ("join" if model.entries is None else "inline")
+    lookup = lookup or ("inline" if model.inline else "join")
     if lookup not in ("inline", "join"):
         raise ValueError(f"unknown lookup {lookup!r}, expected inline or join")
-    if lookup == "inline" and model.entries is None:
+    if lookup == "inline" and not model.inline:
         raise ValueError("the model's word lists are too long for lookup='inline'")
 
     # One staged column per array: used several times below, computed once per row.
@@ -129,8 +129,8 @@ def tokenize(
 
 def _classes_by_join(staged: DataFrame, col: str, model) -> DataFrame:
     """Classes with the word lists looked up by join; blanks are not worth a lookup."""
-    staged = lookup_elements(
-        staged, _TOKENS, model.classes, "entry", "class", _LISTED, content=col, skip=tk.is_blank
+    staged = lookup_by_join(
+        staged, col, tk.tokens_col, model.classes, "entry", "class", _LISTED, skip=tk.is_blank
     )
     unlisted = F.zip_with(
         _TOKENS, _TYPES, lambda token, kind: F.when(tk.is_blank(token), token).otherwise(kind)
@@ -145,7 +145,7 @@ def tokens_long(df: DataFrame, key: str | list[str], col: str, model) -> DataFra
     A row whose text is NULL or empty stays as one row with NULLs.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if model.entries is None:
+    if not model.inline:
         return _tokens_long_from_arrays(df, keys, col, model)
     # Only keys and tokens go through the explode; types are worked out after it, where
     # they are part of generated code. The outer form also keeps Spark from adding a

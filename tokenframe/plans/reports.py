@@ -43,7 +43,7 @@ def class_profile(
     vocab = model.class_values if kind == "class" else model.type_values
     emit, raw = tk.emit_id(vocab)
     blank = F.lit(_BLANK_ID).cast("smallint")
-    if model.entries is None and kind == "class":
+    if not model.inline and kind == "class":
         tokens = _arrays(df, col, model, *keys)
         ids = F.transform(
             f"{TOKENS}.classes", lambda c: F.when(tk.is_blank(c), blank).otherwise(tk.value_id(c, vocab))
@@ -122,7 +122,7 @@ def unknown_tokens(
     keys = _names(by)
     keep = list(dict.fromkeys([*keys, *_names(key)]))
     vocab = model.type_values if level == "type" else model.class_values
-    if model.entries is None and level == "class":
+    if not model.inline and level == "class":
         arrays = _arrays(df, col, model, *keep)
         pairs = F.arrays_zip(f"{TOKENS}.tokens", f"{TOKENS}.classes")
         unknown = F.transform(
@@ -213,7 +213,7 @@ def class_coverage(df: DataFrame, col: str, model) -> DataFrame:
     ``used`` or ``unused``.
     """
     tokens = tk.tokens_col(string_column(df, col))
-    if model.entries is None:
+    if not model.inline:
         wanted = F.filter(tokens, lambda token: ~tk.is_blank(token))
     else:
         wanted = F.filter(tokens, lambda token: tk.is_listed(token, model))

@@ -8,13 +8,14 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ..functions.literal_table import LiteralTable
 from ..functions.tokens import COMMON_BLANKS, definition_type
 from .model_files import MAX_VOCABULARY, read_classes, read_definitions
 
 DEFINITIONS_SCHEMA = "ord int, name string, regex string"
 CLASSES_SCHEMA = "class string, entry string"
-# Longer word lists would bloat the plan as literals; they are looked up by join.
-MAX_INLINE_ENTRIES = 10_000
+# Longer word lists become a literal table, and beyond its bounds are looked up by join.
+MAX_INLINE_ENTRIES = 2_000
 
 
 def vocabulary(definitions: DataFrame, classes: DataFrame) -> DataFrame:
@@ -84,13 +85,14 @@ def validate_model(definitions: DataFrame, classes: DataFrame) -> DataFrame:
 class Model:
     """What a plan needs to know: names, regexes and word lists, as plain values.
 
-    ``entries`` is ``None`` when the word lists are too long for a plan; they then
-    stay in ``classes`` and are looked up by join.
+    Short word lists are in ``entries``, longer ones in ``word_table``. When they are too
+    long for a plan both are None, and ``classes`` is looked up by join.
     """
 
     definitions: tuple[tuple[str, str], ...]
     class_names: tuple[str, ...]
     entries: tuple[tuple[str, tuple[str, ...]], ...] | None
+    word_table: LiteralTable | None
     classes: DataFrame
     blank_types: tuple[tuple[str, str | None], ...]
 
@@ -100,8 +102,13 @@ class Model:
         definitions: DataFrame,
         classes: DataFrame,
         max_inline_entries: int = MAX_INLINE_ENTRIES,
+        force_join: bool = False,
     ) -> Model:
-        """Check both tables and take the snapshot. Reads the model, no user data."""
+        """Check both tables and take the snapshot. Reads the model, no user data.
+
+        Lists above ``max_inline_entries`` are not written out in the plan; with
+        ``force_join`` they are looked up by join even if a literal table could hold them.
+        """
         bad = validate_model(definitions, classes).limit(20).collect()
         if bad:
             listed = "; ".join(f"{row.problem}: {row.detail}" for row in bad)
@@ -116,16 +123,19 @@ class Model:
         class_names = tuple(
             sorted(row[0] for row in classes.select("class").distinct().limit(MAX_VOCABULARY + 1).collect())
         )
-        entries = None
+        entries = word_table = None
         if classes.limit(max_inline_entries + 1).count() <= max_inline_entries:
             lists: dict[str, list[str]] = {name: [] for name in class_names}
             for row in classes.collect():
                 lists[row[0]].append(row[1])
             entries = tuple((name, tuple(sorted(words))) for name, words in lists.items())
+        elif not force_join:
+            word_table = LiteralTable.build(classes, "entry", "class")
         return cls(
             definitions=ordered,
             class_names=class_names,
             entries=entries,
+            word_table=word_table,
             classes=classes,
             blank_types=_types_of_blanks(definitions.sparkSession, ordered),
         )
@@ -159,6 +169,11 @@ class Model:
             **options,
         )
 
+    @property
+    def inline(self) -> bool:
+        """Do rows find their classes without a join?"""
+        return self.entries is not None or self.word_table is not None
+
     @cached_property
     def names(self) -> frozenset[str]:
         return frozenset(name for name, _ in self.definitions)
