@@ -33,3 +33,29 @@ def spark():
     session = new_session()
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="session")
+def model(spark):
+    from registry.inputs import model
+
+    return model(spark)
+
+
+@pytest.fixture(scope="session")
+def join_model(spark):
+    """The same word lists, too long for a plan as far as the model is told."""
+    from registry.inputs import DEFINITIONS, WORD_LISTS
+    from tokenframe import Model
+
+    return Model.from_values(
+        spark, DEFINITIONS, WORD_LISTS, max_inline_entries=0, force_join=True
+    )
+
+
+@pytest.fixture(scope="session")
+def table_model(spark):
+    from registry.inputs import DEFINITIONS, WORD_LISTS
+    from tokenframe import Model
+
+    return Model.from_values(spark, DEFINITIONS, WORD_LISTS, max_inline_entries=0)

@@ -8,7 +8,7 @@ from ..functions import tokens as tk
 from .lookup import lookup_by_join
 
 _TOKENS, _TYPES, _CLASSES = "__tf_tokens", "__tf_types", "__tf_classes"
-_LISTED = "__tf_listed"
+_LISTED, _STRUCT = "__tf_listed", "__tf_struct"
 _STRINGS = T.ArrayType(T.StringType())
 _IDS = T.ArrayType(T.ShortType())
 
@@ -159,8 +159,8 @@ def tokens_long(df: DataFrame, key: str | list[str], col: str, model) -> DataFra
 
 
 def _tokens_long_from_arrays(df, keys, col, model):
-    rows = tokenize(df.select(*keys, col), col, model, out=_TOKENS, raw_value=False)
-    zipped = F.arrays_zip(f"{_TOKENS}.tokens", f"{_TOKENS}.types", f"{_TOKENS}.classes")
+    rows = tokenize(df.select(*keys, col), col, model, out=_STRUCT, raw_value=False)
+    zipped = F.arrays_zip(f"{_STRUCT}.tokens", f"{_STRUCT}.types", f"{_STRUCT}.classes")
     long = rows.select(*keys, F.posexplode_outer(zipped).alias("pos", "t"))
     return long.select(
         *keys,

@@ -17,7 +17,7 @@ from ..operators.tokenize import string_column, tokenize
 
 BLANK_LABEL = "(blank)"
 RAW_LABEL = "(raw)"
-_IDS, _ID, _BLANK_ID = "__tf_ids", "__tf_id", -1
+_STRUCT, _ID, _BLANK_ID = "__tf_struct", "__tf_id", -1
 
 
 def _names(by) -> list[str]:
@@ -26,7 +26,7 @@ def _names(by) -> list[str]:
 
 def _arrays(df: DataFrame, col: str, model, *keep: str) -> DataFrame:
     """Token arrays for models whose word lists are looked up by join."""
-    return tokenize(df.select(*keep, col), col, model, out=TOKENS, raw_value=False)
+    return tokenize(df.select(*keep, col), col, model, out=_STRUCT, raw_value=False)
 
 
 def class_profile(
@@ -46,7 +46,7 @@ def class_profile(
     if not model.inline and kind == "class":
         tokens = _arrays(df, col, model, *keys)
         ids = F.transform(
-            f"{TOKENS}.classes", lambda c: F.when(tk.is_blank(c), blank).otherwise(tk.value_id(c, vocab))
+            f"{_STRUCT}.classes", lambda c: F.when(tk.is_blank(c), blank).otherwise(tk.value_id(c, vocab))
         )
     else:
         tokens = df.select(*keys, tk.tokens_col(string_column(df, col)).alias(TOKENS))
@@ -124,7 +124,7 @@ def unknown_tokens(
     vocab = model.type_values if level == "type" else model.class_values
     if not model.inline and level == "class":
         arrays = _arrays(df, col, model, *keep)
-        pairs = F.arrays_zip(f"{TOKENS}.tokens", f"{TOKENS}.classes")
+        pairs = F.arrays_zip(f"{_STRUCT}.tokens", f"{_STRUCT}.classes")
         unknown = F.transform(
             F.filter(
                 pairs,
