@@ -7,7 +7,8 @@ groups tile the match without gaps; the groups' lengths then cut the token array
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -15,8 +16,7 @@ from ..functions import tokens as tk
 from ..functions.patterns import COMPLEMENT, ShapePattern, capture_field_names, shape_pattern
 from .tokenize import string_column, tokenize
 
-TOKENS, RAW, SHAPE = "__tf_tokens", "__tf_raw", "__tf_shape"
-_PARTS, _STRUCT = "__tf_parts", "__tf_struct"
+_STRUCT = "__tf_struct"
 _BORDER = "|"  # no shape character
 
 
@@ -41,11 +41,20 @@ def extract(
     the captures are NULL and the complement is the whole text; a NULL row gives NULLs.
     """
     compiled = shape_pattern(pattern, model.class_values, mode)
-    staged = with_shape(df, col, model).withColumn(_PARTS, match_parts(compiled))
-    values = captures(compiled, F.col(_PARTS))
-    fields = [values[name].alias(name) for name, _ in compiled.fields]
-    fields.append(leftover(F.col(_PARTS)).alias(COMPLEMENT))
-    return staged.withColumn(out or col, F.struct(*fields)).drop(TOKENS, RAW, SHAPE, _PARTS)
+    source = shape_source(df, col, model)
+
+    def fields(tokens: Column, parts: Column) -> Column:
+        values = captures(compiled, tokens, parts)
+        rest = leftover(source.raw, tokens, parts).alias(COMPLEMENT)
+        return F.struct(*[values[name].alias(name) for name, _ in compiled.fields], rest)
+
+    found = let(
+        source.tokens,
+        lambda tokens: let(
+            match_parts(compiled, source.shape(tokens)), lambda parts: fields(tokens, parts)
+        ),
+    )
+    return source.df.withColumn(out or col, found).drop(_STRUCT)
 
 
 def extract_first(
@@ -68,48 +77,75 @@ def extract_first(
     if len({n.lower() for n in names} | {"pattern"}) <= len(names):
         raise ValueError(f"field names collide (case is ignored, 'pattern' is taken): {names}")
 
-    staged = with_shape(df, col, model)
-    parts = [f"{_PARTS}{i}" for i in range(len(rules))]
-    for column, one in zip(parts, compiled, strict=True):
-        staged = staged.withColumn(column, match_parts(one))
-    by_field = [captures(c, F.col(p)) for p, c in zip(parts, compiled, strict=True)]
+    source = shape_source(df, col, model)
+    nothing = F.lit(None).cast("string")
 
-    def first(values: Iterable[Column], default: Column) -> Column:
-        chain = F
-        for column, value in zip(parts, values, strict=True):
-            chain = chain.when(is_match(F.col(column)), value)
-        return chain.otherwise(default)
+    def struct(rule: str | None, values: dict[str, Column], rest: Column) -> Column:
+        return F.struct(
+            (nothing if rule is None else F.lit(rule)).alias("pattern"),
+            *[values.get(name, nothing).alias(name) for name in names],
+            rest.alias(COMPLEMENT),
+        )
 
-    nothing = F.lit(None).cast("string")
-    fields = [first([F.lit(name) for name, _, _ in rules], nothing).alias("pattern")]
-    for name in names:
-        fields.append(first([f.get(name, nothing) for f in by_field], nothing).alias(name))
-    fields.append(first([leftover(F.col(p)) for p in parts], F.col(RAW)).alias(COMPLEMENT))
-    return staged.withColumn(out or col, F.struct(*fields)).drop(TOKENS, RAW, SHAPE, *parts)
+    def attempt(i: int, tokens: Column, shape: Column) -> Column:
+        """The i-th rule's fields where it matches, else what the later rules give."""
+        if i == len(rules):
+            return struct(None, {}, source.raw)
+
+        def outcome(parts: Column) -> Column:
+            values = captures(compiled[i], tokens, parts)
+            hit = struct(rules[i][0], values, leftover(source.raw, tokens, parts))
+            return F.when(is_match(parts), hit).otherwise(attempt(i + 1, tokens, shape))
+
+        return let(match_parts(compiled[i], shape), outcome)
+
+    found = let(
+        source.tokens,
+        lambda tokens: let(source.shape(tokens), lambda shape: attempt(0, tokens, shape)),
+    )
+    return source.df.withColumn(out or col, found).drop(_STRUCT)
 
 
-def with_shape(df: DataFrame, col: str, model) -> DataFrame:
-    """Add the token array, the text and the shape of each row."""
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once, however often the body uses it.
+
+    Spark copies a column's expression into each filter on it that it pushes down. With
+    the steps of an extraction as columns of their own, a filter on a field would repeat
+    each step as often as the next one mentions it, so the struct is one expression.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+@dataclass(frozen=True)
+class ShapeSource:
+    """Where texts, token arrays and shapes come from; ``shape`` takes the token array."""
+
+    df: DataFrame
+    raw: Column
+    tokens: Column
+    shape: Callable[[Column], Column]
+
+
+def shape_source(df: DataFrame, col: str, model) -> ShapeSource:
     kind = df.schema[col].dataType
     if isinstance(kind, T.StructType):
         return _shape_from_struct(df, col, kind, model)
     text = string_column(df, col)
     if not model.inline:
         staged = tokenize(df, col, model, out=_STRUCT, raw_value=False, types=False)
-        return (
-            staged.withColumn(TOKENS, F.col(f"{_STRUCT}.tokens"))
-            .withColumn(RAW, text)
-            .withColumn(SHAPE, tk.shape_of_classes(F.col(f"{_STRUCT}.classes"), model))
-            .drop(_STRUCT)
+        classes = F.col(f"{_STRUCT}.classes")
+        return ShapeSource(
+            staged,
+            text,
+            F.col(f"{_STRUCT}.tokens"),
+            lambda _: tk.shape_of_classes(classes, model),
         )
-    return (
-        df.withColumn(TOKENS, tk.tokens_col(text))
-        .withColumn(RAW, text)
-        .withColumn(SHAPE, tk.shape_of_tokens(F.col(TOKENS), model))
+    return ShapeSource(
+        df, text, tk.tokens_col(text), lambda tokens: tk.shape_of_tokens(tokens, model)
     )
 
 
-def _shape_from_struct(df: DataFrame, col: str, kind: T.StructType, model) -> DataFrame:
+def _shape_from_struct(df: DataFrame, col: str, kind: T.StructType, model) -> ShapeSource:
     """Shape of a tokenized struct. Errors sit inside the shape, as every output needs it."""
     _check_struct(col, kind)
     have = set(kind.names)
@@ -145,11 +181,7 @@ def _shape_from_struct(df: DataFrame, col: str, kind: T.StructType, model) -> Da
         )
         chain = chain.when(usable, shape)
     chain = chain.otherwise(problem("inconsistent NULLs across fields"))
-    return (
-        df.withColumn(TOKENS, tokens)
-        .withColumn(RAW, F.coalesce(raw, F.array_join(tokens, "")))
-        .withColumn(SHAPE, chain)
-    )
+    return ShapeSource(df, F.coalesce(raw, F.array_join(tokens, "")), tokens, lambda _: chain)
 
 
 def _check_struct(col: str, kind: T.StructType) -> None:
@@ -172,10 +204,10 @@ def _check_struct(col: str, kind: T.StructType) -> None:
         raise ValueError(f"field 'raw_value' of '{col}' must be a string")
 
 
-def match_parts(compiled: ShapePattern) -> Column:
+def match_parts(compiled: ShapePattern, shape: Column) -> Column:
     """The match cut into head, elements and tail; a single part without a match."""
     groups = _BORDER.join(f"${i}" for i in range(1, compiled.groups + 1))
-    cut = F.regexp_replace(SHAPE, F.lit(compiled.regex), F.lit(groups))
+    cut = F.regexp_replace(shape, F.lit(compiled.regex), F.lit(groups))
     return F.split(cut, f"\\{_BORDER}", -1)
 
 
@@ -183,21 +215,21 @@ def is_match(parts: Column) -> Column:
     return F.size(parts) > 1
 
 
-def captures(compiled: ShapePattern, parts: Column) -> dict[str, Column]:
+def captures(compiled: ShapePattern, tokens: Column, parts: Column) -> dict[str, Column]:
     def text_of(group: int) -> Column:
         start = F.length(F.get(parts, F.lit(0)))
         for i in range(1, group):
             start = start + F.length(F.get(parts, F.lit(i)))
         count = F.length(F.get(parts, F.lit(group)))
-        return F.when(is_match(parts), F.array_join(F.slice(TOKENS, start + 1, count), ""))
+        return F.when(is_match(parts), F.array_join(F.slice(tokens, start + 1, count), ""))
 
     return {name: text_of(group) for name, group in compiled.fields}
 
 
-def leftover(parts: Column) -> Column:
+def leftover(raw: Column, tokens: Column, parts: Column) -> Column:
     """Text before and after the match; the whole text without a match, NULL for NULL."""
     head = F.length(F.get(parts, F.lit(0)))
     tail = F.length(F.element_at(parts, -1))
-    before = F.array_join(F.slice(TOKENS, F.lit(1), head), "")
-    after = F.array_join(F.slice(TOKENS, F.size(TOKENS) - tail + 1, tail), "")
-    return F.when(is_match(parts), F.concat(before, after)).when(parts.isNotNull(), F.col(RAW))
+    before = F.array_join(F.slice(tokens, F.lit(1), head), "")
+    after = F.array_join(F.slice(tokens, F.size(tokens) - tail + 1, tail), "")
+    return F.when(is_match(parts), F.concat(before, after)).when(parts.isNotNull(), raw)

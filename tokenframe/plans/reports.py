@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import tokens as tk
 from ..functions.patterns import shape_pattern
-from ..operators.extract import SHAPE, TOKENS, is_match, match_parts, with_shape
+from ..operators.extract import is_match, match_parts, shape_source
 from ..operators.tokenize import string_column, tokenize
 
 BLANK_LABEL = "(blank)"
 RAW_LABEL = "(raw)"
+TOKENS, SHAPE, RAW = "__tf_tokens", "__tf_shape", "__tf_raw"
 _STRUCT, _ID, _BLANK_ID = "__tf_struct", "__tf_id", -1
 
 
@@ -80,12 +81,12 @@ def shape_profile(df: DataFrame, col: str, model, k: int) -> DataFrame:
     A shape is written as its class names, ``(raw)`` for tokens that stand for
     themselves and one space for a blank token. The example is the smallest text.
     """
-    shaped = with_shape(df.select(col), col, model).select(SHAPE, "__tf_raw")
-    counted = (
-        shaped.where(F.col(SHAPE).isNotNull())
-        .groupBy(SHAPE)
-        .agg(F.count("*").alias("n_rows"), F.min("__tf_raw").alias("example"))
-    )
+    source = shape_source(df.select(col), col, model)
+    shaped = source.df.select(source.shape(source.tokens).alias(SHAPE), source.raw.alias(RAW))
+    # NULL texts are one group, left out by its count: a filter on the shape would be
+    # pushed down and work each shape out twice.
+    counted = shaped.groupBy(SHAPE).agg(F.count(RAW).alias("n_rows"), F.min(RAW).alias("example"))
+    counted = counted.where("n_rows > 0")
     # Names replace the characters only in the k rows that are left.
     names = F.array(*[F.lit(v) for v in model.class_values])
     place = lambda char: F.ascii(char) - F.lit(tk.SHAPE_BASE)
@@ -181,10 +182,11 @@ def extraction_report(
     ]
     if not cases:
         raise ValueError("extraction_report needs at least one pattern and mode")
-    staged = with_shape(df.select(col), col, model).select(SHAPE)
+    source = shape_source(df.select(col), col, model)
+    staged = source.df.select(source.shape(source.tokens).alias(SHAPE))
     aggregates = [F.count(SHAPE).alias("n_rows")]
     for i, (_, _, compiled) in enumerate(cases):
-        staged = staged.withColumn(f"__tf_m{i}", match_parts(compiled))
+        staged = staged.withColumn(f"__tf_m{i}", match_parts(compiled, F.col(SHAPE)))
         parts = F.col(f"__tf_m{i}")
         around = (F.get(parts, F.lit(0)) != "") | (F.element_at(parts, -1) != "")
         left = F.when(is_match(parts), around).otherwise(F.col(SHAPE) != "")
