@@ -48,13 +48,11 @@ def extract(
         rest = leftover(source.raw, tokens, parts).alias(COMPLEMENT)
         return F.struct(*[values[name].alias(name) for name, _ in compiled.fields], rest)
 
-    found = let(
-        source.tokens,
-        lambda tokens: let(
-            match_parts(compiled, source.shape(tokens)), lambda parts: fields(tokens, parts)
-        ),
-    )
-    return source.df.withColumn(out or col, found).drop(_STRUCT)
+    def found(tokens: Column) -> Column:
+        parts = match_parts(compiled, source.shape(tokens))
+        return let(parts, lambda parts: fields(tokens, parts))
+
+    return _with_fields(source, out or col, found)
 
 
 def extract_first(
@@ -99,21 +97,29 @@ def extract_first(
 
         return let(match_parts(compiled[i], shape), outcome)
 
-    found = let(
-        source.tokens,
-        lambda tokens: let(source.shape(tokens), lambda shape: attempt(0, tokens, shape)),
-    )
-    return source.df.withColumn(out or col, found).drop(_STRUCT)
+    def found(tokens: Column) -> Column:
+        return let(source.shape(tokens), lambda shape: attempt(0, tokens, shape))
+
+    return _with_fields(source, out or col, found)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value worked out once, however often the body uses it.
+    """``body(value)`` with the value worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
 
-    Spark copies a column's expression into each filter on it that it pushes down. With
-    the steps of an extraction as columns of their own, a filter on a field would repeat
-    each step as often as the next one mentions it, so the struct is one expression.
+def _with_fields(source: ShapeSource, out: str, found: Callable[[Column], Column]) -> DataFrame:
+    """Add the struct that ``found`` makes of a row's tokens.
+
+    It comes out of an explode of exactly one element. Spark copies a plain column's
+    expression into every filter on it that it pushes down, and would then match each
+    text again for each condition; filters on other columns still go to the scan.
     """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    one = F.explode_outer(F.transform(F.array(source.tokens), found)).alias(out)
+    names = [name for name in source.df.columns if name != _STRUCT]
+    if out not in names:
+        names.append(out)
+    return source.df.select(*[one if name == out else F.col(f"`{name}`") for name in names])
 
 
 @dataclass(frozen=True)
