@@ -91,7 +91,9 @@ def test_every_input_form_agrees(spark, model, join_model, table_model, mode):
         tf.extract(tf.tokenize(df, "address", model, **layout), "address", model, ADDRESS, mode)
         for layout in layouts
     ]
-    others += [tf.extract(df, "address", m, ADDRESS, mode) for m in (join_model, table_model)]
+    others.append(tf.extract(df, "address", table_model, ADDRESS, mode))
+    if mode == "any":
+        others.append(tf.extract(df, "address", join_model, ADDRESS, mode))
     for other in others:
         found = other.select("id", "address.*")
         assert found.columns == ["id", "CIVIC", "STREET", "TYPE", "complement"]

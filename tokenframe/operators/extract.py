@@ -16,7 +16,7 @@ from ..functions import tokens as tk
 from ..functions.patterns import COMPLEMENT, ShapePattern, capture_field_names, shape_pattern
 from .tokenize import string_column, tokenize
 
-_STRUCT = "__tf_struct"
+_STRUCT, _TOKENS, _MATCH = "__tf_struct", "__tf_tokens", "__tf_match"
 _BORDER = "|"  # no shape character
 
 
@@ -43,16 +43,23 @@ def extract(
     compiled = shape_pattern(pattern, model.class_values, mode)
     source = shape_source(df, col, model)
 
-    def fields(tokens: Column, parts: Column) -> Column:
-        values = captures(compiled, tokens, parts)
-        rest = leftover(source.raw, tokens, parts).alias(COMPLEMENT)
-        return F.struct(*[values[name].alias(name) for name, _ in compiled.fields], rest)
-
-    def found(tokens: Column) -> Column:
-        parts = match_parts(compiled, source.shape(tokens))
-        return let(parts, lambda parts: fields(tokens, parts))
-
-    return _with_fields(source, out or col, found)
+    staged = source.df.withColumn(_TOKENS, source.tokens)
+    tokens = F.col(_TOKENS)
+    matched = _with_one(
+        staged,
+        _MATCH,
+        F.array(
+            F.struct(
+                tokens.alias("tokens"),
+                match_parts(compiled, source.shape(tokens)).alias("parts"),
+            )
+        ),
+    )
+    tokens, parts = F.col(f"{_MATCH}.tokens"), F.col(f"{_MATCH}.parts")
+    values = captures(compiled, tokens, parts)
+    fields = [values[name].alias(name) for name, _ in compiled.fields]
+    fields.append(leftover(source.raw, tokens, parts).alias(COMPLEMENT))
+    return matched.withColumn(out or col, F.struct(*fields)).drop(_MATCH, _TOKENS, _STRUCT)
 
 
 def extract_first(
@@ -100,7 +107,8 @@ def extract_first(
     def found(tokens: Column) -> Column:
         return let(source.shape(tokens), lambda shape: attempt(0, tokens, shape))
 
-    return _with_fields(source, out or col, found)
+    one = F.transform(F.array(source.tokens), found)
+    return _with_one(source.df, out or col, one).drop(_STRUCT)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -108,18 +116,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _with_fields(source: ShapeSource, out: str, found: Callable[[Column], Column]) -> DataFrame:
-    """Add the struct that ``found`` makes of a row's tokens.
+def _with_one(df: DataFrame, out: str, one: Column) -> DataFrame:
+    """Add the element of an array of exactly one, in place of a column of that name.
 
-    It comes out of an explode of exactly one element. Spark copies a plain column's
-    expression into every filter on it that it pushes down, and would then match each
-    text again for each condition; filters on other columns still go to the scan.
+    It comes out of an explode. Spark copies a plain column's expression into every filter
+    on it that it pushes down, and would then match each text again for each condition;
+    filters on other columns still go to the scan.
     """
-    one = F.explode_outer(F.transform(F.array(source.tokens), found)).alias(out)
-    names = [name for name in source.df.columns if name != _STRUCT]
-    if out not in names:
-        names.append(out)
-    return source.df.select(*[one if name == out else F.col(f"`{name}`") for name in names])
+    element = F.explode_outer(one).alias(out)
+    names = df.columns if out in df.columns else [*df.columns, out]
+    return df.select(*[element if name == out else F.col(f"`{name}`") for name in names])
 
 
 @dataclass(frozen=True)
