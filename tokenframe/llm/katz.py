@@ -390,7 +390,7 @@ def _doc_rows(model: Model):
                 doc = np.repeat(np.arange(d), np.diff(first))
                 logs = np.where(at >= 0, log_count[at] if len(log_count) else 0.0, 0.0)
                 unknown = cur == UNKNOWN
-                own = -model.log_down[prev] + np.where(unknown, logs - words.log_class, 0.0)
+                own = -model.log_down[prev] + np.where(unknown & (at >= 0), logs - words.log_class, 0.0)
                 both = (cur < DENSE) & (prev < DENSE)
                 r = model.dense[prev[both] * DENSE + cur[both]]
                 backed = model.log_alpha[prev[both]] + words.log_p[cur[both]] + model.log_down[prev[both]]
