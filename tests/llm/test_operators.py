@@ -236,9 +236,9 @@ def near_by_hand(pairs):
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
 
 
-@pytest.mark.parametrize("limit", [128, 2])
+@pytest.mark.parametrize("limit", [10_000, 2])
 def test_near_groups(docs, odd, empty, texts, monkeypatch, limit):
-    monkeypatch.setattr(minhash, "LARGE_BUCKET", limit)
+    monkeypatch.setattr(minhash, "BLOCK", limit)
     want = near_by_hand([(3 * k, t) for k, t in enumerate(texts)])
     got = by_id(minhash.near_groups(docs, "doc_id", "text"))
     assert {i: tuple(r)[1:] for i, r in got.items()} == want

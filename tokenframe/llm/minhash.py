@@ -8,12 +8,12 @@ the whole sequence is the one member. Two documents are linked if 100 * |interse
 2. Each class gets the minima of 128 universal hash functions, in 32 bands of 4. Two sets at
    the similarity limit share no band with probability (1 - 0.75**4)**32 < 6e-6.
 3. A band's value with several classes is a bucket. No bucket is turned into all its pairs:
-   each member is first paired with the bucket's smallest member only, the signatures drop
-   hopeless pairs, and each class's most promising pair is checked on the whole texts.
-   What is found is merged into components; that is done twice.
-4. Then only pairs across components are left. Buckets that lie inside one component are
-   done. Others that are large are split by a second (third) band that must agree as
-   well, and their pairs across components are filtered by signature and checked, all of them.
+   each member is first paired with the bucket's smallest member only, and the signatures drop
+   hopeless pairs. Each class's most promising pair is checked on the whole texts, then
+   those of the other pairs that still lie across components.
+4. Buckets that lie inside one component are done. In the others, signatures are compared
+   across components, block by block inside a task; only pairs that agree leave it, and all of
+   them are checked on the whole texts.
 5. Components by alternating large-star and small-star steps.
 
 Defined cases: a document without words is linked with nothing. A document without an id
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .store import salted_join, saved
+from .store import salted_join, saved, tasks_for
 from .words import chained, mixed, slices, texts_of, words_in
 
 SHINGLE = 5
@@ -39,9 +39,8 @@ HASHES = BANDS * ROWS
 LINK_PERCENT = 75
 #: Of the minima, as many must agree; at the limit that fails for one pair in a million.
 AGREE = 72
-STAR_ROUNDS = 2
-#: Buckets with more open members are split by one more band, so many times at most.
-LARGE_BUCKET, SPLITS = 128, 2
+#: Members of a bucket that are compared with each other in one group, and bytes compared at once.
+BLOCK, COMPARED = 10_000, 1 << 25
 #: Ids of candidates up to this number are broadcast (8 bytes each); more are shuffled.
 BROADCAST_IDS = 1_000_000
 #: The ids with most pairs get a copy of their text for each so many pairs.
@@ -232,44 +231,66 @@ def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).drop("c_a", "c_b")
 
 
-def _open_pairs(members: DataFrame, found: DataFrame, bands: DataFrame) -> DataFrame:
-    """Distinct pairs across components that share a bucket (in large ones: more bands)."""
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs across components that agree well enough, from sorted rows, block by block."""
+    key, cids, parts, bits = None, [], [], []
+
+    def close() -> pa.RecordBatch | None:
+        part = np.array(parts)
+        names, counts = np.unique(part, return_counts=True)
+        if len(names) < 2:
+            return None
+        cid, table = np.array(cids), np.frombuffer(b"".join(bits), np.uint8).reshape(-1, HASHES)
+        # Inside the largest component nothing is compared.
+        others = np.flatnonzero(part != names[counts.argmax()])
+        step = max(1, COMPARED // table.size)
+        out = []
+        for lo in range(0, len(others), step):
+            some = others[lo : lo + step]
+            agree = np.count_nonzero(table[some][:, None, :] == table[None, :, :], axis=2)
+            x, y = np.nonzero((agree >= AGREE) & (part[some][:, None] != part[None, :]))
+            out.append(np.stack([cid[some[x]], cid[y]], axis=1))
+        pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    for batch in batches:
+        columns = (batch.column(k).to_pylist() for k in range(4))
+        for own, cid, part, value in zip(*columns, strict=True):
+            if own != key:
+                if cids and (found := close()):
+                    yield found
+                key, cids, parts, bits = own, [], [], []
+            cids.append(cid)
+            parts.append(part)
+            bits.append(value)
+    if cids and (found := close()):
+        yield found
+
+
+def _open_pairs(members: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct promising pairs across components that share a bucket.
+
+    A bucket is compared in blocks: members fall into blocks of about ``BLOCK``, and each two blocks
+    meet in one group, so a group has a bounded size whatever the bucket's.
+    """
     placed = salted_join(
         members, found.select(F.col("node").alias("cid"), "component"), ["cid"], F.col("band"), "left"
     ).select("band", "cid", F.coalesce("component", "cid").alias("part"))
-    placed = saved(_still_open(placed), "open")
-    pairs = []
-    for depth in range(SPLITS + 1):
-        sizes = placed.groupBy("band").agg(F.count("*").alias("size"))
-        sized = salted_join(placed, sizes, ["band"], F.col("cid"), "inner")
-        ready = sized.where(F.col("size") <= LARGE_BUCKET) if depth < SPLITS else sized
-        x = ready.select("band", F.col("cid").alias("a"), F.col("part").alias("p"))
-        y = ready.select("band", F.col("cid").alias("b"), F.col("part").alias("q"))
-        pairs.append(
-            salted_join(x, y, ["band"], F.col("a"), "inner", 8).where("a < b AND p <> q").select("a", "b")
-        )
-        if depth == SPLITS:
-            break
-        large = sized.where(F.col("size") > LARGE_BUCKET).select("band", "cid", "part")
-        if large.isEmpty():
-            break
-        more = large.join(bands.withColumnRenamed("band", "second"), "cid").where("band <> second")
-        placed = saved(
-            _still_open(more.select(F.xxhash64("band", "second").alias("band"), "cid", "part")), "open"
-        )
-    out = pairs[0]
-    for more in pairs[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
-
-
-def _still_open(placed: DataFrame) -> DataFrame:
-    """Members of buckets that lie in more than one component."""
     several = (
-        placed.groupBy("band").agg(F.min("part").alias("x"), F.max("part").alias("y"))
-        .where("x <> y").select("band")
+        placed.groupBy("band")
+        .agg(F.min("part").alias("x"), F.max("part").alias("y"), F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        .where("x <> y").select("band", "blocks")
     )
-    return salted_join(placed, several, ["band"], F.col("cid"), "inner")
+    opened = salted_join(placed, several, ["band"], F.col("cid"), "inner").join(
+        classes.select("cid", "bits"), "cid"
+    )
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    met = opened.select("band", "cid", "part", "bits", own.alias("own"), other.alias("other"))
+    group = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
+    grouped = met.select(group.alias("g"), "cid", "part", "bits")
+    ordered = grouped.repartition(tasks_for(members.sparkSession), "g").sortWithinPartitions("g")
+    return ordered.mapInArrow(_block_pairs, "a bigint, b bigint").distinct()
 
 
 def near_groups(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -295,15 +316,11 @@ def near_groups(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     pairs = members.where("cid <> leader").select(F.col("cid").alias("a"), F.col("leader").alias("b")).distinct()
     stars = saved(_promising(pairs, classes), "stars")
-    edges = stars.select("a", "b").where(F.lit(False))
-    found = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    for k in range(STAR_ROUNDS):
-        tried = stars if k == 0 else _across(stars, found)
-        best = tried.groupBy("a").agg(F.max(F.struct("agree", F.col("b").alias("to"))).alias("best"))
-        checked = saved(_verified(best.select("a", F.col("best.to").alias("b")), texts), "links")
-        edges = edges.unionByName(checked)
-        found = components(edges)
-    last = saved(_promising(_open_pairs(members, found, bands), classes), "last")
+    best = stars.groupBy("a").agg(F.max(F.struct("agree", F.col("b").alias("to"))).alias("best"))
+    edges = saved(_verified(best.select("a", F.col("best.to").alias("b")), texts), "links")
+    edges = edges.unionByName(saved(_verified(_across(stars, components(edges)), texts), "links"))
+    found = components(edges)
+    last = saved(_open_pairs(members, found, classes), "last")
     links = saved(_verified(last, texts), "links")
     found = components(edges.unionByName(links))
 
