@@ -8,9 +8,9 @@ the whole sequence is the one member. Two documents are linked if 100 * |interse
 2. Each class gets the minima of 128 universal hash functions, in 32 bands of 4. Two sets at
    the similarity limit share no band with probability (1 - 0.75**4)**32 < 6e-6.
 3. A band's value with several classes is a bucket. No bucket is turned into all its pairs:
-   each member is first paired with the bucket's smallest member only, and the signatures drop
-   hopeless pairs. Each class's most promising pair is checked on the whole texts, then
-   those of the other pairs that still lie across components.
+   each member is first paired with the bucket's smallest member only. Of each class's pairs, the
+   one that shares most bands is checked on the whole texts. Of the other pairs, those that
+   then lie across components are checked by signature, and on the whole texts.
 4. Buckets that lie inside one component are done. In the others, signatures are compared
    across components, block by block inside a task; only pairs that agree leave it, and all of
    them are checked on the whole texts.
@@ -37,8 +37,8 @@ SHINGLE = 5
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 LINK_PERCENT = 75
-#: Of the minima, as many must agree; at the limit that fails for one pair in a million.
-AGREE = 72
+#: Of the minima, as many must agree; at the limit that fails for about one pair in 50,000.
+AGREE = 75
 #: Members of a bucket that are compared with each other in one group, and bytes compared at once.
 BLOCK, COMPARED = 10_000, 1 << 25
 #: Ids of candidates up to this number are broadcast (8 bytes each); more are shuffled.
@@ -314,11 +314,15 @@ def near_groups(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     texts = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("cid"), F.col(f"`{text}`").alias("text"))
     texts = saved(texts.join(ids, F.col("cid") == F.col("needed_id"), "left_semi"), "texts")
 
-    pairs = members.where("cid <> leader").select(F.col("cid").alias("a"), F.col("leader").alias("b")).distinct()
-    stars = saved(_promising(pairs, classes), "stars")
-    best = stars.groupBy("a").agg(F.max(F.struct("agree", F.col("b").alias("to"))).alias("best"))
+    stars = saved(
+        members.where("cid <> leader").groupBy(F.col("cid").alias("a"), F.col("leader").alias("b"))
+        .agg(F.count("*").alias("shared")),
+        "stars",
+    )
+    best = stars.groupBy("a").agg(F.max(F.struct("shared", F.col("b").alias("to"))).alias("best"))
     edges = saved(_verified(best.select("a", F.col("best.to").alias("b")), texts), "links")
-    edges = edges.unionByName(saved(_verified(_across(stars, components(edges)), texts), "links"))
+    others = _across(stars.select("a", "b"), components(edges))
+    edges = edges.unionByName(saved(_verified(_promising(others, classes), texts), "links"))
     found = components(edges)
     last = saved(_open_pairs(members, found, classes), "last")
     links = saved(_verified(last, texts), "links")
