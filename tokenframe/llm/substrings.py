@@ -33,8 +33,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .store import saved, tasks_for
-from .words import Words, chained, slices, texts_of, words_in
+from .store import tasks_for
+from .words import Words, chained, mixed, slices, texts_of, words_in
 
 WINDOW = 13
 #: Bounds of the sample that balances the partitions.
@@ -228,37 +228,76 @@ def _open(blob: bytes) -> tuple[np.ndarray, ...]:
     return hashes, ids, rows, counts, places
 
 
-def _subtree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Places (by document) of windows that stand in a document with a smaller id too."""
-    held: list[tuple[np.ndarray, ...]] = []
+def _subtree(partitions: int):
+    """Places (by document) of windows that stand in a document with a smaller id too,
+    packed for the partition that gathers what its documents get."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for batch in batches:
+            held += [_open(blob) for blob in batch.column(1).to_pylist()]
+        if not held:
+            return
+        hashes, ids, rows, counts, places = (np.concatenate(x) for x in zip(*held, strict=True))
+        del held
+        doc = np.repeat(np.arange(len(ids), dtype=np.int64), counts)
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        node = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        own = ids[doc[order]]
+        smallest = np.repeat(np.minimum.reduceat(own, node), np.diff([*node, len(own)]))
+        hit = np.sort(order[own > smallest])
+        target = (mixed(ids.astype(np.uint64)) % np.uint64(partitions)).astype(np.int64)[doc[hit]]
+        hit = hit[np.argsort(target, kind="stable")]
+        target = np.sort(target)
+        packer = zstandard.ZstdCompressor(level=1)
+        cuts = (np.flatnonzero(np.diff(target)) + 1).tolist()
+        for x, y in zip([0, *cuts], [*cuts, len(hit)], strict=True):
+            if x == y:
+                continue
+            docs, n = np.unique(doc[hit[x:y]], return_counts=True)
+            planes = places[hit[x:y]].astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+            arrays = [ids[docs], rows[docs], n.astype(np.uint32)]
+            blob = packer.compress(b"".join(v.tobytes() for v in arrays) + planes)
+            head = np.array([len(docs), y - x], np.int64).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(target[x])], pa.int32()), pa.array([head + blob], pa.binary())],
+                names=["part", "blob"],
+            )
+
+    return cut
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document with all its places."""
+    keys, counts, places = [], [], []
     for batch in batches:
-        held += [_open(blob) for blob in batch.column(1).to_pylist()]
-    if not held:
+        for blob in batch.column(1).to_pylist():
+            d, n = np.frombuffer(blob, np.int64, 2)
+            rest = zstandard.ZstdDecompressor().decompress(blob[16:])
+            keys.append(np.frombuffer(rest, np.int64, 2 * d).reshape(2, d))
+            counts.append(np.frombuffer(rest, np.uint32, d, 16 * d))
+            planes = np.frombuffer(rest, np.uint8, 4 * n, 20 * d).reshape(4, n)
+            places.append(np.ascontiguousarray(planes.T).view(np.uint32).ravel())
+    if not keys:
         return
-    hashes = np.concatenate([h[0] for h in held])
-    ids, rows = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
-    counts = np.concatenate([h[3] for h in held])
-    places = np.concatenate([h[4] for h in held])
-    del held
-    doc = np.repeat(np.arange(len(ids), dtype=np.int64), counts)
-    order = np.argsort(hashes)
-    ordered = hashes[order]
-    node = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    own = ids[doc[order]]
-    smallest = np.repeat(np.minimum.reduceat(own, node), np.diff([*node, len(own)]))
-    hit = np.sort(order[own > smallest])
-    docs = doc[hit]
-    cuts = np.flatnonzero(np.diff(docs)) + 1
-    found = places[hit].astype(np.uint32)
-    step = 20_000
-    begins, ends = np.array([0, *cuts] if len(hit) else [], np.int64), np.array([*cuts, len(hit)] if len(hit) else [], np.int64)
-    for lo in range(0, len(begins), step):
-        a, b = begins[lo : lo + step], ends[lo : lo + step]
+    key = np.concatenate(keys, axis=1)
+    first = np.repeat(np.arange(key.shape[1]), np.concatenate(counts))
+    order = np.lexsort((key[1], key[0]))
+    fresh = np.concatenate([[True], (np.diff(key[:, order]) != 0).any(axis=0)])
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.cumsum(fresh) - 1
+    at = np.argsort(rank[first], kind="stable")
+    found = np.concatenate(places)[at]
+    ends = np.cumsum(np.bincount(rank[first], minlength=int(fresh.sum())))
+    docs = order[fresh]
+    for lo in range(0, len(docs), 5_000):
+        own = range(lo, min(lo + 5_000, len(docs)))
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(ids[docs[a]]),
-                pa.array(rows[docs[a]]),
-                pa.array([found[x:y].tobytes() for x, y in zip(a, b, strict=True)], pa.binary()),
+                pa.array(key[0][docs[own.start : own.stop]]),
+                pa.array(key[1][docs[own.start : own.stop]]),
+                pa.array([found[(ends[k - 1] if k else 0) : ends[k]].tobytes() for k in own], pa.binary()),
             ],
             names=[_ID, _ROW, _PLACES],
         )
@@ -284,7 +323,7 @@ def _cutter(columns: list[str], splits: Splits, hot: np.ndarray, first: np.ndarr
                     marks.append(at[hit][later])
                 for d, places in enumerate(back[lo:hi].to_pylist()):
                     if places:
-                        marks.append(np.frombuffer(b"".join(places), np.uint32) + words.first[d])
+                        marks.append(np.frombuffer(places, np.uint32) + words.first[d])
                 if marks:
                     at = np.unique(np.concatenate(marks)).astype(np.int64)
                     covered += np.bincount(at, minlength=n + 1).astype(np.int32)
@@ -348,9 +387,11 @@ def cut_repeats(docs: DataFrame, doc_id: str, text: str, keep: list[str], with_t
         first = np.array([d for _, d in pairs], np.int64)
     dealt = named.mapInArrow(_dealer(splits), "part int, blob binary")
     placed = dealt.repartitionById(splits.partitions, F.col("part")).mapInArrow(
-        _subtree, f"{_ID} bigint, {_ROW} bigint, {_PLACES} binary"
+        _subtree(splits.partitions), "part int, blob binary"
+    )
+    back = placed.repartitionById(splits.partitions, F.col("part")).mapInArrow(
+        _gathered, f"{_ID} bigint, {_ROW} bigint, {_PLACES} binary"
     )
-    back = saved(placed, "places").groupBy(_ID, _ROW).agg(F.collect_list(_PLACES).alias(_PLACES))
     joined = tagged.join(back, [_ID, _ROW], "left").select(*[F.col(f"`{c}`") for c in keep], _ID, _TEXT, _PLACES)
     fields = [T.StructField(docs.schema[c].name, docs.schema[c].dataType) for c in keep] + [
         T.StructField("__s_n_words", T.LongType()),
