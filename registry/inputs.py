@@ -7,19 +7,18 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tokenframe import Model
-from tokenframe.sources.storage import spread
 
 DEFINITIONS = [
-    ("POSTALCODE", r"^[A-Z][0-9][A-Z][ _-]?[0-9][A-Z][0-9]$"),
+    ("POSTALCODE", r"^[0-9]{5}-[0-9]{3,4}$"),
     ("ROUTE", r"^RTE.*$"),
     ("HASHCODE", r"^[A-Za-z]*#[0-9A-Za-z]+$"),
     ("WEBLINK", r"^https?://"),
-    ("ALPHA", r"^[A-Za-z]+$"),
-    ("ALPHA_EXTENDED", r"^[A-Za-z'-]+$"),
     ("NUM", r"^[0-9]+$"),
-    ("NUM_EXTENDED", r"^[0-9-]+$"),
-    ("ALPHA_NUM_EXTENDED", r"[0-9].*[A-Za-z]|[A-Za-z].*[0-9]"),
-    ("ALPHA_NUM", r"^[A-Za-z0-9]+$"),
+    ("ALPHA", r"^[A-Za-z]+$"),
+    ("NUM_EXTENDED", r"^[0-9][0-9.,/-]*$"),
+    ("ALPHA_NUM", r"^[0-9]+[A-Za-z]+$|^[A-Za-z]+[0-9]+$"),
+    ("ALPHA_EXTENDED", r"^[A-Za-z][A-Za-z.'-]*$"),
+    ("ALPHA_NUM_EXTENDED", r"[A-Za-z][-./]?[0-9]|[0-9][-./]?[A-Za-z]"),
 ]
 WORD_LISTS = {
     "STREETTYPE": ["ST", "AVE", "RD", "LANE", "ALLÉE", "CUL DE SAC", "ROW"],
@@ -44,8 +43,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table to tokenize."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+    """Columns of a table to tokenize.
+
+    Tables that lie in one small file are read by one task. A caller who wants more says so by
+    ``spark.tokenframe.inputPartitions``; unset, as on a cluster, nothing is moved.
+    """
+    rows = table(spark, sf_dir, name).select(*columns)
+    partitions = spark.conf.get("spark.tokenframe.inputPartitions", None)
+    return rows.repartition(int(partitions)) if partitions else rows
 
 
 def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -245,7 +245,7 @@ FROM e LEFT JOIN c ON entry = t
 
 BENCH_WORDS = """
 SELECT DISTINCT w FROM (SELECT unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS w FROM benchmark)
-WHERE length(w) > 3
+WHERE length(w) > 0
 """
 IN_BENCH = {"BENCH_WORD": "SELECT w FROM b"}
 LONG_DOCS = long_tokens("documents", "doc_id")

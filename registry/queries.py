@@ -142,7 +142,7 @@ def _benchmark_words(spark, sf_dir):
     words = F.explode_outer(F.split("text", r"[^A-Za-z]+"))
     items = table(spark, sf_dir, "benchmark")
     entries = items.select(F.lit("BENCH_WORD").alias("class"), words.alias("entry")).distinct()
-    return entries.where(F.length("entry") > 3)
+    return entries.where(F.length("entry") > 0)
 
 
 def _benchmark_model(spark, sf_dir, force_join=False):
@@ -172,7 +172,7 @@ def extract_join_lookup(spark, sf_dir):
 
 def class_coverage_join_lookup(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "text")
-    return tf.class_coverage(docs, "text", _benchmark_model(spark, sf_dir))
+    return tf.class_coverage(docs, "text", _benchmark_model(spark, sf_dir, force_join=True))
 
 
 def _extract(mode: str) -> Query:

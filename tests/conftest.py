@@ -22,6 +22,7 @@ def new_session() -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.tokenframe.inputPartitions", "8")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import tokenframe as tf
 from registry.inputs import DEFINITIONS, WORD_LISTS
 from tokenframe.functions.literal_table import LiteralTable
-from tokenframe.sources import storage
+from tokenframe.sources import read_classes, read_definitions
 from tokenframe.sources.model import CLASSES_SCHEMA, DEFINITIONS_SCHEMA
 
 FIXTURE = str(Path(__file__).parent / "fixtures" / "model")
@@ -147,13 +147,35 @@ def test_literal_table(spark, monkeypatch):
     assert LiteralTable.build(table, "k", "v") is None
 
 
-def test_small_tables_are_spread_and_large_ones_left(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    spread = storage.spread(df)
-    assert spread.count() == 1000
-    assert "Exchange" in spread._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(storage, "SPREAD_BYTES_PER_CORE", 1)
-    assert storage.spread(df) is df
-    assert storage.spread(spark.range(3)).count() == 3
+def write_files(folder, files):
+    folder.mkdir()
+    for name, text in files.items():
+        (folder / name).write_text(text)
+    return str(folder)
+
+
+def test_a_list_without_header_is_an_error(spark, tmp_path):
+    path = write_files(tmp_path / "lists", {"a": "TOKEN_CLASS:A\nx\n", "b": "y\nz\n"})
+    with pytest.raises(ValueError, match="no TOKEN_CLASS header in word list .*b"):
+        read_classes(spark, path)
+
+
+def test_many_lists_of_one_class(spark, tmp_path):
+    path = write_files(tmp_path / "lists", {f"f{k}": f"TOKEN_CLASS:A\nw{k}\n" for k in range(260)})
+    found = read_classes(spark, path)
+    assert found.count() == 260 and found.select("class").distinct().count() == 1
+
+
+def test_definitions_in_two_files_are_an_error(spark, tmp_path):
+    line = "<NAME>{0}</NAME> <VALUE>{0}</VALUE>\n"
+    path = write_files(tmp_path / "definitions", {"a": line.format("x"), "b": line.format("y")})
+    with pytest.raises(ValueError, match="more than one file"):
+        read_definitions(spark, path)
+
+
+def test_an_error_tells_how_many_problems_there_are(spark):
+    from tokenframe import Model
+
+    shared = [f"word{k}" for k in range(30)]
+    with pytest.raises(ValueError, match="20 of 30 shown"):
+        Model.from_values(spark, [("NUM", "^[0-9]+$")], {"A": shared, "B": shared})

@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 
 from .compare import compare, duck
 
@@ -18,7 +20,7 @@ def connection():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
@@ -32,6 +34,6 @@ def test_entry(spark):
     ]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_gives_what_its_sql_gives(spark, connection, name):
     assert compare(spark, connection, SF_DIR, name) is None

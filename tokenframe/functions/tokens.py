@@ -67,6 +67,10 @@ def is_blank(token: Column) -> Column:
     return (token == " ") | (maybe & token.rlike(BLANK_PATTERN))
 
 
+# Only a line feed ends a line: U+0085, U+2028 and U+2029 are characters like others.
+UNIX_LINES = "(?d)"
+
+
 def definition_type(token: Column, definitions, emit: Emit = F.lit) -> Column:
     """Name of the first definition whose regex is found in the token, else NULL."""
     return _first_match(token, definitions, emit)
@@ -75,7 +79,7 @@ def definition_type(token: Column, definitions, emit: Emit = F.lit) -> Column:
 def _first_match(token: Column, rules, emit: Emit) -> Column:
     chain = F
     for name, regex in rules:
-        chain = chain.when(token.rlike(regex), emit(name))
+        chain = chain.when(token.rlike(UNIX_LINES + regex), emit(name))
     return chain
 
 
@@ -88,7 +92,7 @@ def _gate(definitions) -> str | None:
     regexes = [FAST_CHARACTERS, *[regex for _, regex in definitions]]
     if any(re.search(r"\\[1-9kQ]|\(\?[^:=!]", regex) for regex in regexes):
         return None
-    return "|".join(f"(?:{regex})" for regex in regexes)
+    return UNIX_LINES + "|".join(f"(?:{regex})" for regex in regexes)
 
 
 def known_type(token: Column, model, emit: Emit = F.lit, blanks: bool = True) -> Column:

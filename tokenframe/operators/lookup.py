@@ -7,7 +7,8 @@ skew, without a limit on what may repeat:
 * Rows are told apart by a hash of their content, and copies of one content collapse
   before anything else is shuffled by it. Contents with very many copies are spread
   over salts when the result is joined back.
-* Elements found in nearly every row are answered by a broadcast of fixed size.
+* Elements found in nearly every row are answered by a broadcast of fixed size, and are not
+  joined any more.
 
 In both cases the frequent ones are the top K by count, so by the pigeonhole principle
 each of the others is at most a share of 1/K.
@@ -71,7 +72,7 @@ def lookup_by_join(
     )
     frequent = contents.orderBy(F.desc(_COPIES), _CONTENT).limit(FREQUENT).select(_CONTENT)
     rows = df.withColumn(_CONTENT, _content_hash(content, df.schema[col].dataType))
-    joined = _join_back(rows, hits, frequent, df.schema)
+    joined = _join_back(rows, hits, frequent)
     dense = F.coalesce(_dense(F.col(_HITS), kind), F.array().cast(T.ArrayType(kind)))
     return joined.withColumn(out, dense).drop(_CONTENT, _HITS)
 
@@ -83,34 +84,29 @@ def _content_hash(value: Column, kind: T.DataType) -> Column:
 
 
 def _join_elements(elements: DataFrame, table: DataFrame) -> DataFrame:
+    """What the broadcast has settled, hit or not, takes no part in the join of the rest."""
     counts = elements.groupBy(_VALUE).count()
     top = counts.orderBy(F.desc("count"), _VALUE).limit(FREQUENT)
-    known = top.join(table, _VALUE, "left").select(_VALUE, F.col(_HIT).alias("__tf_known"), F.lit(True).alias(_FREQUENT))
-    # What the broadcast has settled gets a salt that no table row has, so the second
-    # join spreads it out instead of sending each frequent element to one task.
-    spread = F.pmod(F.xxhash64(_CONTENT, _POS), F.lit(SALTS)) + 1
-    settled = elements.join(F.broadcast(known), _VALUE, "left").withColumn(
-        _SALT, F.when(F.col(_FREQUENT), spread).otherwise(F.lit(0))
+    known = top.join(table, _VALUE, "left").select(
+        _VALUE, F.col(_HIT).alias("__tf_known"), F.lit(True).alias(_FREQUENT)
     )
-    rest = table.select(
-        _VALUE, F.lit(0).cast("bigint").alias(_SALT), F.col(_HIT).alias("__tf_rest")
-    )
-    both = settled.join(rest, [_VALUE, _SALT], "left")
-    return both.withColumn(_HIT, F.coalesce("__tf_known", "__tf_rest")).where(
-        F.col(_HIT).isNotNull()
+    settled = elements.join(F.broadcast(known), _VALUE, "left")
+    hits = settled.where(F.col("__tf_known").isNotNull()).select(
+        _CONTENT, _POS, F.col("__tf_known").alias(_HIT)
     )
+    rest = settled.where(F.col(_FREQUENT).isNull()).select(_CONTENT, _POS, _VALUE)
+    return hits.unionByName(rest.join(table, _VALUE).select(_CONTENT, _POS, _HIT))
 
 
-def _join_back(
-    rows: DataFrame, hits: DataFrame, frequent: DataFrame, schema: T.StructType
-) -> DataFrame:
+def _join_back(rows: DataFrame, hits: DataFrame, frequent: DataFrame) -> DataFrame:
     frequent = F.broadcast(frequent.withColumn(_FREQUENT, F.lit(True)))
-    # The salt comes from the row's own values, so a task that runs again repeats it.
-    own = [F.col(f"`{f.name}`") for f in schema if isinstance(f.dataType, T.AtomicType)]
-    spread = F.pmod(F.xxhash64(*own), F.lit(SALTS)) if own else F.lit(0).cast("bigint")
+    # Rows may be equal in all columns, so the salt counts them where they are read, before any
+    # shuffle. Every salt finds a copy of the hits, so any numbering gives the same result.
+    spread = F.pmod(F.col(_SALT), F.lit(SALTS))
     salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
     unsalted = F.lit(0).cast("bigint")
-    left = rows.join(frequent, _CONTENT, "left").withColumn(
+    numbered = rows.withColumn(_SALT, F.monotonically_increasing_id())
+    left = numbered.join(frequent, _CONTENT, "left").withColumn(
         _SALT, F.when(F.col(_FREQUENT), spread).otherwise(unsalted)
     )
     right = hits.join(frequent, _CONTENT, "left").select(

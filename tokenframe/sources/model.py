@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.literal_table import LiteralTable
 from ..functions.tokens import COMMON_BLANKS, definition_type
-from .model_files import MAX_VOCABULARY, read_classes, read_definitions
+from .model_files import read_classes, read_definitions
 
 DEFINITIONS_SCHEMA = "ord int, name string, regex string"
 CLASSES_SCHEMA = "class string, entry string"
+# Ids are single bytes, and two of them are taken: so many values fit a vocabulary.
+MAX_VOCABULARY = 254
 # Longer word lists become a literal table, and beyond its bounds are looked up by join.
 MAX_INLINE_ENTRIES = 2_000
 
@@ -80,6 +82,9 @@ def validate_model(definitions: DataFrame, classes: DataFrame) -> DataFrame:
         result = result.union(more)
     return result
 
+# Problems that an error message names; it tells how many there are.
+SHOWN_PROBLEMS = 20
+
 
 @dataclass(frozen=True)
 class Model:
@@ -109,9 +114,12 @@ class Model:
         Lists above ``max_inline_entries`` are not written out in the plan; with
         ``force_join`` they are looked up by join even if a literal table could hold them.
         """
-        bad = validate_model(definitions, classes).limit(20).collect()
+        problems = validate_model(definitions, classes)
+        bad = problems.limit(SHOWN_PROBLEMS + 1).collect()
         if bad:
-            listed = "; ".join(f"{row.problem}: {row.detail}" for row in bad)
+            listed = "; ".join(f"{row.problem}: {row.detail}" for row in bad[:SHOWN_PROBLEMS])
+            if len(bad) > SHOWN_PROBLEMS:
+                listed += f"; {SHOWN_PROBLEMS} of {problems.count()} shown, validate_model() gives all"
             raise ValueError(f"invalid model: {listed}")
         ordered = tuple(
             (row.name, row.regex)

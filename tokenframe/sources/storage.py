@@ -23,22 +23,3 @@ def written_once(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-# A table below this many bytes per core is too small for its files to keep all cores busy.
-SPREAD_BYTES_PER_CORE = 64 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Bring a small table that lies in few files to all cores; leave others as they are.
-
-    Tokenizing costs far more than moving a small table. A large table is read by many
-    tasks anyway, and gets no shuffle from this.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not 0 < len(files) < cores:
-        return df
-    size = spark.read.format("binaryFile").load(files).agg({"length": "sum"}).first()[0]
-    return df.repartition(cores) if size <= cores * SPREAD_BYTES_PER_CORE else df
