@@ -9,8 +9,9 @@ the whole sequence is the one member. Two documents are linked if 100 * |interse
    the similarity limit share no band with probability (1 - 0.75**4)**32 < 6e-6.
 3. A band's value with several classes is a bucket. No bucket is turned into all its pairs:
    each member is first paired with the bucket's smallest member only. Of each class's pairs, the
-   one that shares most bands is checked on the whole texts. Of the other pairs, those that
-   then lie across components are checked by signature, and on the whole texts.
+   one that shares most bands is checked on the whole texts; then, between each two of the
+   components found, again the one that shares most. The other pairs that still lie across
+   components are checked by signature, and on the whole texts.
 4. Buckets that lie inside one component are done. In the others, signatures are compared
    across components, block by block inside a task; only pairs that agree leave it, and all of
    them are checked on the whole texts.
@@ -223,12 +224,14 @@ def components(edges: DataFrame) -> DataFrame:
         now = saved(small.where("u <> v").distinct(), "edges")
 
 
-def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs that lie in different components."""
+def _across(pairs: DataFrame, found: DataFrame, keep: bool = False) -> DataFrame:
+    """Pairs that lie in different components; with ``keep`` also these, ``c_a`` and ``c_b``."""
     part = lambda side: found.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
     both = salted_join(pairs, part("a"), ["a"], F.col("b"), "left")
     both = salted_join(both, part("b"), ["b"], F.col("a"), "left")
-    return both.where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).drop("c_a", "c_b")
+    both = both.withColumns({"c_a": F.coalesce("c_a", "a"), "c_b": F.coalesce("c_b", "b")})
+    both = both.where("c_a <> c_b")
+    return both if keep else both.drop("c_a", "c_b")
 
 
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,6 +324,11 @@ def near_groups(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
     best = stars.groupBy("a").agg(F.max(F.struct("shared", F.col("b").alias("to"))).alias("best"))
     edges = saved(_verified(best.select("a", F.col("best.to").alias("b")), texts), "links")
+    # Between two components one pair, the one that shares most bands, stands for the others.
+    between = _across(stars, components(edges), keep=True)
+    ends = [F.least("c_a", "c_b").alias("x"), F.greatest("c_a", "c_b").alias("y")]
+    chosen = between.groupBy(*ends).agg(F.max(F.struct("shared", "a", "b")).alias("best"))
+    edges = edges.unionByName(saved(_verified(chosen.select("best.a", "best.b"), texts), "links"))
     others = _across(stars.select("a", "b"), components(edges))
     edges = edges.unionByName(saved(_verified(_promising(others, classes), texts), "links"))
     found = components(edges)
