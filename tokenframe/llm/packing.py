@@ -19,9 +19,11 @@ table gives no rows.
 from __future__ import annotations
 
 import heapq
+import sys
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +36,9 @@ CAPACITY = 4_096
 MAX_PIECE = 1_024
 END_ID = 2
 CELL_SEQUENCES = 256
-#: Words whose ids are kept, so that a common word is tokenized once in a task.
+#: Words whose ids are kept, so that a common word is tokenized once in a worker process.
 CACHED_WORDS = 400_000
+KEPT = "_llm_kept_word_ids"
 
 
 def karmarkar_karp(sizes: list[int], windows: int) -> list[list[int]]:
@@ -83,7 +86,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, tuple[int, ...]] = {}
+        # Kept for the tasks that follow in this worker process: they meet the same words.
+        kept = sys.modules.setdefault(KEPT, ModuleType(KEPT))
+        self.known: dict[bytes, tuple[int, ...]] = kept.__dict__.setdefault(path, {})
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         split = [text.encode().split() for text in texts]
