@@ -19,6 +19,7 @@ table gives no rows.
 from __future__ import annotations
 
 import heapq
+import re
 import sys
 import zlib
 from collections.abc import Iterator
@@ -37,7 +38,9 @@ MAX_PIECE = 1_024
 END_ID = 2
 CELL_SEQUENCES = 256
 #: Words whose ids are kept, so that a common word is tokenized once in a worker process.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+#: Letters whose forms no normalisation changes, then marks: two pre-tokens at most.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
 KEPT = "_llm_kept_word_ids"
 
 
@@ -86,6 +89,9 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
         # Kept for the tasks that follow in this worker process: they meet the same words.
         kept = sys.modules.setdefault(KEPT, ModuleType(KEPT))
         self.known: dict[bytes, tuple[int, ...]] = kept.__dict__.setdefault(path, {})
@@ -95,8 +101,7 @@ class WordTokens:
         known = self.known
         missing = [w for w in set(chain.from_iterable(split)) if w not in known]
         if missing:
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-            fresh = {w: tuple(e.ids) for w, e in zip(missing, found, strict=True)}
+            fresh = self._encoded(missing)
             if len(known) < CACHED_WORDS:
                 known.update(fresh)
             else:
@@ -105,6 +110,38 @@ class WordTokens:
         return [np.fromiter(chain.from_iterable(map(get, words)), np.uint32) for words in split]
 
 
+    def _encoded(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
+        """Ids of each word. Plain words are encoded many at a time, and cut apart where a
+        token ends a word; letters and the marks behind them are separate pre-tokens."""
+        plain, other = {}, []
+        for word in words:
+            match = PLAIN.fullmatch(word.decode())
+            if match:
+                plain[word] = match.groups()
+            else:
+                other.append(word)
+        letters = list({x for x, _ in plain.values()})
+        marks = list({x for _, x in plain.values() if x})
+        runs = [letters[k : k + 256] for k in range(0, len(letters), 256)]
+        parts: dict[str, tuple[int, ...]] = {"": ()}
+        for run, found in zip(runs, self._ids([" ".join(run) for run in runs]), strict=True):
+            ids = np.array(found)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(run):
+                raise ValueError("the tokenizer does not end each word by a token of its own")
+            begin = 0
+            for text, end in zip(run, ends.tolist(), strict=True):
+                parts[text] = tuple(found[begin:end])
+                begin = end
+        parts.update(zip(marks, map(tuple, self._ids(marks)), strict=True))
+        out = {word: parts[a] + parts[b] for word, (a, b) in plain.items()}
+        out.update(zip(other, map(tuple, self._ids([w.decode() for w in other])), strict=True))
+        return out
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
 class _Both(dict):
     """A few fresh entries in front of many others."""
 
