@@ -11,6 +11,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tokenframe.llm import (
@@ -266,6 +267,18 @@ def test_chain_of_near_copies(spark):
     assert {i: tuple(r)[1:] for i, r in got.items()} == want and {w[1] for w in want.values()} == {0}
 
 
+@pytest.mark.parametrize(("size", "shift"), [(60, 8), (60, 9), (600, 250), (5_000, 600), (5_000, 3_000)])
+def test_samples_keep_links_and_drop_far_pairs(size, shift):
+    own = [f"v{k}" for k in range(size + shift)]
+    texts = [" ".join(own[:size]), " ".join(own[shift:])]
+    batch = pa.RecordBatch.from_pydict({"cid": [1, 2], "text": texts})
+    (found,) = minhash._sampled([batch])
+    known = minhash._Samples(found["level"].to_pylist(), found["sample"].to_pylist())
+    linked = 100 * (size - 4 - shift) >= 75 * (size - 4 + shift)
+    near = 100 * (size - 3 - shift) >= 75 * (size - 4 + shift)
+    assert linked <= known.may_link(0, np.array([1]))[0] <= near
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(30)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)]

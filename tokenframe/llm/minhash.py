@@ -13,8 +13,9 @@ the whole sequence is the one member. Two documents are linked if 100 * |interse
    components found, again the one that shares most. The other pairs that still lie across
    components are checked by signature, and on the whole texts.
 4. Buckets that lie inside one component are done. In the others, signatures are compared
-   across components, block by block inside a task; only pairs that agree leave it, and all of
-   them are checked on the whole texts.
+   across components, block by block inside a task, and pairs that agree by their samples: all
+   shingle hashes of a set of up to 512, else those below a limit. Only pairs that may still be
+   links leave the task, and all of them are checked on the whole texts.
 5. Components by alternating large-star and small-star steps.
 
 Defined cases: a document without words is linked with nothing. A document without an id
@@ -41,7 +42,10 @@ LINK_PERCENT = 75
 #: Of the minima, as many must agree; at the limit that fails for about one pair in 50,000.
 AGREE = 75
 #: Members of a bucket that are compared with each other in one group, and bytes compared at once.
-BLOCK, COMPARED = 10_000, 1 << 25
+BLOCK, COMPARED = 5_000, 1 << 25
+#: Shingle hashes of a sample. Larger sets halve the range of hashes until about as many are left; a
+#: link's sample then falls short of the limit by so many deviations for about one pair in 300,000.
+SAMPLE, DEVIATIONS = 512, 4.5
 #: Ids of candidates up to this number are broadcast (8 bytes each); more are shuffled.
 BROADCAST_IDS = 1_000_000
 #: The ids with most pairs get a copy of their text for each so many pairs.
@@ -194,20 +198,24 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a bigint, b bigint")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either one edge's larger end or smaller ends only."""
+    upper = F.count_if(F.col("end") == "u")
+    ends = edges.select(F.posexplode(F.array("u", "v")).alias("place", "node"))
+    ends = ends.select("node", F.when(F.col("place") == 0, "u").otherwise("v").alias("end"))
+    counts = ends.groupBy("node").agg(upper.alias("upper"), F.count("*").alias("all"))
+    return counts.where("upper > 0 AND all > 1").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an edge to another.
 
-    Alternating large-star and small-star steps, each written out, until nothing changes.
+    Alternating large-star and small-star steps, each written out, until only stars are left.
     """
     up = F.greatest("a", "b").alias("u")
     down = F.least("a", "b").alias("v")
     now = saved(edges.where("a <> b").select(up, down).distinct(), "edges")
-    state = None
-    while True:
-        print_ = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if tuple(print_) == state:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        state = tuple(print_)
+    while not _are_stars(now):
         # Large star: every larger neighbour goes to the smallest of the neighbourhood.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
@@ -222,6 +230,13 @@ def components(edges: DataFrame) -> DataFrame:
             least.select("u", F.col("m").alias("v"))
         )
         now = saved(small.where("u <> v").distinct(), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components once more links are known."""
+    stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return components(stars.unionByName(links))
 
 
 def _across(pairs: DataFrame, found: DataFrame, keep: bool = False) -> DataFrame:
@@ -234,43 +249,93 @@ def _across(pairs: DataFrame, found: DataFrame, keep: bool = False) -> DataFrame
     return both if keep else both.drop("c_a", "c_b")
 
 
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each set the level, and the hashes (32 bits, sorted) below 2**(32 - level)."""
+    for batch in batches:
+        levels, samples = [], []
+        for hashes in shingle_sets(texts_of(batch.column(1))):
+            level = max(0, (len(hashes) - 1) // SAMPLE).bit_length()
+            high = np.unique((mixed(hashes) >> np.uint64(32)).astype(np.uint32))
+            levels.append(level)
+            samples.append(high[: np.searchsorted(high, 1 << (32 - level))].tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(levels, pa.int32()), pa.array(samples, pa.binary())],
+            names=["cid", "level", "sample"],
+        )
+
+
+class _Samples:
+    """The samples of a group's members, with hashes numbered in their order."""
+
+    def __init__(self, levels: list[int], samples: list[bytes]):
+        self.levels = np.array(levels)
+        ends = np.cumsum([0, *(len(s) // 4 for s in samples)])
+        hashes, numbers = np.unique(np.frombuffer(b"".join(samples), np.uint32), return_inverse=True)
+        self.sets = [numbers[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        self.marked = np.zeros(len(hashes), bool)
+        # How many of a member's hashes lie in the range of each level.
+        self.ranges = np.unique(self.levels)
+        self.sizes = np.empty((len(self.ranges), len(levels)), np.int64)
+        for k, level in enumerate(self.ranges):
+            inside = np.cumsum([0, *(numbers < np.searchsorted(hashes, 1 << (32 - int(level))))])
+            self.sizes[k] = inside[ends[1:]] - inside[ends[:-1]]
+
+    def may_link(self, x: int, others: np.ndarray) -> np.ndarray:
+        """Which of the others may be linked with ``x``; exact but for one hash at level 0."""
+        sets = [self.sets[y] for y in others]
+        self.marked[self.sets[x]] = True
+        hits = np.cumsum(np.concatenate([[0], self.marked[np.concatenate(sets)]]))
+        self.marked[self.sets[x]] = False
+        ends = np.cumsum([0, *map(len, sets)])
+        common = hits[ends[1:]] - hits[ends[:-1]]
+        level = np.maximum(self.levels[x], self.levels[others])
+        k = np.searchsorted(self.ranges, level)
+        union = self.sizes[k, x] + self.sizes[k, others] - common
+        share = LINK_PERCENT / 100
+        slack = np.where(level == 0, 1, DEVIATIONS * np.sqrt(share * (1 - share) * union) + 1)
+        return common + slack >= share * union
+
+
 def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across components that agree well enough, from sorted rows, block by block."""
-    key, cids, parts, bits = None, [], [], []
+    """Pairs across components that may be links, from sorted rows, block by block."""
+    key, members = None, []
 
     def close() -> pa.RecordBatch | None:
+        cids, parts, bits, levels, samples = zip(*members, strict=True)
         part = np.array(parts)
         names, counts = np.unique(part, return_counts=True)
         if len(names) < 2:
             return None
         cid, table = np.array(cids), np.frombuffer(b"".join(bits), np.uint8).reshape(-1, HASHES)
+        known = _Samples(levels, samples)
         # Inside the largest component nothing is compared.
         others = np.flatnonzero(part != names[counts.argmax()])
         step = max(1, COMPARED // table.size)
-        out = []
+        out = [np.empty((0, 2), np.int64)]
         for lo in range(0, len(others), step):
             some = others[lo : lo + step]
             agree = np.count_nonzero(table[some][:, None, :] == table[None, :, :], axis=2)
-            x, y = np.nonzero((agree >= AGREE) & (part[some][:, None] != part[None, :]))
-            out.append(np.stack([cid[some[x]], cid[y]], axis=1))
+            close_by = (agree >= AGREE) & (part[some][:, None] != part[None, :])
+            for x, row in zip(some, close_by, strict=True):
+                y = np.flatnonzero(row)
+                if len(y) and len(y := y[known.may_link(x, y)]):
+                    out.append(np.stack([np.full(len(y), cid[x]), cid[y]], axis=1))
         pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     for batch in batches:
-        columns = (batch.column(k).to_pylist() for k in range(4))
-        for own, cid, part, value in zip(*columns, strict=True):
+        columns = (batch.column(k).to_pylist() for k in range(6))
+        for own, *member in zip(*columns, strict=True):
             if own != key:
-                if cids and (found := close()):
+                if members and (found := close()):
                     yield found
-                key, cids, parts, bits = own, [], [], []
-            cids.append(cid)
-            parts.append(part)
-            bits.append(value)
-    if cids and (found := close()):
+                key, members = own, []
+            members.append(member)
+    if members and (found := close()):
         yield found
 
 
-def _open_pairs(members: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
+def _open_pairs(members: DataFrame, found: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Distinct promising pairs across components that share a bucket.
 
     A bucket is compared in blocks: members fall into blocks of about ``BLOCK``, and each two blocks
@@ -284,14 +349,16 @@ def _open_pairs(members: DataFrame, found: DataFrame, classes: DataFrame) -> Dat
         .agg(F.min("part").alias("x"), F.max("part").alias("y"), F.ceil(F.count("*") / BLOCK).alias("blocks"))
         .where("x <> y").select("band", "blocks")
     )
-    opened = salted_join(placed, several, ["band"], F.col("cid"), "inner").join(
-        classes.select("cid", "bits"), "cid"
-    )
+    opened = saved(salted_join(placed, several, ["band"], F.col("cid"), "inner"), "opened")
+    wanted = texts.join(opened.select("cid").distinct(), "cid", "left_semi")
+    samples = wanted.mapInArrow(_sampled, "cid bigint, level int, sample binary").distinct()
+    opened = opened.join(classes.select("cid", "bits"), "cid").join(samples, "cid")
+    kept = ["cid", "part", "bits", "level", "sample"]
     own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    met = opened.select("band", "cid", "part", "bits", own.alias("own"), other.alias("other"))
+    met = opened.select("band", *kept, own.alias("own"), other.alias("other"))
     group = F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other"))
-    grouped = met.select(group.alias("g"), "cid", "part", "bits")
+    grouped = met.select(group.alias("g"), *kept)
     ordered = grouped.repartition(tasks_for(members.sparkSession), "g").sortWithinPartitions("g")
     return ordered.mapInArrow(_block_pairs, "a bigint, b bigint").distinct()
 
@@ -323,18 +390,16 @@ def near_groups(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         "stars",
     )
     best = stars.groupBy("a").agg(F.max(F.struct("shared", F.col("b").alias("to"))).alias("best"))
-    edges = saved(_verified(best.select("a", F.col("best.to").alias("b")), texts), "links")
+    found = components(saved(_verified(best.select("a", F.col("best.to").alias("b")), texts), "links"))
     # Between two components one pair, the one that shares most bands, stands for the others.
-    between = _across(stars, components(edges), keep=True)
+    between = _across(stars, found, keep=True)
     ends = [F.least("c_a", "c_b").alias("x"), F.greatest("c_a", "c_b").alias("y")]
     chosen = between.groupBy(*ends).agg(F.max(F.struct("shared", "a", "b")).alias("best"))
-    edges = edges.unionByName(saved(_verified(chosen.select("best.a", "best.b"), texts), "links"))
-    others = _across(stars.select("a", "b"), components(edges))
-    edges = edges.unionByName(saved(_verified(_promising(others, classes), texts), "links"))
-    found = components(edges)
-    last = saved(_open_pairs(members, found, classes), "last")
-    links = saved(_verified(last, texts), "links")
-    found = components(edges.unionByName(links))
+    found = _merged(found, _verified(chosen.select("best.a", "best.b"), texts))
+    others = _across(stars.select("a", "b"), found)
+    found = _merged(found, _verified(_promising(others, classes), texts))
+    last = saved(_open_pairs(members, found, classes, texts), "last")
+    found = _merged(found, _verified(last, texts))
 
     named = classes.select("key", "cid").join(found, F.col("cid") == F.col("node"), "left")
     named = named.select("key", F.coalesce("component", "cid").alias("component_id"))
