@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all nodes see: the cluster's, or a new temporary one where none is set."""
+    """Folder all nodes see. Where none is set, a local master gets a new temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or tempfile.mkdtemp(prefix="tokenframe-")
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all nodes share")
+    return tempfile.mkdtemp(prefix="tokenframe-")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder of its own name in the shared one, so that the caller can remove it."""
     return f"{shared_folder(spark)}/tokenframe-{name}-{uuid4().hex}"
 
 
