@@ -348,6 +348,10 @@ SELECT count(*) AS n_values, 0::BIGINT AS first_id, count(*) - 1 AS last_id, cou
     "extract_from_struct": extract_addresses("any"),
     "extract_from_ids": extract_addresses("start"),
     "extract_no_raw": extract_addresses("whole"),
+    "extract_normalised": f"""
+SELECT l_orderkey, l_linenumber, lower("CIVIC") AS "CIVIC", lower("STREET") AS "STREET",
+       lower("TYPE") AS "TYPE", complement FROM ({extract_addresses("any")})
+""",
     "extract_documents": extract_phrase("documents", "doc_id"),
     "extract_join_lookup": extract_join_lookup(),
     "extract_first": extract_first(),
@@ -360,6 +364,13 @@ WITH l AS ({LONG_DOCS})
 SELECT t AS token, count(*) AS n_tokens, count(DISTINCT doc_id) AS n_keys
 FROM l WHERE {unknown(type_of("t"), TYPE_NAMES)}
 GROUP BY t ORDER BY n_tokens DESC, token LIMIT 50
+""",
+    "unknown_topk_large": f"""
+WITH l AS ({long_tokens("documents", "source")}),
+     g AS (SELECT source, t AS token, count(*) AS n_tokens
+           FROM l WHERE {unknown(class_of("t"), CLASS_NAMES)} GROUP BY ALL)
+SELECT * FROM g
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY n_tokens DESC, token) <= 2000
 """,
     "unknown_topk_by_source": f"""
 WITH l AS ({long_tokens("documents", "doc_id, source")}),

@@ -193,6 +193,21 @@ def _extract_tokenized(fields: dict[str, bool], mode: str) -> Query:
     return query
 
 
+def extract_normalised(spark, sf_dir):
+    """Tokens in lower case since tokenizing; the complement is cut from the text as it was."""
+    m = model(spark)
+    tokenized = tf.tokenize(addresses(spark, sf_dir), "address", m)
+    lower = F.transform("address.tokens", F.lower)
+    tokenized = tokenized.withColumn("address", F.col("address").withField("tokens", lower))
+    found = tf.extract(tokenized, "address", m, ADDRESS, "any")
+    return found.select("l_orderkey", "l_linenumber", "address.*")
+
+
+def unknown_topk_large(spark, sf_dir):
+    docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return tf.unknown_tokens(docs, "text", model(spark), 2_000, by="source", level="class")
+
+
 def extract_documents(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     found = tf.extract(docs, "text", model(spark), ARTICLE_PHRASE, "any")
@@ -382,6 +397,7 @@ QUERIES: dict[str, Query] = {
         {"raw_value": False, "types": False, "classes": False, "class_ids": True}, "start"
     ),
     "extract_no_raw": _extract_tokenized({"raw_value": False, "types": False}, "whole"),
+    "extract_normalised": extract_normalised,
     "extract_documents": extract_documents,
     "extract_join_lookup": extract_join_lookup,
     "extract_first": extract_first,
@@ -391,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "shape_topk_turns": shape_topk_turns,
     "unknown_topk": unknown_topk,
     "unknown_topk_by_source": unknown_topk_by_source,
+    "unknown_topk_large": unknown_topk_large,
     "extraction_report": extraction_report,
     "class_coverage": class_coverage,
     "class_coverage_addresses": class_coverage_addresses,

@@ -239,9 +239,15 @@ def captures(compiled: ShapePattern, tokens: Column, parts: Column) -> dict[str,
 
 
 def leftover(raw: Column, tokens: Column, parts: Column) -> Column:
-    """Text before and after the match; the whole text without a match, NULL for NULL."""
+    """Text before and after the match; the whole text without a match, NULL for NULL.
+
+    It is cut from the raw text by the lengths of the tokens outside the match, so it stays as written
+    where tokens were normalised since. Where that changed a token's length, the head still counts
+    from the start of the raw text and the tail from its end.
+    """
     head = F.length(F.get(parts, F.lit(0)))
     tail = F.length(F.element_at(parts, -1))
-    before = F.array_join(F.slice(tokens, F.lit(1), head), "")
-    after = F.array_join(F.slice(tokens, F.size(tokens) - tail + 1, tail), "")
-    return F.when(is_match(parts), F.concat(before, after)).when(parts.isNotNull(), raw)
+    before = F.length(F.array_join(F.slice(tokens, F.lit(1), head), ""))
+    after = F.length(F.array_join(F.slice(tokens, F.size(tokens) - tail + 1, tail), ""))
+    cut = F.concat(F.left(raw, before), F.right(raw, after))
+    return F.when(is_match(parts), cut).when(parts.isNotNull(), raw)

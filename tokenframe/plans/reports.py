@@ -16,6 +16,8 @@ from ..operators.extract import is_match, match_parts, shape_source
 from ..operators.tokenize import string_column, tokenize
 
 BLANK_LABEL = "(blank)"
+# Parts of a group that rank their own tokens first.
+GROUP_PARTS = 256
 RAW_LABEL = "(raw)"
 TOKENS, SHAPE, RAW = "__tf_tokens", "__tf_shape", "__tf_raw"
 _STRUCT, _ID, _BLANK_ID = "__tf_struct", "__tf_id", -1
@@ -157,9 +159,13 @@ def unknown_tokens(
     order = [F.desc("n_tokens"), F.col("token")]
     if not keys:
         return counts.orderBy(*order).limit(k)
-    # Each task keeps its own first k per group before the groups are brought together.
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return counts.withColumn("__tf_rank", rank).where(F.col("__tf_rank") <= k).drop("__tf_rank")
+    # The first k of each part of a group, then of the group, so that no task sorts all its tokens.
+    part = F.pmod(F.xxhash64("token"), F.lit(GROUP_PARTS))
+    counts = counts.withColumn("__tf_part", part)
+    for within in ([*keys, "__tf_part"], keys):
+        rank = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
+        counts = counts.withColumn("__tf_rank", rank).where(F.col("__tf_rank") <= k)
+    return counts.drop("__tf_rank", "__tf_part")
 
 
 def extraction_report(
