@@ -416,6 +416,24 @@ def test_katz(spark, docs, odd, empty, texts):
     assert katz.fit_and_score(empty, "doc_id", "text").count() == 0
 
 
+def test_katz_keeps_rare_words_apart(spark):
+    """More words than the head has room for: each is still a word of its own, in both places of a pair."""
+    rng = random.Random(12)
+    texts = [" ".join(f"r{400 * k + j}" for j in range(400)) for k in range(200)]
+    texts += [" ".join(f"r{rng.randrange(80_000)}" for _ in range(300)) for _ in range(60)]
+    texts += [" ".join(f"r{400 * k + j} the" for j in range(0, 400, 3)) + " of the end" for k in range(60)]
+    texts += [texts[k] for k in range(40)] + [f"r{400 * k} r{400 * k + 1} unseen{k} r5 unseen{k}" for k in range(80)]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = by_id(katz.fit_and_score(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), "doc_id", "text"))
+    tokens = {k: [*words(t), None] for k, t in rows}
+    training = [t for k, t in tokens.items() if zlib.crc32(str(k).encode()) % 5 != 1]
+    assert len({w for t in training for w in t}) > katz.VOCABULARY
+    for k, (base, known, score) in score_by_hand(training, tokens).items():
+        assert got[k]["n_known"] == known
+        assert math.isclose(got[k]["base_score"], base, rel_tol=1e-9)
+        assert math.isclose(got[k]["score"], score, rel_tol=1e-9), k
+
+
 def score_by_hand(training, tokens):
     c, pairs = Counter(), Counter()
     for t in training:

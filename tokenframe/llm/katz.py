@@ -1,21 +1,29 @@
 """Score texts with a Katz backoff model of words and word pairs.
 
 Words (A-Z in lower case) and one end per text are the tokens; the end also stands before
-the first word. The model's vocabulary holds the ``VOCABULARY`` most frequent words; the rest
-are one class, whose probability is shared out to its words by their counts. Pairs seen
-``CUT`` times or fewer are discounted by Good-Turing; what that frees goes to the words that
-do not follow, in proportion to their own probabilities, so that each word's followers sum
-to one: P(w | v) = d(r) * r / c(v) if the pair is in the table, else alpha(v) * P(w).
-
-The pair table is partitioned by a hash of the pair. Tokens travel to it, packed and without
-their words; it never travels to them. A partition counts its pairs in the training documents
-and answers for every document with sums: how many of its pairs have a count of 1, 2, …, the
-logarithms of larger counts, and the words after which it must back off. Discounts and weights
-are applied to these sums, so one trip is enough. Pairs of the ``DENSE`` most frequent words are
-counted in a dense table of fixed size instead, as such a pair may be anywhere.
-
-What the driver sees is bounded: a histogram of counts, at most ``FREQUENT`` words, the dense
-table, and one row of backoff sums per vocabulary word. Counts cover all training documents.
+the first word. Every word of the training documents is a word of the model, however rare; all
+others are one more word with a count of 0. Pairs seen ``CUT`` times or fewer are discounted by
+Good-Turing; what that frees goes to the words that do not follow, in proportion to their own
+probabilities, so that each word's followers sum to one: P(w | v) = d(r) * r / c(v) if the pair is
+in the table, else alpha(v) * P(w).
+
+Up to ``VOCABULARY`` words, the most frequent of all documents, are the head: each task has their
+counts, and they travel as numbers. All other words, the tail, travel as 64-bit hashes.
+
+1. Tokens travel, packed, to the pair table; it never travels to them. A pair is dealt by its
+   second word if that is in the tail, else by its first if that is, else by both. So a partition
+   meets a tail word w in all its places, and counts c(w) itself. It counts its pairs in the training
+   documents and answers for every document with sums: how many of its pairs have a count of 1,
+   2, …, the logarithms of larger counts, and the head words after which it must back off.
+2. What stands after a tail word v goes on to the table of contexts, dealt by v. There all
+   followers of v are together: its discount and weight are computed and applied.
+3. Discounts and weights of the head are applied to the sums of step 1, document by document.
+
+Pairs of the ``DENSE`` most frequent words are counted in a dense table of fixed size instead, as such
+a pair may be anywhere. Other pairs are told apart by 64-bit hashes.
+
+What the driver sees is bounded: a histogram of counts, the head, the dense table, and one row of
+backoff sums per head word. Counts cover all training documents.
 
 Defined cases: a NULL text is empty, so only its end is scored. A NULL id is a training document.
 Repeated rows are counted and scored one by one. Without training documents each probability
@@ -33,12 +41,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .store import saved, tasks_for
-from .words import mixed, slices, texts_of, words_in
+from .words import chained, mixed, slices, texts_of, words_in
 
 HELD_OUT_FOLDS, HELD_OUT = 5, 1
+#: Words of the head, and the number that stands for any other word.
 VOCABULARY = 65_535
 UNKNOWN = VOCABULARY
-FREQUENT = 400_000
 DENSE = 512
 CUT = 5
 FLUSH_BYTES = 8 << 20
@@ -47,7 +55,9 @@ TOKENS_PER_TASK = 6_000_000
 END = np.uint64(0x5F3759DF5F3759DF)
 
 _ID, _TEXT, _CRC, _TRAIN = "__k_id", "__k_text", "__k_crc", "__k_train"
-_STATS = CUT + 2  # counts of pairs with 1, …, CUT; logarithms; fixed part of backing off
+#: Counts of pairs with 1, …, CUT; logarithms; own part of backing off; tail words known, their logarithms.
+_STATS = CUT + 4
+_HEADS, _DOCS, _CONTEXTS = 0, 1, 2
 
 
 class Lookup:
@@ -86,48 +96,52 @@ def _tokens(texts: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of each word in the training documents, and in all."""
     for batch in batches:
         texts = texts_of(batch.column(0))
         if not len(texts):
             continue
-        hashes = np.concatenate([_tokens(texts, lo, hi)[0] for lo, hi in slices(texts)])
-        values, counts = np.unique(hashes, return_counts=True)
-        for at in range(0, len(values), 1 << 18):
+        train = batch.column(1).to_numpy(zero_copy_only=False)
+        held = []
+        for lo, hi in slices(texts):
+            hashes, first = _tokens(texts, lo, hi)
+            values, at = np.unique(hashes, return_inverse=True)
+            own = np.bincount(at[np.repeat(train[lo:hi], np.diff(first))], minlength=len(values))
+            held.append((values, own, np.bincount(at, minlength=len(values))))
+        hashes, own, every = (np.concatenate(x) for x in zip(*held, strict=True))
+        values, at = np.unique(hashes, return_inverse=True)
+        own = np.bincount(at, own, len(values)).astype(np.int64)
+        every = np.bincount(at, every, len(values)).astype(np.int64)
+        for k in range(0, len(values), 1 << 18):
+            some = slice(k, k + (1 << 18))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[at : at + (1 << 18)].view(np.int64)), pa.array(counts[at : at + (1 << 18)])],
-                names=["h", "n"],
+                [pa.array(values[some].view(np.int64)), pa.array(own[some]), pa.array(every[some])],
+                names=["h", "n", "every"],
             )
 
 
 @dataclass
 class Unigrams:
-    """Frequent words, most frequent first, and totals over all words."""
+    """The head, most frequent first, and totals over all words; ``places`` counts all documents."""
 
     hashes: np.ndarray
     counts: np.ndarray
     total: int
     distinct: int
+    places: int = 0
 
     def __post_init__(self) -> None:
-        size = min(VOCABULARY, len(self.hashes))
-        self.vocabulary = size
-        own = self.counts[:size].astype(np.float64)
-        rest = self.total - own.sum()
+        size = len(self.hashes)
         self.context = np.zeros(UNKNOWN + 1)
-        self.context[:size] = own
-        self.context[UNKNOWN] = rest
-        self.log_p = np.zeros(UNKNOWN + 1)
-        down = self.total + 0.5 * (size + 1)
-        self.log_p[:size] = np.log10((own + 0.5) / down)
-        self.log_p[UNKNOWN] = np.log10((rest + 0.5) / down)
-        with np.errstate(divide="ignore"):
-            self.log_context = np.where(self.context > 0, np.log10(self.context), 0.0)
-        self.log_class = np.log10(rest + 0.5 * (self.distinct - size + 1))
-
-    def ids(self, lookup: Lookup, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(vocabulary number, position among the frequent words or -1)."""
+        self.context[:size] = self.counts
+        #: Of each word, what its probability is in proportion to.
+        self.mass = self.context + 0.5
+        self.down = self.total + 0.5 * (self.distinct + 1)
+        self.log_p = np.log10(self.mass / self.down)
+
+    def ids(self, lookup: Lookup, hashes: np.ndarray) -> np.ndarray:
         at = lookup(hashes)
-        return np.where((at >= 0) & (at < self.vocabulary), at, UNKNOWN).astype(np.uint32), at
+        return np.where(at >= 0, at, UNKNOWN).astype(np.uint32)
 
 
 def _histories(ids: np.ndarray, first: np.ndarray, end: int) -> np.ndarray:
@@ -139,14 +153,14 @@ def _histories(ids: np.ndarray, first: np.ndarray, end: int) -> np.ndarray:
 
 def _dense_counter(words: Unigrams):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(words.hashes[: words.vocabulary])
+        lookup = Lookup(words.hashes)
         end = int(lookup(np.array([END]))[0]) % (UNKNOWN + 1)
         table = np.zeros(DENSE * DENSE, np.int64)
         for batch in batches:
             texts = texts_of(batch.column(0))
             for lo, hi in slices(texts):
                 hashes, first = _tokens(texts, lo, hi)
-                cur, _ = words.ids(lookup, hashes)
+                cur = words.ids(lookup, hashes)
                 prev = _histories(cur, first, end)
                 both = (cur < DENSE) & (prev < DENSE)
                 table += np.bincount(prev[both] * DENSE + cur[both], minlength=len(table))
@@ -158,7 +172,7 @@ def _dense_counter(words: Unigrams):
 
 def _dealer(words: Unigrams, partitions: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lookup = Lookup(words.hashes[: words.vocabulary])
+        lookup = Lookup(words.hashes)
         end = int(lookup(np.array([END]))[0]) % (UNKNOWN + 1)
         for batch in batches:
             texts = texts_of(batch.column(1))
@@ -174,12 +188,12 @@ def _dealer(words: Unigrams, partitions: int):
             held, size = [], 0
             for lo, hi in slices(texts):
                 hashes, first = _tokens(texts, lo, hi)
-                cur, _ = words.ids(lookup, hashes)
+                cur = words.ids(lookup, hashes)
                 prev = _histories(cur, first, end)
                 doc = np.repeat(np.arange(lo, hi, dtype=np.uint64), np.diff(first))
                 cold = (cur >= DENSE) | (prev >= DENSE)
-                pair = (prev[cold] << np.uint32(16)) | cur[cold]
-                held.append((pair, doc[cold]))
+                before = _histories(hashes, first, END)
+                held.append((prev[cold], cur[cold], before[cold], hashes[cold], doc[cold]))
                 size += len(hashes) * 6
                 if size >= FLUSH_BYTES:
                     yield from _blobs(held, keys, partitions)
@@ -191,82 +205,133 @@ def _dealer(words: Unigrams, partitions: int):
 
 
 def _blobs(held: list, keys: np.ndarray, partitions: int) -> Iterator[pa.RecordBatch]:
-    pair, doc = (np.concatenate(x) for x in zip(*held, strict=True))
-    if not len(pair):
+    prev, cur, before, word, doc = (np.concatenate(x) for x in zip(*held, strict=True))
+    if not len(prev):
         return
-    part = (mixed(pair.astype(np.uint64)) % np.uint64(partitions)).astype(np.uint16 if partitions < 65_536 else np.uint32)
+    rare = cur == UNKNOWN, prev == UNKNOWN
+    deal = np.where(rare[0], word, np.where(rare[1], before, mixed((prev.astype(np.uint64) << np.uint64(16)) | cur)))
+    part = (mixed(deal) % np.uint64(partitions)).astype(np.uint16 if partitions < 65_536 else np.uint32)
     order = np.argsort(part, kind="stable")
-    part, pair, doc = part[order], pair[order], doc[order].astype(np.int64)
+    part, doc = part[order], doc[order].astype(np.int64)
+    prev, cur, before, word = prev[order].astype(np.uint16), cur[order].astype(np.uint16), before[order], word[order]
     cuts = np.flatnonzero(np.diff(part)) + 1
     packer, blobs, parts = zstandard.ZstdCompressor(level=1), [], []
     for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True):
         own, n = np.unique(doc[a:b], return_counts=True)
-        planes = np.ascontiguousarray(pair[a:b]).view(np.uint8).reshape(-1, 4).T.tobytes()
-        rest = keys[own].T.tobytes() + n.astype(np.uint32).tobytes() + planes
-        blobs.append(np.array([b - a, len(own)], np.int64).tobytes() + packer.compress(rest))
+        planes = [_planes(prev[a:b]), _planes(cur[a:b])]
+        tails = before[a:b][prev[a:b] == UNKNOWN].tobytes() + word[a:b][cur[a:b] == UNKNOWN].tobytes()
+        rest = packer.compress(b"".join([keys[own].T.tobytes(), n.astype(np.uint32).tobytes(), *planes]))
+        blobs.append(np.array([b - a, len(own), len(rest)], np.int64).tobytes() + rest + tails)
         parts.append(int(part[a]))
     yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "blob"])
 
 
-def _open(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, d = np.frombuffer(blob, np.int64, 2)
-    rest = zstandard.ZstdDecompressor().decompress(blob[16:])
+def _planes(values: np.ndarray) -> bytes:
+    """First bytes of all values, then second bytes, …; zeros stand together."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def _from_planes(data: bytes, kind: type, n: int, at: int = 0) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(data, np.uint8, size * n, at).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _open(blob: bytes) -> tuple[np.ndarray, ...]:
+    """Numbers of both words of each pair, hashes of those in the tail, documents and their runs."""
+    n, d, size = np.frombuffer(blob, np.int64, 3).tolist()
+    rest = zstandard.ZstdDecompressor().decompress(blob[24 : 24 + size])
     keys = np.frombuffer(rest, np.int64, 3 * d).reshape(3, d).T
     counts = np.frombuffer(rest, np.uint32, d, 24 * d)
-    planes = np.frombuffer(rest, np.uint8, 4 * n, 28 * d).reshape(4, n)
-    return np.ascontiguousarray(planes.T).view(np.uint32).ravel(), keys, counts
+    prev, cur = (_from_planes(rest, np.uint16, n, 28 * d + k) for k in (0, 2 * n))
+    tails = np.frombuffer(blob, np.uint64, offset=24 + size) if len(blob) > 24 + size else np.empty(0, np.uint64)
+    cut = int((prev == UNKNOWN).sum())
+    return prev, cur, tails[:cut], tails[cut:], keys, counts
 
 
 def _answerer(words: Unigrams, partitions: int):
-    """For one partition of the pair table: its backoff sums (to -1), and sums for documents."""
+    """For one partition of the pair table: backoff sums of the head, sums for documents, and what
+    stands after tail words."""
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [_open(blob) for batch in batches for blob in batch.column(1).to_pylist()]
         if not held:
             return
-        pair = np.concatenate([h[0] for h in held])
-        keys = np.concatenate([h[1] for h in held])
-        counts = np.concatenate([h[2] for h in held])
+        prev, cur, before, word, keys, counts = (np.concatenate(x) for x in zip(*held, strict=True))
         del held
-        doc = np.repeat(np.arange(len(keys)), counts)
-        train = (keys[:, 2] & 1).astype(bool)[doc]
-        own, place = np.unique(pair, return_inverse=True)
-        seen = np.bincount(place[train], minlength=len(own))
-        yield _blob_row(-1, _backoff_sums(own, seen, words))
-        r = seen[place]
         # Documents that fall together: a document may have come in several runs.
         unique, row = np.unique(keys, axis=0, return_inverse=True)
-        doc = row.ravel()[doc]
+        doc = np.repeat(row.ravel().astype(np.int32), counts)
+        train = (unique[:, 2] & 1).astype(bool)[doc]
+        after_rare, rare = np.flatnonzero(prev == UNKNOWN), np.flatnonzero(cur == UNKNOWN)
+        v, w = prev.astype(np.uint64), cur.astype(np.uint64)
+        v[after_rare], w[rare] = before, word
+        _, first, place = np.unique(chained([v, w]), return_index=True, return_inverse=True)
+        seen = np.bincount(place[train], minlength=len(first))
+        r = seen[place]
+        del place, w
+        mass = words.mass[cur]
+        _, same = np.unique(word, return_inverse=True)
+        of_word = np.bincount(same[train[rare]], minlength=int(same.max()) + 1 if len(same) else 0)[same]
+        mass[rare] += of_word
+
+        met = first[seen > 0]
+        yield _blob_row(_HEADS, 0, list(_backoff_sums(prev[met].astype(np.int64), r[met], mass[met])))
+
+        sums = lambda at, x=None: np.bincount(doc[at], x, len(unique))
         stats = np.zeros((len(unique), _STATS))
         for k in range(1, CUT + 1):
-            stats[:, k - 1] = np.bincount(doc[r == k], minlength=len(unique))
+            stats[:, k - 1] = sums(r == k)
         big, none = r > CUT, r == 0
-        stats[:, CUT] = np.bincount(doc[big], np.log10(r[big]), len(unique))
-        prev, cur = (pair >> np.uint32(16)).astype(np.int64), (pair & np.uint32(0xFFFF)).astype(np.int64)
-        fixed = words.log_p[cur[none]] + words.log_context[prev[none]]
-        stats[:, CUT + 1] = np.bincount(doc[none], fixed, len(unique))
-        order = np.argsort(doc[none], kind="stable")
-        after = prev[none][order].astype(np.uint16)
-        n_after = np.bincount(doc[none], minlength=len(unique))
-        bucket = (mixed(unique[:, 0].astype(np.uint64)) % np.uint64(partitions)).astype(np.int64)
+        stats[:, CUT] = sums(big, np.log10(r[big]))
+        stats[:, CUT + 1] = sums(none, np.log10(mass[none] / words.down))
+        stats[:, CUT + 2] = sums(rare, of_word > 0)
+        stats[:, CUT + 3] = sums(rare, np.log10(of_word + 0.5))
+        back = np.flatnonzero(none & (prev != UNKNOWN))
+        back = back[np.argsort(doc[back], kind="stable")]
+        n_after = np.bincount(doc[back], minlength=len(unique))
         begins = np.concatenate([[0], np.cumsum(n_after)])
+        bucket = (mixed(unique[:, 0].astype(np.uint64)) % np.uint64(partitions)).astype(np.int64)
         for b in np.unique(bucket):
             at = np.flatnonzero(bucket == b)
-            words_after = np.concatenate([after[begins[k] : begins[k + 1]] for k in at]) if n_after[at].sum() else after[:0]
+            words_after = prev[np.concatenate([back[begins[k] : begins[k + 1]] for k in at])]
             yield _blob_row(
-                int(b),
-                [unique[at].ravel(), stats[at, :CUT].astype(np.uint32).T.ravel(), stats[at, CUT:].ravel(),
+                _DOCS, int(b),
+                [unique[at].ravel(), stats[at, :CUT].astype(np.uint32).T.ravel(), stats[at, CUT:].T.ravel(),
                  n_after[at].astype(np.uint32), words_after],
             )
 
+        met = met[prev[met] == UNKNOWN]
+        own, table = _backoff_sums(v[met], r[met], mass[met])
+        table = table.reshape(-1, CUT + 3)
+        bucket_of = lambda h: (mixed(h) % np.uint64(partitions)).astype(np.int64)
+        target, rows_of = bucket_of(before), bucket_of(own)
+        order = np.lexsort((before, target))
+        target, places = target[order], after_rare[order]
+        cuts = np.flatnonzero(np.diff(target)) + 1
+        for a, z in zip([0, *cuts], [*cuts, len(target)], strict=True):
+            if a == z:
+                continue
+            at = places[a:z]
+            values, n = np.unique(v[at], return_counts=True)
+            docs, local = np.unique(doc[at], return_inverse=True)
+            rows = np.zeros((len(values), CUT + 3))
+            here = rows_of == target[a]
+            rows[np.searchsorted(values, own[here])] = table[here]
+            yield _blob_row(
+                _CONTEXTS, int(target[a]),
+                [values, n.astype(np.uint32), rows.ravel(), unique[docs].ravel(), local.astype(np.uint32), none[at]],
+            )
+
     return answer
 
 
-def _blob_row(bucket: int, arrays: list[np.ndarray]) -> pa.RecordBatch:
-    body = zstandard.ZstdCompressor(level=1).compress(b"".join(a.tobytes() for a in arrays))
+def _blob_row(kind: int, bucket: int, arrays: list[np.ndarray]) -> pa.RecordBatch:
+    body = zstandard.ZstdCompressor(level=1).compress(b"".join(map(_planes, arrays)))
     head = np.array([len(a) for a in arrays], np.int64).tobytes()
     return pa.RecordBatch.from_arrays(
-        [pa.array([bucket], pa.int32()), pa.array([head + body], pa.binary())], names=["bucket", "blob"]
+        [pa.array([kind], pa.int32()), pa.array([bucket], pa.int32()), pa.array([head + body], pa.binary())],
+        names=["kind", "bucket", "blob"],
     )
 
 
@@ -275,22 +340,20 @@ def _arrays(blob: bytes, kinds: list[type]) -> list[np.ndarray]:
     body = zstandard.ZstdDecompressor().decompress(blob[8 * len(kinds) :])
     out, at = [], 0
     for n, kind in zip(sizes.tolist(), kinds, strict=True):
-        out.append(np.frombuffer(body, kind, n, at))
+        out.append(_from_planes(body, kind, n, at))
         at += n * np.dtype(kind).itemsize
     return out
 
 
-def _backoff_sums(pairs: np.ndarray, seen: np.ndarray, words: Unigrams) -> list[np.ndarray]:
-    """Per word: followers with 1, …, CUT + 1; sum of larger counts; sum of their P(w)."""
-    pairs, r = pairs[seen > 0], seen[seen > 0]
-    prev, cur = (pairs >> np.uint32(16)).astype(np.int64), (pairs & np.uint32(0xFFFF)).astype(np.int64)
+def _backoff_sums(prev: np.ndarray, r: np.ndarray, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per word: followers with 1, …, CUT + 1; sum of larger counts; sum of their masses."""
     own, at = np.unique(prev, return_inverse=True)
     table = np.zeros((len(own), CUT + 3))
     for k in range(1, CUT + 2):
         table[:, k - 1] = np.bincount(at[r == k], minlength=len(own))
     table[:, CUT + 1] = np.bincount(at, np.where(r > CUT, r, 0), len(own))
-    table[:, CUT + 2] = np.bincount(at, 10.0 ** words.log_p[cur], len(own))
-    return [own, table.ravel()]
+    table[:, CUT + 2] = np.bincount(at, mass, len(own))
+    return own, table.ravel()
 
 
 _SUMS = [f"s{k}" for k in range(CUT + 3)]
@@ -298,7 +361,7 @@ _SUMS = [f"s{k}" for k in range(CUT + 3)]
 
 def _backoff_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for blob in batch.column(1).to_pylist():
+        for blob in batch.column(0).to_pylist():
             own, table = _arrays(blob, [np.int64, np.float64])
             table = table.reshape(-1, CUT + 3)
             yield pa.RecordBatch.from_arrays(
@@ -306,26 +369,35 @@ def _backoff_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+def _weights(
+    sums: np.ndarray, context: np.ndarray, discount: np.ndarray, down: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of what counts are divided by, and of the backoff weight."""
+    kept = sums[:, :CUT] @ (discount * np.arange(1, CUT + 1)) + sums[:, CUT + 1]
+    # Where nothing is freed, one count is set aside, so that no follower is impossible.
+    tight = context - kept < 1e-9 * np.maximum(context, 1)
+    whole = np.maximum(context + tight, 1)
+    free = np.where(context > 0, 1 - kept / whole, 1.0)
+    left = np.maximum(1 - sums[:, CUT + 2] / down, 1e-12)
+    return np.log10(whole), np.log10(np.maximum(free, 1e-300) / left)
+
+
 class Model:
-    """Discounts and backoff weights; arrays over the vocabulary."""
+    """Discounts of all pairs and backoff weights of the head; arrays over its numbers.
+
+    In ``sums``, the row of ``UNKNOWN`` adds up all tail words: it is there for the discounts only.
+    """
 
     def __init__(self, words: Unigrams, dense: np.ndarray, sums: np.ndarray) -> None:
         self.words, self.dense = words, dense
         prev, cur = np.divmod(np.flatnonzero(dense), DENSE)
-        own, table = _backoff_sums(((prev << 16) | cur).astype(np.uint32), dense[prev * DENSE + cur], words)
+        own, table = _backoff_sums(prev, dense[prev * DENSE + cur], words.mass[cur])
         sums = sums.copy()
         sums[own] += table.reshape(-1, CUT + 3)
         self.discount = good_turing(sums[:, : CUT + 1].sum(axis=0))
-        r = np.arange(1, CUT + 1)
-        kept = sums[:, :CUT] @ (self.discount * r) + sums[:, CUT + 1]
-        context = words.context
-        # Where nothing is freed, one count is set aside, so that no follower is impossible.
-        tight = context - kept < 1e-9 * np.maximum(context, 1)
-        self.log_down = np.log10(np.maximum(context + tight, 1))
-        free = np.where(context > 0, 1 - kept / np.maximum(context + tight, 1), 1.0)
-        left = np.maximum(1 - sums[:, CUT + 2], 1e-12)
-        self.log_alpha = np.log10(np.maximum(free, 1e-300) / left)
-        self.log_kept = np.log10(self.discount * r)
+        sums[UNKNOWN] = 0
+        self.log_down, self.log_alpha = _weights(sums, words.context, self.discount, words.down)
+        self.log_kept = np.log10(self.discount * np.arange(1, CUT + 1))
 
     def seen_logs(self, r: np.ndarray) -> np.ndarray:
         return np.where(r <= CUT, self.log_kept[np.clip(r, 1, CUT) - 1], np.log10(np.maximum(r, 1)))
@@ -345,6 +417,17 @@ def good_turing(n: np.ndarray) -> np.ndarray:
     return np.where((d > 0) & (d < 1), d, half)
 
 
+def _by_document(keys: list, values: list[np.ndarray]) -> pa.RecordBatch:
+    """A row per document, values of equal keys added."""
+    unique, row = np.unique(np.concatenate(keys), axis=0, return_inverse=True)
+    total = [np.bincount(row.ravel(), x, len(unique)) for x in np.concatenate(values).T]
+    ids = pa.array(unique[:, 0], mask=unique[:, 2] >= 2)
+    return pa.RecordBatch.from_arrays([ids, pa.array(unique[:, 1]), *map(pa.array, total)], names=[_ID, _CRC, *_PARTS])
+
+
+_PARTS = ["cold", "rare_known", "rare_base"]
+
+
 def _doc_sums(model: Model):
     """Sums of one partition's documents: what the pair table answered, weights applied."""
 
@@ -356,59 +439,79 @@ def _doc_sums(model: Model):
                     blob, [np.int64, np.uint32, np.float64, np.uint32, np.uint16]
                 )
                 d = len(k) // 3
-                score = few.reshape(CUT, d).T @ model.log_kept + logs.reshape(d, 2).sum(axis=1)
+                logs = logs.reshape(-1, d)
+                score = few.reshape(CUT, d).T @ model.log_kept + logs[0] + logs[1]
                 doc = np.repeat(np.arange(d), n_after)
-                score += np.bincount(doc, model.log_alpha[after] + (model.log_down - model.words.log_context)[after], d)
+                score += np.bincount(doc, (model.log_alpha + model.log_down)[after], d)
                 keys.append(k.reshape(d, 3))
-                values.append(score)
-        if not keys:
+                values.append(np.stack([score, logs[2], logs[3]], axis=1))
+        if keys:
+            yield _by_document(keys, values)
+
+    return sums
+
+
+def _context_sums(discount: np.ndarray, down: float):
+    """One partition of the table of contexts: what its tail words give to the documents."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [np.uint64, np.uint32, np.float64, np.int64, np.uint32, np.bool_]
+        held = [_arrays(blob, kinds) for batch in batches for blob in batch.column(1).to_pylist()]
+        if not held:
             return
-        unique, row = np.unique(np.concatenate(keys), axis=0, return_inverse=True)
-        total = np.bincount(row.ravel(), np.concatenate(values), len(unique))
-        nothing = pa.array(unique[:, 2] >= 2)
-        ids = pa.array(unique[:, 0], mask=np.asarray(nothing))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(unique[:, 1]), pa.array(total)], names=[_ID, _CRC, "cold"])
+        own, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
+        rows = np.concatenate([h[2] for h in held]).reshape(-1, CUT + 3)
+        table = np.stack([np.bincount(at, rows[:, k], len(own)) for k in range(CUT + 3)], axis=1)
+        # Something follows a word wherever it stands.
+        context = table[:, :CUT] @ np.arange(1, CUT + 1) + table[:, CUT + 1]
+        log_down, log_alpha = _weights(table, context, discount, down)
+        keys, values, begin = [], [], 0
+        for h in held:
+            word = np.repeat(at[begin : begin + len(h[0])], h[1])
+            begin += len(h[0])
+            given = np.where(h[5], log_alpha[word], -log_down[word])
+            keys.append(h[3].reshape(-1, 3))
+            values.append(np.bincount(h[4], given, len(keys[-1])))
+        total = np.concatenate(values)
+        nothing = np.zeros_like(total)
+        yield _by_document(keys, [np.stack([total, nothing, nothing], axis=1)])
 
     return sums
 
 
 def _doc_rows(model: Model):
-    """What a document can tell by itself, and its rare words."""
+    """What a document can tell by itself, from the head."""
     words = model.words
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(words.hashes)
-        log_count = np.log10(words.counts + 0.5)
+        log_count = np.log10(words.mass)
         end = int(lookup(np.array([END]))[0]) % (UNKNOWN + 1)
         for batch in batches:
             texts = texts_of(batch.column(1))
             for lo, hi in slices(texts):
                 hashes, first = _tokens(texts, lo, hi)
-                cur, at = words.ids(lookup, hashes)
+                cur = words.ids(lookup, hashes)
                 prev = _histories(cur, first, end)
                 d = hi - lo
                 doc = np.repeat(np.arange(d), np.diff(first))
-                logs = np.where(at >= 0, log_count[at] if len(log_count) else 0.0, 0.0)
-                unknown = cur == UNKNOWN
-                own = -model.log_down[prev] + np.where(unknown & (at >= 0), logs - words.log_class, 0.0)
+                # Tail words are counted where their places are together.
+                logs = np.where(cur == UNKNOWN, 0.0, log_count[cur])
+                own = -model.log_down[prev]
                 both = (cur < DENSE) & (prev < DENSE)
                 r = model.dense[prev[both] * DENSE + cur[both]]
                 backed = model.log_alpha[prev[both]] + words.log_p[cur[both]] + model.log_down[prev[both]]
                 own[both] += np.where(r > 0, model.seen_logs(r), backed)
-                rare = np.flatnonzero(at < 0)
-                groups = np.searchsorted(doc[rare], np.arange(d + 1))
-                values = hashes[rare].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[lo:hi],
                         batch.column(2)[lo:hi],
                         pa.array(np.diff(first)),
-                        pa.array(np.bincount(doc, at >= 0, d).astype(np.int64)),
+                        pa.array(np.bincount(doc, words.context[cur] > 0, d).astype(np.int64)),
                         pa.array(np.bincount(doc, logs, d)),
                         pa.array(np.bincount(doc, own, d)),
-                        pa.ListArray.from_arrays(pa.array(groups, pa.int32()), pa.array(values)),
                     ],
-                    names=[_ID, _CRC, "n", "known", "base", "own", "rare"],
+                    names=[_ID, _CRC, "n", "known", "base", "own"],
                 )
 
     return rows
@@ -425,10 +528,8 @@ def fit_and_score(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         (fold != HELD_OUT).alias(_TRAIN),
     )
     training = rows.where(_TRAIN).select(_TEXT)
-    counts = saved(
-        training.mapInArrow(_counted, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")), "unigrams"
-    )
-    words = _unigrams(counts)
+    counts = rows.select(_TEXT, _TRAIN).mapInArrow(_counted, "h bigint, n bigint, every bigint")
+    words = _unigrams(saved(counts.groupBy("h").agg(F.sum("n").alias("n"), F.sum("every").alias("every")), "unigrams"))
     dense = np.zeros(DENSE * DENSE, np.int64)
     found = (
         training.mapInArrow(_dense_counter(words), "pair bigint, n bigint").groupBy("pair")
@@ -436,44 +537,35 @@ def fit_and_score(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
     dense[found["pair"].to_numpy()] = found["n"].to_numpy()
 
-    partitions = max(tasks_for(spark), words.total // TOKENS_PER_TASK + 1)
+    partitions = max(tasks_for(spark), words.places // TOKENS_PER_TASK + 1)
     dealt = rows.select(_ID, _TEXT, _CRC, _TRAIN).mapInArrow(_dealer(words, partitions), "part int, blob binary")
     answers = saved(
         dealt.repartitionById(partitions, F.col("part")).mapInArrow(
-            _answerer(words, partitions), "bucket int, blob binary"
+            _answerer(words, partitions), "kind int, bucket int, blob binary"
         ),
         "answers",
     )
     sums = np.zeros((UNKNOWN + 1, CUT + 3))
     table = (
-        answers.where("bucket = -1")
+        answers.where(F.col("kind") == _HEADS).select("blob")
         .mapInArrow(_backoff_rows, "prev bigint, " + ", ".join(f"{s} double" for s in _SUMS))
-        .groupBy("prev").agg(*[F.sum(s).alias(s) for s in _SUMS]).toArrow()  # a row per vocabulary word
+        .groupBy("prev").agg(*[F.sum(s).alias(s) for s in _SUMS]).toArrow()  # a row per head word, and one
     )
     sums[table["prev"].to_numpy()] = np.stack([table[s].to_numpy() for s in _SUMS], axis=1)
     model = Model(words, dense, sums)
 
-    cold = answers.where("bucket >= 0").repartitionById(partitions, F.col("bucket")).mapInArrow(
-        _doc_sums(model), f"{_ID} bigint, {_CRC} bigint, cold double"
-    )
-    own = saved(
-        rows.select(_ID, _TEXT, _CRC).mapInArrow(
-            _doc_rows(model),
-            f"{_ID} bigint, {_CRC} bigint, n bigint, known bigint, base double, own double, rare array<bigint>",
-        ),
-        "documents",
+    def parts(kind: int, use) -> DataFrame:
+        some = answers.where(F.col("kind") == kind).select("bucket", "blob")
+        fields = f"{_ID} bigint, {_CRC} bigint, " + ", ".join(f"{k} double" for k in _PARTS)
+        return some.repartitionById(partitions, F.col("bucket")).mapInArrow(use, fields)
+
+    cold = parts(_DOCS, _doc_sums(model)).unionAll(parts(_CONTEXTS, _context_sums(model.discount, words.down)))
+    own = rows.select(_ID, _TEXT, _CRC).mapInArrow(
+        _doc_rows(model), f"{_ID} bigint, {_CRC} bigint, n bigint, known bigint, base double, own double"
     )
-    outside = own.select(_ID, _CRC, F.explode("rare").alias("h"))
-    outside = outside.groupBy(_ID, _CRC, "h").agg(F.count("*").alias("k"))
-    c = F.coalesce("n", F.lit(0))
-    rare = outside.join(counts, "h", "left").select(
-        _ID, _CRC, (F.col("k") * (c > 0).cast("bigint")).alias("rare_known"),
-        (F.col("k") * F.log10(c + 0.5)).alias("rare_base"),
-        (F.col("k") * (F.log10(c + 0.5) - F.lit(float(words.log_class)))).alias("rare_own"),
-    )
     nothing = {
         "times": "bigint", "n": "bigint", "known": "bigint", "base": "double", "own": "double", "cold": "double",
-        "rare_known": "bigint", "rare_base": "double", "rare_own": "double",
+        "rare_known": "double", "rare_base": "double",
     }
 
     def filled(df: DataFrame) -> DataFrame:
@@ -482,13 +574,13 @@ def fit_and_score(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         )
 
     mine = own.withColumn("times", F.lit(1).cast("bigint"))
-    together = filled(mine).unionAll(filled(cold)).unionAll(filled(rare)).groupBy(_ID, _CRC).agg(
+    together = filled(mine).unionAll(filled(cold)).groupBy(_ID, _CRC).agg(
         *[F.coalesce(F.sum(k), F.lit(0)).alias(k) for k in nothing]
     )
     # Rows that are equal were added up; each gets its share.
     once = F.explode(F.sequence(F.lit(1), F.col("times"))).alias("__k_copy")
     share = lambda name: F.col(name) / F.col("times")
-    down = float(np.log10(words.total + 0.5 * (words.distinct + 1)))
+    down = float(np.log10(words.down))
     whole = lambda *names: sum(map(share, names), F.lit(0)).cast("bigint")
     fold = F.coalesce(F.crc32(F.encode(F.col(_ID).cast("string"), "UTF-8")) % HELD_OUT_FOLDS, F.lit(0))
     return together.select("*", once).select(
@@ -498,21 +590,24 @@ def fit_and_score(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         whole("known", "rare_known").alias("n_known"),
         F.lit(words.total).cast("bigint").alias("train_tokens"),
         (share("base") + share("rare_base") - share("n") * F.lit(down)).alias("base_score"),
-        (share("own") + share("cold") + share("rare_own")).alias("score"),
+        (share("own") + share("cold")).alias("score"),
     )
 
 
 def _unigrams(counts: DataFrame) -> Unigrams:
-    """Totals, and the frequent words: all above a count that keeps them within the bound."""
-    step = F.floor(F.log2("n") * 64).cast("int")
-    steps = sorted(counts.groupBy(step.alias("s")).agg(F.count("*"), F.sum("n")).collect(), reverse=True)
-    total, distinct, held, limit = sum(s[2] for s in steps), sum(s[1] for s in steps), 0, 1 << 20
-    for s, many, _ in steps:
+    """Totals, and the head: all words above a count that keeps them within the bound, and the end."""
+    step = F.floor(F.log2("every") * 64).cast("int")
+    sums = F.sum("n"), F.sum((F.col("n") > 0).cast("bigint")), F.sum("every")
+    steps = sorted(counts.groupBy(step.alias("s")).agg(F.count("*"), *sums).collect(), reverse=True)
+    total, distinct, places = (sum(s[k] for s in steps) for k in (2, 3, 4))
+    held, limit = 1, 1 << 20
+    for s, many, *_ in steps:
         held += many
-        if held > FREQUENT:
+        if held > VOCABULARY:
             break
         limit = s
-    table = counts.where(step >= limit).toArrow()
-    hashes, n = table["h"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    order = np.lexsort((hashes, -n))
-    return Unigrams(hashes[order], n[order], total, distinct)
+    end = F.col("h") == F.lit(int(END.astype(np.int64)))
+    table = counts.where((step >= limit) | end).toArrow()
+    hashes, n, every = table["h"].to_numpy().view(np.uint64), table["n"].to_numpy(), table["every"].to_numpy()
+    order = np.lexsort((hashes, -every))
+    return Unigrams(hashes[order], n[order], total, distinct, places)
