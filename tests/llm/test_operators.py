@@ -434,6 +434,43 @@ def test_katz_keeps_rare_words_apart(spark):
         assert math.isclose(got[k]["score"], score, rel_tol=1e-9), k
 
 
+def largest_part(words, texts, partitions):
+    """Pairs dealt in all, and to the partition that gets most."""
+    n = len(texts)
+    columns = [pa.array(range(n)), pa.array(texts), pa.array([0] * n), pa.array([True] * n)]
+    parts = Counter()
+    for batch in katz._dealer(words, partitions)([pa.RecordBatch.from_arrays(columns, names=list("abcd"))]):
+        for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            parts[part] += int(np.frombuffer(blob, np.int64, 1)[0])
+    return sum(parts.values()), max(parts.values(), default=0)
+
+
+def test_katz_deals_rare_words_evenly():
+    """Rare words after each other and after a frequent word are not one group."""
+    texts = [" ".join(f"q{300 * k + j} the" if j % 3 else f"q{300 * k + j}" for j in range(300)) for k in range(50)]
+    the = katz._tokens(pa.array(["the"], pa.large_string()), 0, 1)[0]
+    words = katz.Unigrams(the, np.array([10_000, 50]), 25_050, 15_002)
+    total, most = largest_part(words, texts, 32)
+    assert total > 20_000 and most < 1.3 * total / 32
+
+
+def test_katz_hot_pairs_are_not_dealt(spark, monkeypatch):
+    """Whatever its rank, a pair of more places than a task is planned for is not in one task."""
+    monkeypatch.setattr(katz, "DENSE", 4)
+    monkeypatch.setattr(katz, "TOKENS_PER_TASK", 600)
+    rng = random.Random(13)
+    texts = [" ".join(f"c{rng.randrange(8)}" for _ in range(150)) + " hot pair" * 25 for _ in range(40)]
+    tokens = {k: [*words(t), None] for k, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    counts = docs.selectExpr("text", "true AS t").mapInArrow(katz._counted, "h bigint, n bigint, every bigint")
+    uni = katz._unigrams(counts.groupBy("h").sum("n", "every").toDF("h", "n", "every"))
+    assert largest_part(uni, texts, 32)[1] <= 600
+    got = by_id(katz.fit_and_score(docs, "doc_id", "text"))
+    training = [t for k, t in tokens.items() if zlib.crc32(str(k).encode()) % 5 != 1]
+    for k, (_, _, score) in score_by_hand(training, tokens).items():
+        assert math.isclose(got[k]["score"], score, rel_tol=1e-9)
+
+
 def score_by_hand(training, tokens):
     c, pairs = Counter(), Counter()
     for t in training:

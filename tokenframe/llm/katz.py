@@ -19,8 +19,11 @@ counts, and they travel as numbers. All other words, the tail, travel as 64-bit
    followers of v are together: its discount and weight are computed and applied.
 3. Discounts and weights of the head are applied to the sums of step 1, document by document.
 
-Pairs of the ``DENSE`` most frequent words are counted in a dense table of fixed size instead, as such
-a pair may be anywhere. Other pairs are told apart by 64-bit hashes.
+A pair of two words that each stand in more than ``TOKENS_PER_TASK`` places, or are among the ``DENSE``
+most frequent, is counted in a dense table instead, as such a pair may be anywhere. There is at most
+one such word for each partition, besides those. Of the pairs that are dealt, none stands in more
+than ``TOKENS_PER_TASK`` places, or 1 of ``DENSE`` of all; a tail word stands in at most 1 of
+``VOCABULARY``. So no group fills a partition alone. Pairs are told apart by 64-bit hashes.
 
 What the driver sees is bounded: a histogram of counts, the head, the dense table, and one row of
 backoff sums per head word. Counts cover all training documents.
@@ -129,6 +132,8 @@ class Unigrams:
     total: int
     distinct: int
     places: int = 0
+    #: So many words have the dense table.
+    dense: int = DENSE
 
     def __post_init__(self) -> None:
         size = len(self.hashes)
@@ -155,15 +160,15 @@ def _dense_counter(words: Unigrams):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(words.hashes)
         end = int(lookup(np.array([END]))[0]) % (UNKNOWN + 1)
-        table = np.zeros(DENSE * DENSE, np.int64)
+        table = np.zeros(words.dense**2, np.int64)
         for batch in batches:
             texts = texts_of(batch.column(0))
             for lo, hi in slices(texts):
                 hashes, first = _tokens(texts, lo, hi)
                 cur = words.ids(lookup, hashes)
                 prev = _histories(cur, first, end)
-                both = (cur < DENSE) & (prev < DENSE)
-                table += np.bincount(prev[both] * DENSE + cur[both], minlength=len(table))
+                both = (cur < words.dense) & (prev < words.dense)
+                table += np.bincount(prev[both].astype(np.int64) * words.dense + cur[both], minlength=len(table))
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["pair", "n"])
 
@@ -191,7 +196,7 @@ def _dealer(words: Unigrams, partitions: int):
                 cur = words.ids(lookup, hashes)
                 prev = _histories(cur, first, end)
                 doc = np.repeat(np.arange(lo, hi, dtype=np.uint64), np.diff(first))
-                cold = (cur >= DENSE) | (prev >= DENSE)
+                cold = (cur >= words.dense) | (prev >= words.dense)
                 before = _histories(hashes, first, END)
                 held.append((prev[cold], cur[cold], before[cold], hashes[cold], doc[cold]))
                 size += len(hashes) * 6
@@ -390,8 +395,8 @@ class Model:
 
     def __init__(self, words: Unigrams, dense: np.ndarray, sums: np.ndarray) -> None:
         self.words, self.dense = words, dense
-        prev, cur = np.divmod(np.flatnonzero(dense), DENSE)
-        own, table = _backoff_sums(prev, dense[prev * DENSE + cur], words.mass[cur])
+        prev, cur = np.divmod(np.flatnonzero(dense), words.dense)
+        own, table = _backoff_sums(prev, dense[prev * words.dense + cur], words.mass[cur])
         sums = sums.copy()
         sums[own] += table.reshape(-1, CUT + 3)
         self.discount = good_turing(sums[:, : CUT + 1].sum(axis=0))
@@ -498,8 +503,8 @@ def _doc_rows(model: Model):
                 # Tail words are counted where their places are together.
                 logs = np.where(cur == UNKNOWN, 0.0, log_count[cur])
                 own = -model.log_down[prev]
-                both = (cur < DENSE) & (prev < DENSE)
-                r = model.dense[prev[both] * DENSE + cur[both]]
+                both = (cur < words.dense) & (prev < words.dense)
+                r = model.dense[prev[both].astype(np.int64) * words.dense + cur[both]]
                 backed = model.log_alpha[prev[both]] + words.log_p[cur[both]] + model.log_down[prev[both]]
                 own[both] += np.where(r > 0, model.seen_logs(r), backed)
                 yield pa.RecordBatch.from_arrays(
@@ -530,10 +535,10 @@ def fit_and_score(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     training = rows.where(_TRAIN).select(_TEXT)
     counts = rows.select(_TEXT, _TRAIN).mapInArrow(_counted, "h bigint, n bigint, every bigint")
     words = _unigrams(saved(counts.groupBy("h").agg(F.sum("n").alias("n"), F.sum("every").alias("every")), "unigrams"))
-    dense = np.zeros(DENSE * DENSE, np.int64)
+    dense = np.zeros(words.dense**2, np.int64)
     found = (
         training.mapInArrow(_dense_counter(words), "pair bigint, n bigint").groupBy("pair")
-        .agg(F.sum("n").alias("n")).toArrow()  # DENSE * DENSE rows at most
+        .agg(F.sum("n").alias("n")).toArrow()  # words.dense ** 2 rows at most
     )
     dense[found["pair"].to_numpy()] = found["n"].to_numpy()
 
@@ -610,4 +615,5 @@ def _unigrams(counts: DataFrame) -> Unigrams:
     table = counts.where((step >= limit) | end).toArrow()
     hashes, n, every = table["h"].to_numpy().view(np.uint64), table["n"].to_numpy(), table["every"].to_numpy()
     order = np.lexsort((hashes, -every))
-    return Unigrams(hashes[order], n[order], total, distinct, places)
+    dense = min(VOCABULARY, max(DENSE, int((every > TOKENS_PER_TASK).sum())))
+    return Unigrams(hashes[order], n[order], total, distinct, places, dense)
