@@ -195,6 +195,25 @@ def test_substrings(docs, odd, empty, texts, monkeypatch, hot):
     assert substrings.substring_report(empty, "doc_id", "text").count() == 0
 
 
+def test_equal_windows_of_a_document_go_once():
+    """A line repeated in one long document makes no large group, and all its places are cut."""
+    line = " ".join(f"a{k}" for k in range(20))
+    texts = [line + " end", f"{line}\n" * 500]
+    splits = substrings.Splits(np.empty((0, substrings.WINDOW), np.uint64), 4)
+    columns = [pa.array([1, 2]), pa.array(texts), pa.array([7, 8])]
+    batch = pa.RecordBatch.from_arrays(columns, names=["i", "t", "r"])
+    dealt = pa.Table.from_batches(substrings._dealer(splits)(iter([batch])))
+    assert sum(len(substrings._open(b)[0]) for b in dealt["blob"].to_pylist()) == 9 + 20
+    back = pa.Table.from_batches(substrings._subtree(4)(iter(dealt.to_batches())))
+    got = pa.Table.from_batches(b for x in back.to_batches() for b in substrings._gathered(iter([x]))).to_pylist()
+    assert {r["__s_id"] for r in got} == {2}
+    words = substrings.words_in(pa.array(texts, pa.large_string()), 0, 2)
+    hashes, at = words.windows(substrings.WINDOW)
+    places = np.concatenate([np.frombuffer(r["__s_places"], np.uint32) for r in got])
+    found = substrings._all_like(words, hashes, at, 1, places) - words.first[1]
+    assert found.tolist() == [20 * k + j for k in range(500) for j in range(8)]
+
+
 def test_splits_keep_windows_together():
     rng = np.random.default_rng(1)
     import pyarrow as pa

@@ -8,7 +8,9 @@ in a prefix-partitioned suffix tree:
 1. A bounded sample of suffixes decides where to split: a prefix of one word is one group; a
    group with too large a share of the sample is split by the next word, and so on, down to the
    whole window. The sample only balances the work; any split gives the same result.
-2. Each suffix goes to the partition of its group, with the hash of its window and its place.
+2. Each suffix goes to the partition of its group, with the hash of its window and its place; of
+   equal windows in one document only the first goes, so a group grows with documents, not with
+   places inside them.
    Groups are packed into partitions of about ``SUFFIXES_PER_TASK`` suffixes.
 3. A partition sorts its suffixes. Runs of one window are the subtree's nodes of that depth;
    in each, the smallest document is found, and the others' places go back to their documents.
@@ -159,6 +161,21 @@ def _hot_firsts(splits: Splits):
     return firsts
 
 
+def _first_of_each(docs: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Of equal windows of one document, the first."""
+    order = np.lexsort((hashes, docs))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (np.diff(docs[order]) != 0) | (hashes[order][1:] != hashes[order][:-1])
+    return np.sort(order[fresh])
+
+
+def _all_like(words: Words, hashes: np.ndarray, at: np.ndarray, d: int, places: np.ndarray) -> np.ndarray:
+    """Where windows equal to those at ``places`` of a document stand in it."""
+    a, b = np.searchsorted(at, [words.first[d], words.first[d + 1]])
+    marked = np.unique(hashes[a:b][np.searchsorted(at[a:b], places + words.first[d])])
+    return at[a:b][_member(hashes[a:b], marked)]
+
+
 def _dealer(splits: Splits):
     """Rows (partition, blob): the suffixes of a run of documents that go to a partition."""
 
@@ -174,6 +191,8 @@ def _dealer(splits: Splits):
                 cold = ~_member(hashes, splits.hot)
                 hashes, at = hashes[cold], at[cold]
                 docs = np.searchsorted(words.first, at, "right") - 1
+                once = _first_of_each(docs, hashes)
+                hashes, at, docs = hashes[once], at[once], docs[once]
                 held.append(
                     (
                         splits.partition_of(words, at), hashes, (docs + lo).astype(np.int32),
@@ -323,7 +342,7 @@ def _cutter(columns: list[str], splits: Splits, hot: np.ndarray, first: np.ndarr
                     marks.append(at[hit][later])
                 for d, places in enumerate(back[lo:hi].to_pylist()):
                     if places:
-                        marks.append(np.frombuffer(places, np.uint32) + words.first[d])
+                        marks.append(_all_like(words, hashes, at, d, np.frombuffer(places, np.uint32)))
                 if marks:
                     at = np.unique(np.concatenate(marks)).astype(np.int64)
                     covered += np.bincount(at, minlength=n + 1).astype(np.int32)
