@@ -2,8 +2,9 @@
 
 A window is ``WINDOW`` consecutive words of one document. A word goes if it is covered by a
 window whose words also begin somewhere in a document with a smaller id; windows are judged
-on the input. Suffixes (one for each word at which a whole window begins) are dealt out as
-in a prefix-partitioned suffix tree:
+on the input. Suffixes (one for each word at which a whole window begins) are dealt out by
+prefixes as for a prefix-partitioned suffix tree, but no tree is built and no suffix is sorted: only
+64-bit hashes of windows are compared, and equal hashes count as equal windows.
 
 1. A bounded sample of suffixes decides where to split: a prefix of one word is one group; a
    group with too large a share of the sample is split by the next word, and so on, down to the
@@ -12,9 +13,8 @@ in a prefix-partitioned suffix tree:
    equal windows in one document only the first goes, so a group grows with documents, not with
    places inside them.
    Groups are packed into partitions of about ``SUFFIXES_PER_TASK`` suffixes.
-3. A partition sorts its suffixes. Runs of one window are the subtree's nodes of that depth;
-   in each, the smallest document is found, and the others' places go back to their documents.
-   Neighbouring places merge there into maximal repeats, which are cut out.
+3. A partition sorts the hashes of its windows. In each run of one window, the smallest document is found, and the others' places go back to their documents.
+   Neighbouring places merge there into longer passages, which are cut out.
 4. Windows that are frequent in the sample, a fixed number, are leaves that need no subtree: their
    smallest documents are found by a plain aggregate, and each document compares for itself.
 
