@@ -408,6 +408,24 @@ def test_licenses(docs, odd, empty, texts):
     assert licenses.scan_licenses(empty, "doc_id", "text").count() == 0
 
 
+def test_usual_notices(spark):
+    """The standard headers of the GNU licences, and a copyright line with many holders."""
+    head = "free software: you can redistribute it and/or modify\n * it under the terms of {} as published by\n"
+    head += " * the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version."
+    names = ["the GNU General Public License", "the GNU Lesser General Public License"]
+    names += ["the GNU Library General Public License", "the GNU Affero General Public License"]
+    names += ["version 2 of the GNU General Public License"]
+    texts = [head.format(n) for n in names]
+    texts += ["Copyright (c) 2020 " + ", ".join(f"Holder{k} Name{k}" for k in range(12)) + ". All rights reserved."]
+    rows = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "i bigint, t string"), "i", "t")
+    got = {r["doc_id"]: r for r in rows.collect()}
+    for k in range(len(names)):
+        assert "notice-gpl" in got[k]["labels"].split(",")
+        # All from "redistribute" to "version" stands in the notice.
+        assert math.isclose(got[k]["score"], 1 - 4 / got[k]["n_words"])
+    assert "notice-reserved" in got[len(names)]["labels"].split(",") and got[len(names)]["score"] == 1
+
+
 @pytest.mark.parametrize(
     ("text", "length"),
     [("a b c d", 4), ("a c d", 3), ("a x d", 0), ("a c d e f", 5), ("a", 0), ("a b b c d", 0), ("a c", 0)],

@@ -32,9 +32,13 @@ TEMPLATES = {
     "notice-cc": ["licensed under [[the]] [[a]] [[creative commons]] cc by [[nc]] [[nd]] [[sa]] {{version:0-2}}"],
     "notice-gpl": [
         "licensed under the [[terms of the]] gnu [[lesser]] [[affero]] general public license [[v]] "
-        "[[version]] {{version:0-2}}"
+        "[[version]] {{version:0-2}}",
+        "redistribute it and or modify it under the terms [[and conditions]] of [[version {{version:1-2}} of]] "
+        "the gnu [[lesser]] [[library]] [[affero]] general public license [[v]] [[version {{version:1-2}}]] "
+        "[[as published by the free software foundation [[either version {{version:1-2}} of the license "
+        "[[or at your option any later version]]]]]]",
     ],
-    "notice-reserved": ["copyright [[c]] {{holder:1-10}} all rights reserved"],
+    "notice-reserved": ["copyright [[c]] {{holder:1-40}} all rights reserved"],
     "notice-apache": ["licensed under the apache license [[version]] {{version:1-2}}"],
     "notice-mit": [
         "permission is hereby granted free of charge to any person obtaining a copy of this software "
