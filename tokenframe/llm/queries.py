@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, katz, licenses, minhash, packing, quality, sharding, substrings, tokencounts
+from . import (
+    chat, decontaminate, fim, katz, licenses, minhash, packing, quality, sharding, substrings, tokencounts,
+)
 
 TOKENIZER_FILES = ("word_bpe_49k.json", "byte_bpe_50k.tiktoken")
 
@@ -83,6 +85,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digests(_table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     name: function
     for name, function in globals().items()
