@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    chat, decontaminate, fim, katz, licenses, minhash, packing, quality, sharding, substrings, tokencounts,
+    chat, decontaminate, fim, katz, licenses, merkle, minhash, packing, quality, sharding, substrings, tokencounts,
 )
 
 TOKENIZER_FILES = ("word_bpe_49k.json", "byte_bpe_50k.tiktoken")
@@ -85,6 +85,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"), "doc_id", "text", "source")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all rows, and what they fold to where line feeds were lost since."""
+    docs = _table(spark, sf_dir, "documents")
+    lost = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    now = {"text": F.when(lost, F.translate("text", "\n", "")).otherwise(F.col("text"))}
+    proofs = merkle.manifest(docs, "doc_id", "source", ["doc_id", "source", "lang", "n_chars", "text"], now)
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.translate("proof", "*/", ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fim_digests(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
