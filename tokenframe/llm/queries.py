@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
-    chat, decontaminate, fim, katz, licenses, merkle, minhash, packing, quality, sharding, substrings, tokencounts,
+    chat, decontaminate, fim, katz, licenses, merkle, minhash, packing, pii, quality, sharding, substrings, tokencounts,
 )
 
 TOKENIZER_FILES = ("word_bpe_49k.json", "byte_bpe_50k.tiktoken")
@@ -97,6 +97,14 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(pii.written("base"), 256).alias("base_sha256"), pii.written("spans").alias("spans"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.fim_digests(_table(spark, sf_dir, "documents"), "doc_id", "text")
 
