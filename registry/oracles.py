@@ -251,13 +251,23 @@ IN_BENCH = {"BENCH_WORD": "SELECT w FROM b"}
 LONG_DOCS = long_tokens("documents", "doc_id")
 
 
-def join_lookup() -> str:
+def bench_label(blank: str) -> str:
+    """What a token counts as, beside the words ``w`` it was joined with."""
+    known = ", ".join(quoted(n) for n in [*TYPE_NAMES, "BENCH_WORD"])
+    kind = type_of("t")
+    return (
+        f"CASE WHEN w IS NOT NULL THEN 'BENCH_WORD' WHEN {matches('t', BLANK)} THEN {blank} "
+        f"WHEN ({kind}) IN ({known}) THEN {kind} ELSE '(raw)' END"
+    )
+
+
+def join_lookup(source: str = "documents", keys: str = "doc_id") -> str:
     """Classes per token by a join, put back in order."""
     listed = f"CASE WHEN w IS NOT NULL THEN 'BENCH_WORD' WHEN {matches('t', BLANK)} THEN t ELSE {type_of('t')} END"
     return f"""
-WITH b AS ({BENCH_WORDS}), l AS ({LONG_DOCS})
-SELECT doc_id, string_agg({listed}, '|' ORDER BY pos) AS classes
-FROM l LEFT JOIN b ON t = w GROUP BY doc_id
+WITH b AS ({BENCH_WORDS}), l AS ({long_tokens(source, keys)})
+SELECT {keys}, string_agg({listed}, '|' ORDER BY pos) AS classes
+FROM l LEFT JOIN b ON t = w GROUP BY {keys}
 """
 
 
@@ -340,10 +350,31 @@ SELECT conv_id, turn, NULL, NULL, NULL, NULL FROM conversations WHERE text IS NU
     "dictionary_table": f"""
 WITH v AS (SELECT DISTINCT unnest(tokens) AS t FROM ({TURN_TOKENS}))
 SELECT count(*) AS n_values, 0::BIGINT AS first_id, count(*) - 1 AS last_id, count(*) AS n_ids FROM v
+""",
+    "dictionary_ordered": f"""
+WITH v AS (SELECT DISTINCT unnest({tokens_of("text")}) AS value FROM documents)
+SELECT row_number() OVER (ORDER BY value) - 1 AS id, value FROM v
+""",
+    "dictionary_ids": f"""
+WITH l AS ({long_tokens("conversations", "conv_id, turn")}),
+     v AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS id FROM (SELECT DISTINCT t FROM l)),
+     g AS (SELECT conv_id, turn, string_agg(id::VARCHAR, '|' ORDER BY pos) AS ids
+           FROM l JOIN v USING (t) GROUP BY conv_id, turn)
+SELECT c.conv_id, c.turn, coalesce(ids, CASE WHEN text IS NOT NULL THEN '' END) AS ids
+FROM conversations c LEFT JOIN g ON c.conv_id = g.conv_id AND c.turn = g.turn
+""",
+    "dictionary_roundtrip_literal": """
+WITH p AS (SELECT p_partkey, concat_ws(' ', p_name, p_type, p_brand) AS words FROM part),
+     l AS (SELECT p_partkey, unnest(string_split(words, ' ')) AS w,
+                  unnest(range(len(string_split(words, ' ')))) AS pos FROM p),
+     v AS (SELECT w, row_number() OVER (ORDER BY w) - 1 AS id FROM (SELECT DISTINCT w FROM l))
+SELECT p_partkey, string_agg(id::VARCHAR, '|' ORDER BY pos) AS ids, string_agg(w, '|' ORDER BY pos) AS words
+FROM l JOIN v USING (w) GROUP BY p_partkey
 """,
     "dictionary_roundtrip": f"SELECT conv_id, turn, {joined('tokens')} AS tokens FROM ({TURN_TOKENS})",
     "tokenize_table_lookup": join_lookup(),
     "tokenize_join_lookup": join_lookup(),
+    "tokenize_join_filtered": join_lookup(),
     **{f"extract_{mode}": extract_addresses(mode) for mode in ADDRESS_REGEX},
     "extract_from_struct": extract_addresses("any"),
     "extract_from_ids": extract_addresses("start"),
@@ -356,6 +387,20 @@ SELECT l_orderkey, l_linenumber, lower("CIVIC") AS "CIVIC", lower("STREET") AS "
     "extract_join_lookup": extract_join_lookup(),
     "extract_first": extract_first(),
     "class_profile": profile("documents", "lang", "class"),
+    "class_profile_join_lookup": f"""
+WITH b AS ({BENCH_WORDS}), l AS ({long_tokens("documents", "lang")}),
+     c AS (SELECT lang, {bench_label("'(blank)'")} AS label FROM l LEFT JOIN b ON t = w),
+     g AS (SELECT lang, label, count(*) AS n FROM c GROUP BY ALL)
+SELECT lang, label AS "class", n AS n_tokens, n / sum(n) OVER (PARTITION BY lang) AS share FROM g
+""",
+    "shape_topk_join_lookup": f"""
+WITH b AS ({BENCH_WORDS}), l AS ({long_tokens("conversations", "conv_id, turn, text")}),
+     s AS (SELECT conv_id, turn, text, string_agg({bench_label("' '")}, '' ORDER BY pos) AS shape
+           FROM l LEFT JOIN b ON t = w GROUP BY ALL
+           UNION ALL SELECT conv_id, turn, text, '' FROM conversations WHERE text = '')
+SELECT shape, count(*) AS n_rows, min(text) AS example
+FROM s GROUP BY shape ORDER BY n_rows DESC, example LIMIT 20
+""",
     "type_profile": profile("documents", "source", "type"),
     "shape_topk": shapes(ADDRESSES, "address", 10),
     "shape_topk_turns": shapes("SELECT text FROM conversations", "text", 20),
@@ -421,5 +466,6 @@ SELECT conv_id, turn, {joined("tokens")} AS tokens,
        {joined(each("tokens", class_of("t")))} AS classes
 FROM d
 """,
+    "stream_tokenize_join": join_lookup("conversations", "conv_id, turn"),
     "stream_extract": extract_phrase("conversations", "conv_id, turn"),
 }

@@ -112,17 +112,15 @@ def tokens_long(spark, sf_dir):
     return long.withColumn("pos", F.col("pos").cast("bigint"))
 
 
-def _dictionary(spark, sf_dir):
+def _turn_tokens(spark, sf_dir):
     turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")
-    tokens = tf.tokenize(
-        turns, "text", model(spark), raw_value=False, types=False, classes=False
-    ).select("conv_id", "turn", F.col("text.tokens").alias("tokens"))
-    return tf.dictionary_encode(tokens, "tokens")
+    found = tf.tokenize(turns, "text", model(spark), raw_value=False, types=False, classes=False)
+    return found.select("conv_id", "turn", F.col("text.tokens").alias("tokens"))
 
 
 def dictionary_table(spark, sf_dir):
     """Ids must be dense, whatever value got which."""
-    dictionary, _ = _dictionary(spark, sf_dir)
+    dictionary, _ = tf.dictionary_encode(_turn_tokens(spark, sf_dir), "tokens")
     return dictionary.agg(
         F.count("*").alias("n_values"),
         F.min("id").alias("first_id"),
@@ -131,12 +129,37 @@ def dictionary_table(spark, sf_dir):
     )
 
 
+def dictionary_ordered(spark, sf_dir):
+    """Every token of the documents with its id: ids ascend with the tokens."""
+    docs = texts(spark, sf_dir, "documents", "text")
+    tokens = tf.tokenize(docs, "text", model(spark), raw_value=False, types=False, classes=False)
+    return tf.dictionary_ordered(tokens.select(F.explode_outer("text.tokens").alias("value")))
+
+
+def dictionary_ids(spark, sf_dir):
+    _, encoded = tf.dictionary_encode(_turn_tokens(spark, sf_dir), "tokens")
+    return encoded.select("conv_id", "turn", joined(F.col("tokens").cast("array<string>")).alias("ids"))
+
+
 def dictionary_roundtrip(spark, sf_dir):
-    dictionary, encoded = _dictionary(spark, sf_dir)
+    dictionary, encoded = tf.dictionary_encode(_turn_tokens(spark, sf_dir), "tokens")
     decoded = tf.dictionary_decode(written_once(encoded, "encoded"), "tokens", dictionary)
     return decoded.select("conv_id", "turn", joined("tokens").alias("tokens"))
 
 
+def dictionary_roundtrip_literal(spark, sf_dir):
+    """A dictionary of few values, in the plan on both ways: the words of part names and types."""
+    words = F.split(F.concat_ws(" ", "p_name", "p_type", "p_brand"), " ")
+    parts = table(spark, sf_dir, "part").select("p_partkey", words.alias("words"))
+    dictionary, encoded = tf.dictionary_encode(parts, "words", lookup="literal")
+    decoded = tf.dictionary_decode(encoded, "words", dictionary, out="back", lookup="literal")
+    return decoded.select(
+        "p_partkey",
+        joined(F.col("words").cast("array<string>")).alias("ids"),
+        joined("back").alias("words"),
+    )
+
+
 def _benchmark_words(spark, sf_dir):
     """A word list as long as the benchmark table makes it."""
     words = F.explode_outer(F.split("text", r"[^A-Za-z]+"))
@@ -145,18 +168,20 @@ def _benchmark_words(spark, sf_dir):
     return entries.where(F.length("entry") > 0)
 
 
-def _benchmark_model(spark, sf_dir, force_join=False):
+def _benchmark_model(spark, sf_dir, lookup="join", prefilter=True):
     definitions = spark.createDataFrame(
         [(i, name, regex) for i, (name, regex) in enumerate(DEFINITIONS)], DEFINITIONS_SCHEMA
     )
     words = _benchmark_words(spark, sf_dir)
-    return tf.Model.from_tables(definitions, words, max_inline_entries=10, force_join=force_join)
+    return tf.Model.from_tables(
+        definitions, words, max_inline_entries=10, lookup=lookup, prefilter=prefilter
+    )
 
 
-def _tokenize_with_lists(force_join: bool) -> Query:
+def _tokenize_with_lists(**options) -> Query:
     def query(spark, sf_dir):
         docs = texts(spark, sf_dir, "documents", "doc_id", "text")
-        m = _benchmark_model(spark, sf_dir, force_join)
+        m = _benchmark_model(spark, sf_dir, **options)
         found = tf.tokenize(docs, "text", m, raw_value=False, types=False)
         return found.select("doc_id", joined("text.classes").alias("classes"))
 
@@ -165,14 +190,14 @@ def _tokenize_with_lists(force_join: bool) -> Query:
 
 def extract_join_lookup(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "text")
-    m = _benchmark_model(spark, sf_dir, force_join=True)
+    m = _benchmark_model(spark, sf_dir)
     found = tf.extract(docs, "text", m, "<<WORD::BENCH_WORD>> <<NEXT@>>", "any")
     return found.select("doc_id", "text.*")
 
 
 def class_coverage_join_lookup(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "text")
-    return tf.class_coverage(docs, "text", _benchmark_model(spark, sf_dir, force_join=True))
+    return tf.class_coverage(docs, "text", _benchmark_model(spark, sf_dir))
 
 
 def _extract(mode: str) -> Query:
@@ -229,6 +254,11 @@ def class_profile(spark, sf_dir):
     return tf.class_profile(docs, "text", model(spark), by="lang")
 
 
+def class_profile_join_lookup(spark, sf_dir):
+    docs = texts(spark, sf_dir, "documents", "doc_id", "lang", "text")
+    return tf.class_profile(docs, "text", _benchmark_model(spark, sf_dir), by="lang")
+
+
 def type_profile(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text")
     return tf.class_profile(docs, "text", model(spark), by="source", kind="type")
@@ -243,6 +273,11 @@ def shape_topk_turns(spark, sf_dir):
     return tf.shape_profile(turns, "text", model(spark), 20)
 
 
+def shape_topk_join_lookup(spark, sf_dir):
+    turns = texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")
+    return tf.shape_profile(turns, "text", _benchmark_model(spark, sf_dir), 20)
+
+
 def unknown_topk(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "text")
     return tf.unknown_tokens(docs, "text", model(spark), 50, key="doc_id")
@@ -381,6 +416,20 @@ def stream_extract(spark, sf_dir):
     return _run(found.select("conv_id", "turn", "text.*"), "fields")
 
 
+def stream_tokenize_join(spark, sf_dir):
+    """Word lists looked up by join in every micro-batch."""
+    m = _benchmark_model(spark, sf_dir)
+    folder = new_folder(spark, "batches")
+
+    def classes(batch):
+        found = tf.tokenize(batch, "text", m, raw_value=False, types=False)
+        return found.select("conv_id", "turn", joined("text.classes").alias("classes"))
+
+    stream = _turn_stream(spark, sf_dir)
+    tf.write_batches(stream, classes, f"{folder}/rows", f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{folder}/rows").drop("batch_id")
+
+
 QUERIES: dict[str, Query] = {
     "tokenize_docs": tokenize_docs,
     "tokenize_ids": tokenize_ids,
@@ -388,9 +437,13 @@ QUERIES: dict[str, Query] = {
     "type_codes": type_codes,
     "tokens_long": tokens_long,
     "dictionary_table": dictionary_table,
+    "dictionary_ordered": dictionary_ordered,
+    "dictionary_ids": dictionary_ids,
     "dictionary_roundtrip": dictionary_roundtrip,
-    "tokenize_table_lookup": _tokenize_with_lists(force_join=False),
-    "tokenize_join_lookup": _tokenize_with_lists(force_join=True),
+    "dictionary_roundtrip_literal": dictionary_roundtrip_literal,
+    "tokenize_table_lookup": _tokenize_with_lists(lookup="inline"),
+    "tokenize_join_lookup": _tokenize_with_lists(prefilter=False),
+    "tokenize_join_filtered": _tokenize_with_lists(),
     **{f"extract_{mode}": _extract(mode) for mode in MODES},
     "extract_from_struct": _extract_tokenized({}, "any"),
     "extract_from_ids": _extract_tokenized(
@@ -402,9 +455,11 @@ QUERIES: dict[str, Query] = {
     "extract_join_lookup": extract_join_lookup,
     "extract_first": extract_first,
     "class_profile": class_profile,
+    "class_profile_join_lookup": class_profile_join_lookup,
     "type_profile": type_profile,
     "shape_topk": shape_topk,
     "shape_topk_turns": shape_topk_turns,
+    "shape_topk_join_lookup": shape_topk_join_lookup,
     "unknown_topk": unknown_topk,
     "unknown_topk_by_source": unknown_topk_by_source,
     "unknown_topk_large": unknown_topk_large,
@@ -418,4 +473,5 @@ QUERIES: dict[str, Query] = {
     "validate_model": validate_model,
     "stream_tokenize": stream_tokenize,
     "stream_extract": stream_extract,
+    "stream_tokenize_join": stream_tokenize_join,
 }

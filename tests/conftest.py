@@ -50,7 +50,7 @@ def join_model(spark):
     from tokenframe import Model
 
     return Model.from_values(
-        spark, DEFINITIONS, WORD_LISTS, max_inline_entries=0, force_join=True
+        spark, DEFINITIONS, WORD_LISTS, lookup="join"
     )
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 import tokenframe as tf
 from registry.inputs import DEFINITIONS, WORD_LISTS
+from tokenframe.functions import literal_table, membership
 from tokenframe.functions.literal_table import LiteralTable
+from tokenframe.functions.membership import BitmapFilter
 from tokenframe.sources import read_classes, read_definitions
 from tokenframe.sources.model import CLASSES_SCHEMA, DEFINITIONS_SCHEMA
 
@@ -178,4 +180,28 @@ def test_an_error_tells_how_many_problems_there_are(spark):
 
     shared = [f"word{k}" for k in range(30)]
     with pytest.raises(ValueError, match="20 of 30 shown"):
-        Model.from_values(spark, [("NUM", "^[0-9]+$")], {"A": shared, "B": shared})
+        tf.Model.from_values(spark, [("NUM", "^[0-9]+$")], {"A": shared, "B": shared})
+
+
+@pytest.mark.parametrize("n", [0, 10, 5_000, 70_000])
+def test_bitmap_holds_all_and_little_else(spark, n):
+    name = lambda letter: F.xxhash64(F.concat(F.lit(letter), F.col("id")))
+    held = BitmapFilter.build(spark.range(n), name("w"))
+    assert spark.range(n).where(~held.may_hold(name("w"))).count() == 0
+    assert spark.range(20_000).where(held.may_hold(name("x"))).count() < 600
+
+
+def test_bitmap_too_full_is_not_built(spark, monkeypatch):
+    monkeypatch.setattr(membership, "MAX_BITS", 4_096)
+    assert BitmapFilter.build(spark.range(1_024), F.xxhash64("id")) is not None
+    assert BitmapFilter.build(spark.range(1_025), F.xxhash64("id")) is None
+
+
+def test_lists_too_long_for_a_plan_need_an_explicit_join(spark, monkeypatch):
+    monkeypatch.setattr(literal_table, "MAX_ROWS", 3)
+    lists = {"A": ["a", "b", "c", "d"]}
+    with pytest.raises(ValueError, match="lookup='join'"):
+        tf.Model.from_values(spark, [("NUM", "^[0-9]+$")], lists, max_inline_entries=2)
+    assert not tf.Model.from_values(spark, [("NUM", "^[0-9]+$")], lists, lookup="join").inline
+    with pytest.raises(ValueError, match="unknown lookup"):
+        tf.Model.from_values(spark, [("NUM", "^[0-9]+$")], lists, lookup="auto")

@@ -139,11 +139,11 @@ def test_ids_decode(spark):
     assert df.select(decode_col(odd, F.col("tokens"), vocab)).first()[0] == ["ST", " ", "7", "q"]
 
 
-@pytest.mark.parametrize("literal", [True, False])
-def test_dictionary(spark, literal, monkeypatch):
-    if not literal:
-        monkeypatch.setattr(lookup.LiteralTable, "build", lambda *args: None)
-        monkeypatch.setattr(lookup, "FREQUENT", 2)
+@pytest.mark.parametrize("how", ["literal", "join", "join with hot rows"])
+def test_dictionary(spark, how, monkeypatch):
+    if how == "join with hot rows":
+        monkeypatch.setattr(lookup, "COPIES", 1)
+    how = how.split()[0]
     rows = [
         (1, ["a", "b", "a", None, '"', "a|b"]),
         (2, None),
@@ -154,16 +154,16 @@ def test_dictionary(spark, literal, monkeypatch):
         (6, ["b", "c"]),
     ]
     df = spark.createDataFrame(rows, "id int, items array<string>")
-    dictionary, encoded = tf.dictionary_encode(df, "items")
+    dictionary, encoded = tf.dictionary_encode(df, "items", lookup=how)
     names = {row.id: row.value for row in dictionary.collect()}
     assert sorted(names) == list(range(len(names)))
-    assert sorted(names.values()) == ['"', "a", "a|b", "b", "c"]
+    assert [names[i] for i in sorted(names)] == ['"', "a", "a|b", "b", "c"]
     decoded = [
         (row.id, None if row["items"] is None else [names.get(i) for i in row["items"]])
         for row in encoded.collect()
     ]
     assert sorted(decoded, key=repr) == sorted(rows, key=repr)
-    back = tf.dictionary_decode(encoded, "items", dictionary)
+    back = tf.dictionary_decode(encoded, "items", dictionary, lookup=how)
     assert back.exceptAll(df).count() == df.exceptAll(back).count() == 0
 
 

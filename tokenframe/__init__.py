@@ -4,6 +4,7 @@ from .functions import capture_field_names
 from .operators import (
     dictionary_decode,
     dictionary_encode,
+    dictionary_ordered,
     extract,
     extract_first,
     extract_schema,
@@ -20,7 +21,7 @@ from .plans import (
     unknown_tokens,
 )
 from .sources import Model, read_classes, read_definitions, validate_model, vocabulary
-from .streaming import write_stream
+from .streaming import write_batches, write_stream
 
 __all__ = [
     "Model",
@@ -30,6 +31,7 @@ __all__ = [
     "class_profile",
     "dictionary_decode",
     "dictionary_encode",
+    "dictionary_ordered",
     "extract",
     "extract_first",
     "extract_schema",
@@ -43,5 +45,6 @@ __all__ = [
     "unknown_tokens",
     "validate_model",
     "vocabulary",
+    "write_batches",
     "write_stream",
 ]

@@ -172,6 +172,17 @@ def class_expr(
     return F.when(is_blank(token), (blank or raw)(token)).otherwise(named)
 
 
+def element_hash(token: Column) -> Column:
+    """By which a bitmap of word lists is asked for a token."""
+    return F.xxhash64(token)
+
+
+def cannot_be_listed(token: Column, model) -> Column:
+    """Blank, or not in the model's bitmap of entries, where it has one."""
+    blank = is_blank(token)
+    return blank if model.word_filter is None else blank | ~model.word_filter.may_hold(element_hash(token))
+
+
 def value_id(value: Column, vocab) -> Column:
     place = F.array_position(F.array(*[F.lit(v) for v in vocab]), value)
     return F.when(place > 0, place - 1).otherwise(RAW_ID).cast("smallint")

@@ -1,38 +1,35 @@
-"""Look up every element of an array column in a table.
-
-A table that a count shows to be small goes into the plan as a literal, and each row
-looks up its own elements. A larger one is joined. The join gives whole results under
-skew, without a limit on what may repeat:
-
-* Rows are told apart by a hash of their content, and copies of one content collapse
-  before anything else is shuffled by it. Contents with very many copies are spread
-  over salts when the result is joined back.
-* Elements found in nearly every row are answered by a broadcast of fixed size, and are not
-  joined any more.
-
-In both cases the frequent ones are the top K by count, so by the pigeonhole principle
-each of the others is at most a share of 1/K.
+"""Look up every element of an array column in a table by join.
+
+The join gives whole results under skew, without a limit on what may repeat:
+
+* Rows are told apart by a digest of their content, and only the digest is shuffled with what is
+  found. Contents with more than ``COPIES`` copies are found by a count first; of each of them one
+  row is looked up, and its result is spread over salts, as many as its copies ask for, when it is joined back.
+  By the pigeonhole principle no other content than the first ``FREQUENT`` of them holds more than
+  a share of 1 / ``FREQUENT`` of all rows.
+* Elements are joined by a name of bounded length, and each occurrence by one of ``SPREAD`` salts,
+  so an element that is found everywhere is worked on by several tasks.
+* A bitmap of the table's values, where the caller has one, drops what cannot be found before any
+  shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.literal_table import LiteralTable
-from ..sources.storage import written_once
-
-# Top K of elements and of contents, and the salts for rows of a frequent content.
+# Contents with more copies than this are looked up once, for one salt each so many copies.
+COPIES = 1_000
 FREQUENT = 2_000
-SALTS = 256
-# Numbering of a dictionary: one window per bucket, and one over the buckets' counts.
-DICTIONARY_BUCKETS = 1_024
+MAX_SALTS = 1_024
+SPREAD = 8
+#: Longer elements are joined by their SHA-256.
+NAME_BYTES = 64
 
 _CONTENT, _SALT, _HITS = "__tf_content", "__tf_salt", "__tf_hits"
 _POS, _VALUE, _HIT = "__tf_pos", "__tf_value", "__tf_hit"
-_FREQUENT, _FOUND = "__tf_frequent", "__tf_found"
-_TEXT, _COPIES = "__tf_text", "__tf_copies"
+_TEXT, _SALTS = "__tf_text", "__tf_salts"
 
 
 def lookup_by_join(
@@ -48,73 +45,74 @@ def lookup_by_join(
     """Add ``out``: for each element of ``elements_of(col)`` its ``payload``, or NULL.
 
     ``table`` has unique, non-NULL values. Elements for which ``skip`` holds are not
-    looked up. ``out`` ends with the last element found; ``zip_with`` fills up the rest.
+    looked up. ``out`` ends with the last element found; ``zip_with`` fills up the rest. A stream is
+    refused: the join back needs a batch, as ``write_batches`` gives it.
     """
-    kind = table.schema[payload].dataType
-    table = table.select(F.col(value).alias(_VALUE), F.col(payload).alias(_HIT))
-    content = F.col(f"`{col}`")
-    # One row per content, before anything is exploded. The condition keeps the count in
-    # every plan that reads this, so that they can share one shuffle.
-    contents = (
-        df.groupBy(content.alias(_TEXT)).agg(F.count("*").alias(_COPIES)).where(F.col(_COPIES) > 0)
-    ).withColumn(_CONTENT, _content_hash(F.col(_TEXT), df.schema[col].dataType))
-
-    elements = contents.select(
-        _CONTENT, F.posexplode_outer(elements_of(F.col(_TEXT))).alias(_POS, _VALUE)
-    )
-    wanted = F.col(_VALUE).isNotNull()
-    elements = elements.where(wanted if skip is None else wanted & ~skip(F.col(_VALUE)))
-    # Bounded by the length of one row's array.
-    hits = (
-        _join_elements(elements, table)
-        .groupBy(_CONTENT)
-        .agg(F.array_sort(F.collect_list(F.struct(_POS, _HIT))).alias(_HITS))
-    )
-    frequent = contents.orderBy(F.desc(_COPIES), _CONTENT).limit(FREQUENT).select(_CONTENT)
-    rows = df.withColumn(_CONTENT, _content_hash(content, df.schema[col].dataType))
-    joined = _join_back(rows, hits, frequent)
+    if df.isStreaming:
+        raise ValueError(
+            "a lookup by join needs a batch: use write_batches on a stream, or a model with lookup='inline'"
+        )
+    kind, shape = table.schema[payload].dataType, df.schema[col].dataType
+    named = table.select(element_name(F.col(value)).alias(_VALUE), F.col(payload).alias(_HIT))
+    rows = df.withColumn(_CONTENT, _content_of(F.col(f"`{col}`"), shape))
+    texts = rows.select(_CONTENT, F.col(f"`{col}`").alias(_TEXT))
+    frequent = _frequent_contents(texts.select(_CONTENT))
+
+    # Of a frequent content one row a task is left before the shuffle, and one after it.
+    rare = texts.join(F.broadcast(frequent), _CONTENT, "left_anti")
+    copied = texts.join(F.broadcast(frequent), _CONTENT, "left_semi").dropDuplicates([_CONTENT])
+    hits = _found(rare, elements_of, named, skip).unionByName(_found(copied, elements_of, named, skip))
+    # Bounded by the length of one row's array; rare copies bring the same hits again.
+    packed = hits.groupBy(_CONTENT).agg(F.array_sort(F.collect_set(F.struct(_POS, _HIT))).alias(_HITS))
     dense = F.coalesce(_dense(F.col(_HITS), kind), F.array().cast(T.ArrayType(kind)))
-    return joined.withColumn(out, dense).drop(_CONTENT, _HITS)
+    return _join_back(rows, packed, frequent).withColumn(out, dense).drop(_CONTENT, _HITS)
+
 
+def element_name(value: Column) -> Column:
+    """The value, or for a long one its digest: what an element is joined and broadcast by."""
+    text = value.cast("string")
+    digest = F.concat(F.lit("\u0000sha256:"), F.sha2(text, 256))
+    return F.when(F.octet_length(text) <= NAME_BYTES, text).otherwise(digest)
 
-def _content_hash(value: Column, kind: T.DataType) -> Column:
-    """Tells contents apart. JSON keeps NULLs and the borders between elements."""
+
+def _content_of(value: Column, kind: T.DataType) -> Column:
+    """Tells contents apart by 128 bits. JSON keeps NULLs and the borders between elements."""
     text = value if isinstance(kind, T.StringType) else F.to_json(value)
-    return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b""))
+    return F.coalesce(F.substring(F.unhex(F.sha2(text, 256)), 1, 16), F.lit(b""))
+
 
+def _frequent_contents(contents: DataFrame) -> DataFrame:
+    counts = contents.groupBy(_CONTENT).agg(F.count("*").alias("n")).where(F.col("n") > COPIES)
+    top = counts.orderBy(F.desc("n"), _CONTENT).limit(FREQUENT)
+    salts = F.least(F.ceil(F.col("n") / COPIES), F.lit(MAX_SALTS)).cast("bigint")
+    return top.select(_CONTENT, salts.alias(_SALTS))
 
-def _join_elements(elements: DataFrame, table: DataFrame) -> DataFrame:
-    """What the broadcast has settled, hit or not, takes no part in the join of the rest."""
-    counts = elements.groupBy(_VALUE).count()
-    top = counts.orderBy(F.desc("count"), _VALUE).limit(FREQUENT)
-    known = top.join(table, _VALUE, "left").select(
-        _VALUE, F.col(_HIT).alias("__tf_known"), F.lit(True).alias(_FREQUENT)
-    )
-    settled = elements.join(F.broadcast(known), _VALUE, "left")
-    hits = settled.where(F.col("__tf_known").isNotNull()).select(
-        _CONTENT, _POS, F.col("__tf_known").alias(_HIT)
-    )
-    rest = settled.where(F.col(_FREQUENT).isNull()).select(_CONTENT, _POS, _VALUE)
-    return hits.unionByName(rest.join(table, _VALUE).select(_CONTENT, _POS, _HIT))
+
+def _found(
+    texts: DataFrame, elements_of: Callable[[Column], Column], named: DataFrame, skip
+) -> DataFrame:
+    """``(content, pos, hit)`` of every element that the table has."""
+    # The outer explode keeps Spark from adding a check that would work the array out twice.
+    elements = texts.select(_CONTENT, F.posexplode_outer(elements_of(F.col(_TEXT))).alias(_POS, _VALUE))
+    wanted = F.col(_VALUE).isNotNull()
+    elements = elements.where(wanted if skip is None else wanted & ~skip(F.col(_VALUE)))
+    spread = F.pmod(F.xxhash64(_CONTENT, _POS), F.lit(SPREAD))
+    left = elements.select(_CONTENT, _POS, element_name(F.col(_VALUE)).alias(_VALUE), spread.alias(_SALT))
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
+    right = named.select("*", salts.alias(_SALT))
+    return left.join(right, [_VALUE, _SALT]).select(_CONTENT, _POS, _HIT)
 
 
 def _join_back(rows: DataFrame, hits: DataFrame, frequent: DataFrame) -> DataFrame:
-    frequent = F.broadcast(frequent.withColumn(_FREQUENT, F.lit(True)))
     # Rows may be equal in all columns, so the salt counts them where they are read, before any
     # shuffle. Every salt finds a copy of the hits, so any numbering gives the same result.
-    spread = F.pmod(F.col(_SALT), F.lit(SALTS))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    unsalted = F.lit(0).cast("bigint")
-    numbered = rows.withColumn(_SALT, F.monotonically_increasing_id())
-    left = numbered.join(frequent, _CONTENT, "left").withColumn(
-        _SALT, F.when(F.col(_FREQUENT), spread).otherwise(unsalted)
-    )
-    right = hits.join(frequent, _CONTENT, "left").select(
-        _CONTENT,
-        _HITS,
-        F.explode(F.when(F.col(_FREQUENT), salts).otherwise(F.array(unsalted))).alias(_SALT),
-    )
-    return left.join(right, [_CONTENT, _SALT], "left").drop(_SALT, _FREQUENT)
+    none = F.lit(0).cast("bigint")
+    known = F.broadcast(frequent)
+    numbered = rows.withColumn(_SALT, F.monotonically_increasing_id()).join(known, _CONTENT, "left")
+    left = numbered.withColumn(_SALT, F.coalesce(F.pmod(_SALT, _SALTS), none)).drop(_SALTS)
+    salts = F.coalesce(F.sequence(none, F.col(_SALTS) - 1), F.array(none))
+    right = hits.join(known, _CONTENT, "left").select(_CONTENT, _HITS, F.explode(salts).alias(_SALT))
+    return left.join(right, [_CONTENT, _SALT], "left").drop(_SALT)
 
 
 def _dense(hits: Column, kind: T.DataType) -> Column:
@@ -126,50 +124,3 @@ def _dense(hits: Column, kind: T.DataType) -> Column:
         return F.concat(F.array_repeat(nothing, hit[_POS] - before - 1), F.array(hit[_HIT]))
 
     return F.flatten(F.transform(hits, step))
-
-
-def _replace(
-    df: DataFrame, array: str, table: DataFrame, value: str, payload: str, out: str | None
-) -> DataFrame:
-    literal = LiteralTable.build(table, value, payload)
-    if literal is not None:
-        return df.withColumn(out or array, F.transform(array, literal.lookup))
-    found = lookup_by_join(df, array, lambda items: items, table, value, payload, _FOUND)
-    # Zipped, as an array that a lambda's body refers to could be built again per element.
-    values = F.zip_with(array, _FOUND, lambda _, hit: hit)
-    return found.withColumn(out or array, values).drop(_FOUND)
-
-
-def dictionary_encode(
-    df: DataFrame, array_col: str, out: str | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Dictionary of an array column's values, and the table with ids in their place.
-
-    Gives ``(dictionary(id, value), encoded)``. Ids are dense from 0 and depend on the
-    values only; they follow hash buckets, not the values' order, so that no task sees
-    the whole dictionary. NULL elements stay NULL. The dictionary is written once, to the
-    shared folder, as both results need it.
-    """
-    values = df.select(F.explode_outer(array_col).alias("value")).where("value IS NOT NULL")
-    bucketed = values.distinct().withColumn(
-        "bucket", F.pmod(F.xxhash64("value"), F.lit(DICTIONARY_BUCKETS))
-    )
-    counts = bucketed.groupBy("bucket").count()
-    before = F.sum("count").over(Window.orderBy("bucket")) - F.col("count")
-    offsets = counts.select("bucket", before.alias("before"))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("value"))
-    numbered = bucketed.withColumn("place", place)
-    dictionary = written_once(
-        numbered.join(F.broadcast(offsets), "bucket").select(
-            (F.col("before") + F.col("place") - 1).alias("id"), "value"
-        ),
-        "dictionary",
-    )
-    return dictionary, _replace(df, array_col, dictionary, "value", "id", out)
-
-
-def dictionary_decode(
-    df: DataFrame, ids_col: str, dictionary: DataFrame, out: str | None = None
-) -> DataFrame:
-    """Values for the ids that ``dictionary_encode`` gave."""
-    return _replace(df, ids_col, dictionary, "id", "value", out)

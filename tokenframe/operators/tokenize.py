@@ -67,8 +67,8 @@ def tokenize(
     A NULL text gives a struct of NULLs. ``categorical`` lists are plain string
     arrays, which Parquet stores dictionary-encoded; ``dictionary_encode`` makes the
     dictionary explicit. ``lookup`` is ``inline`` (word lists as literals in the plan,
-    no shuffle, also on streams) or ``join`` (word lists of any length); by default
-    the model's size decides.
+    no shuffle, also on streams) or ``join`` (word lists of any length, batches only); by
+    default it is what the model was built for.
     """
     schema = tokenize_schema(
         raw_value, types, classes, type_ids, class_ids, token_output, type_output, class_output
@@ -78,17 +78,20 @@ def tokenize(
     if lookup not in ("inline", "join"):
         raise ValueError(f"unknown lookup {lookup!r}, expected inline or join")
     if lookup == "inline" and not model.inline:
-        raise ValueError("the model's word lists are too long for lookup='inline'")
+        raise ValueError("the model was built with lookup='join', so its lists are too long for lookup='inline'")
 
+    needs_classes = classes or class_ids
+    by_join = lookup == "join" and needs_classes
+    # What is found by join is there first, so that the join moves the text and no arrays of it.
+    found = _listed_by_join(df, col, model) if by_join else df
     # One staged column per array: used several times below, computed once per row.
-    staged = df.withColumn(_TOKENS, tk.tokens_col(text))
+    staged = found.withColumn(_TOKENS, tk.tokens_col(text))
     if types or lookup == "join":
         staged = staged.withColumn(
             _TYPES, F.transform(_TOKENS, lambda token: tk.type_expr(token, model))
         )
-    needs_classes = classes or class_ids
-    if lookup == "join" and needs_classes:
-        staged = _classes_by_join(staged, col, model)
+    if by_join:
+        staged = staged.withColumn(_CLASSES, _classes_with_listed()).drop(_LISTED)
     elif classes and types:
         staged = staged.withColumn(
             _CLASSES,
@@ -127,16 +130,17 @@ def tokenize(
     return staged.withColumn(out or col, struct).drop(_TOKENS, _TYPES, _CLASSES)
 
 
-def _classes_by_join(staged: DataFrame, col: str, model) -> DataFrame:
-    """Classes with the word lists looked up by join; blanks are not worth a lookup."""
-    staged = lookup_by_join(
-        staged, col, tk.tokens_col, model.classes, "entry", "class", _LISTED, skip=tk.is_blank
-    )
+def _listed_by_join(df: DataFrame, col: str, model) -> DataFrame:
+    """Classes of the tokens in word lists, for tokens that may be in one."""
+    skip = lambda token: tk.cannot_be_listed(token, model)
+    return lookup_by_join(df, col, tk.tokens_col, model.classes, "entry", "class", _LISTED, skip)
+
+
+def _classes_with_listed() -> Column:
     unlisted = F.zip_with(
         _TOKENS, _TYPES, lambda token, kind: F.when(tk.is_blank(token), token).otherwise(kind)
     )
-    classes = F.zip_with(unlisted, _LISTED, lambda other, listed: F.coalesce(listed, other))
-    return staged.withColumn(_CLASSES, classes).drop(_LISTED)
+    return F.zip_with(unlisted, _LISTED, lambda other, listed: F.coalesce(listed, other))
 
 
 def tokens_long(df: DataFrame, key: str | list[str], col: str, model) -> DataFrame:

@@ -9,15 +9,17 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.literal_table import LiteralTable
-from ..functions.tokens import COMMON_BLANKS, definition_type
+from ..functions.membership import BitmapFilter
+from ..functions.tokens import COMMON_BLANKS, definition_type, element_hash
 from .model_files import read_classes, read_definitions
 
 DEFINITIONS_SCHEMA = "ord int, name string, regex string"
 CLASSES_SCHEMA = "class string, entry string"
 # Ids are single bytes, and two of them are taken: so many values fit a vocabulary.
 MAX_VOCABULARY = 254
-# Longer word lists become a literal table, and beyond its bounds are looked up by join.
+# Longer word lists become a literal table.
 MAX_INLINE_ENTRIES = 2_000
+LOOKUPS = ("inline", "join")
 
 
 def vocabulary(definitions: DataFrame, classes: DataFrame) -> DataFrame:
@@ -90,14 +92,16 @@ SHOWN_PROBLEMS = 20
 class Model:
     """What a plan needs to know: names, regexes and word lists, as plain values.
 
-    Short word lists are in ``entries``, longer ones in ``word_table``. When they are too
-    long for a plan both are None, and ``classes`` is looked up by join.
+    Short word lists are in ``entries``, longer ones in ``word_table``. In a model built with
+    ``lookup="join"`` both are None and ``classes`` is looked up by join; ``word_filter`` tells which tokens
+    cannot be in it.
     """
 
     definitions: tuple[tuple[str, str], ...]
     class_names: tuple[str, ...]
     entries: tuple[tuple[str, tuple[str, ...]], ...] | None
     word_table: LiteralTable | None
+    word_filter: BitmapFilter | None
     classes: DataFrame
     blank_types: tuple[tuple[str, str | None], ...]
 
@@ -107,13 +111,18 @@ class Model:
         definitions: DataFrame,
         classes: DataFrame,
         max_inline_entries: int = MAX_INLINE_ENTRIES,
-        force_join: bool = False,
+        lookup: str = "inline",
+        prefilter: bool = True,
     ) -> Model:
         """Check both tables and take the snapshot. Reads the model, no user data.
 
-        Lists above ``max_inline_entries`` are not written out in the plan; with
-        ``force_join`` they are looked up by join even if a literal table could hold them.
+        With ``lookup="inline"`` the word lists are part of the plan, those above
+        ``max_inline_entries`` as a literal table, and every operator is row-local; lists too long for
+        that are refused. ``lookup="join"`` takes lists of any length and needs batches; its plans
+        shuffle what may be in a list, by a bitmap of the entries unless ``prefilter`` is off.
         """
+        if lookup not in LOOKUPS:
+            raise ValueError(f"unknown lookup {lookup!r}, expected one of {', '.join(LOOKUPS)}")
         problems = validate_model(definitions, classes)
         bad = problems.limit(SHOWN_PROBLEMS + 1).collect()
         if bad:
@@ -131,19 +140,25 @@ class Model:
         class_names = tuple(
             sorted(row[0] for row in classes.select("class").distinct().limit(MAX_VOCABULARY + 1).collect())
         )
-        entries = word_table = None
-        if classes.limit(max_inline_entries + 1).count() <= max_inline_entries:
+        entries = word_table = word_filter = None
+        if lookup == "join":
+            if prefilter:
+                word_filter = BitmapFilter.build(classes, element_hash(F.col("entry")))
+        elif classes.limit(max_inline_entries + 1).count() <= max_inline_entries:
             lists: dict[str, list[str]] = {name: [] for name in class_names}
             for row in classes.collect():
                 lists[row[0]].append(row[1])
             entries = tuple((name, tuple(sorted(words))) for name, words in lists.items())
-        elif not force_join:
+        else:
             word_table = LiteralTable.build(classes, "entry", "class")
+            if word_table is None:
+                raise ValueError("the word lists are too long for lookup='inline'; use lookup='join'")
         return cls(
             definitions=ordered,
             class_names=class_names,
             entries=entries,
             word_table=word_table,
+            word_filter=word_filter,
             classes=classes,
             blank_types=_types_of_blanks(definitions.sparkSession, ordered),
         )
@@ -179,7 +194,7 @@ class Model:
 
     @property
     def inline(self) -> bool:
-        """Do rows find their classes without a join?"""
+        """Do rows find their classes without a join, as the model was asked to?"""
         return self.entries is not None or self.word_table is not None
 
     @cached_property

@@ -1,3 +1,3 @@
-from .jobs import write_stream
+from .jobs import write_batches, write_stream
 
-__all__ = ["write_stream"]
+__all__ = ["write_batches", "write_stream"]
