@@ -409,6 +409,19 @@ WITH l AS ({LONG_DOCS})
 SELECT t AS token, count(*) AS n_tokens, count(DISTINCT doc_id) AS n_keys
 FROM l WHERE {unknown(type_of("t"), TYPE_NAMES)}
 GROUP BY t ORDER BY n_tokens DESC, token LIMIT 50
+""",
+    "unknown_topk_threshold": f"""
+WITH l AS ({LONG_DOCS})
+SELECT t AS token, count(*) AS n_tokens, count(DISTINCT doc_id) AS n_keys
+FROM l WHERE {unknown(class_of("t"), CLASS_NAMES)}
+GROUP BY t ORDER BY n_tokens DESC, token LIMIT 100
+""",
+    "unknown_topk_threshold_by_source": f"""
+WITH l AS ({long_tokens("documents", "source")}),
+     g AS (SELECT source, t AS token, count(*) AS n_tokens
+           FROM l WHERE {unknown(type_of("t"), TYPE_NAMES)} GROUP BY ALL)
+SELECT * FROM g
+QUALIFY row_number() OVER (PARTITION BY source ORDER BY n_tokens DESC, token) <= 10
 """,
     "unknown_topk_large": f"""
 WITH l AS ({long_tokens("documents", "source")}),

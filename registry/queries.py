@@ -283,6 +283,16 @@ def unknown_topk(spark, sf_dir):
     return tf.unknown_tokens(docs, "text", model(spark), 50, key="doc_id")
 
 
+def unknown_topk_threshold(spark, sf_dir):
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    return tf.unknown_tokens(docs, "text", model(spark), 100, key="doc_id", level="class", prune=True)
+
+
+def unknown_topk_threshold_by_source(spark, sf_dir):
+    docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return tf.unknown_tokens(docs, "text", model(spark), 10, by="source", prune=True)
+
+
 def unknown_topk_by_source(spark, sf_dir):
     docs = texts(spark, sf_dir, "documents", "doc_id", "source", "text")
     return tf.unknown_tokens(
@@ -461,6 +471,8 @@ QUERIES: dict[str, Query] = {
     "shape_topk_turns": shape_topk_turns,
     "shape_topk_join_lookup": shape_topk_join_lookup,
     "unknown_topk": unknown_topk,
+    "unknown_topk_threshold": unknown_topk_threshold,
+    "unknown_topk_threshold_by_source": unknown_topk_threshold_by_source,
     "unknown_topk_by_source": unknown_topk_by_source,
     "unknown_topk_large": unknown_topk_large,
     "extraction_report": extraction_report,

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 import tokenframe as tf
 from registry.inputs import ADDRESS, DEFINITIONS, WORD_LISTS
 
+from tokenframe.plans import reports
+
 from . import brute
 from .texts import TEXTS
 
@@ -182,3 +184,57 @@ def test_texts_are_split_once_and_counted_before_the_shuffle(spark, model, tmp_p
     assert unknown.count("regexp_extract_all") == 1 and "WindowGroupLimit" in unknown
     report = plan(tf.extraction_report(df, "t", model, [("a", ADDRESS)], ["any", "start"]))
     assert report.count("regexp_extract_all") == 1 and report.count("Exchange") == 1
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shapes_are_counted_without_a_sort_or_a_text_in_the_first_exchange(frame, model, monkeypatch):
+    plans = []
+    monkeypatch.setattr(reports, "written_once", lambda df, name: plans.append(_plan(df)) or df)
+    assert "SortAggregate" not in _plan(tf.shape_profile(frame, "t", model, 3))
+    (first,) = plans
+    assert "SortAggregate" not in first and "HashAggregate" in first
+    assert "hashpartitioning(__tf_h1" in first
+
+
+def test_shapes_tied_at_the_border(spark, model, monkeypatch):
+    texts = ["same prefix 1", "same prefix x", "same prefix 1 1", "same prefix x x", "same prefix", "a", "a", "1"]
+    df = spark.createDataFrame([(t,) for t in texts * 2], "t string")
+    whole = [tuple(r) for r in tf.shape_profile(df, "t", model, 100).collect()]
+    assert whole == sorted(whole, key=lambda r: (-r[1], r[2]))
+    for limit in (0, 100_000):
+        monkeypatch.setattr(reports, "BROADCAST_ROWS", limit)
+        for k in range(1, len(whole) + 1):
+            assert [tuple(r) for r in tf.shape_profile(df, "t", model, k).collect()] == whole[:k]
+
+
+@pytest.mark.parametrize("by", [None, "grp"])
+@pytest.mark.parametrize("k", [1, 3, 70])
+def test_pruned_top_tokens_are_the_same(spark, model, by, k):
+    rows = [(i % 7 or None, i % 3 or None, " ".join(f"#{j}!" for j in range(1, 90) if i % j == 0)) for i in range(120)]
+    df = spark.createDataFrame([*rows, (1, 1, None), (None, 2, "")], "id int, grp int, t string")
+    for key in (None, "id"):
+        plain, pruned = (
+            tf.unknown_tokens(df, "t", model, k, key=key, by=by, prune=prune).collect() for prune in (False, True)
+        )
+        assert sorted(map(tuple, plain), key=repr) == sorted(map(tuple, pruned), key=repr)
+    counts = Counter()
+    keys = defaultdict(set)
+    for number, group, text in rows:
+        for token in text.split():
+            place = (group, token) if by else (token,)
+            counts[place] += 1
+            keys[place] |= {number} - {None}
+    ranked = defaultdict(list)
+    for place, n in sorted(counts.items(), key=lambda kv: (-kv[1], kv[0][-1])):
+        ranked[place[:-1]].append((*place, n, len(keys[place])))
+    want = [row for group in ranked.values() for row in group[:k]]
+    assert sorted(map(tuple, pruned), key=repr) == sorted(want, key=repr)
+
+
+def test_keys_are_counted_without_a_row_for_each_token_and_key(frame, model):
+    plan = _plan(tf.unknown_tokens(frame, "t", model, 4, key="id"))
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("token" in line and "id#" in line for line in exchanges)

@@ -14,6 +14,7 @@ from ..functions import tokens as tk
 from ..functions.patterns import shape_pattern
 from ..operators.extract import is_match, match_parts, shape_source
 from ..operators.tokenize import string_column, tokenize
+from ..sources.storage import written_once
 
 BLANK_LABEL = "(blank)"
 # Parts of a group that rank their own tokens first.
@@ -21,6 +22,13 @@ GROUP_PARTS = 256
 RAW_LABEL = "(raw)"
 TOKENS, SHAPE, RAW = "__tf_tokens", "__tf_shape", "__tf_raw"
 _STRUCT, _ID, _BLANK_ID = "__tf_struct", "__tf_id", -1
+_H1, _H2, _FIRST, _UNKNOWN = "__tf_h1", "__tf_h2", "__tf_first", "__tf_unknown"
+_PART, _RANK, _BIT, _BOUND = "__tf_part", "__tf_rank", "__tf_bit", "__tf_bound"
+# Tables of fixed-width rows up to this length are broadcast, after a count.
+BROADCAST_ROWS = 100_000
+# Hash buckets for each of the k tokens asked for, and tokens in one bitmap of a key.
+BUCKETS_PER_TOKEN = 64
+WORD_BITS = 63
 
 
 def _names(by) -> list[str]:
@@ -82,27 +90,61 @@ def shape_profile(df: DataFrame, col: str, model, k: int) -> DataFrame:
 
     A shape is written as its class names, ``(raw)`` for tokens that stand for
     themselves and one space for a blank token. The example is the smallest text.
+
+    Two passes. The first counts by a 128-bit hash of the shape, with the first bytes of the smallest
+    text as a number: columns of fixed width, so a hash aggregate, and no text is shuffled. That gives the
+    border of the k first, ties kept. The second sees shapes and texts within the border only.
     """
     source = shape_source(df.select(col), col, model)
     shaped = source.df.select(source.shape(source.tokens).alias(SHAPE), source.raw.alias(RAW))
-    # NULL texts are one group, left out by its count: a filter on the shape would be
-    # pushed down and work each shape out twice.
-    counted = shaped.groupBy(SHAPE).agg(F.count(RAW).alias("n_rows"), F.min(RAW).alias("example"))
-    counted = counted.where("n_rows > 0")
-    # Names replace the characters only in the k rows that are left.
+    keyed = shaped.select(
+        F.xxhash64(SHAPE).alias(_H1), F.xxhash64(F.lit(1), SHAPE).alias(_H2), SHAPE, RAW
+    )
+    counted = keyed.select(_H1, _H2, _first_bytes(F.col(RAW)).alias(_FIRST)).groupBy(_H1, _H2)
+    # NULL texts are one group, left out by its count.
+    counts = written_once(
+        counted.agg(F.count(_FIRST).alias("n_rows"), F.min(_FIRST).alias(_FIRST)).where("n_rows > 0"), "shapes"
+    )
+    place = F.struct(F.col("n_rows"), -F.col(_FIRST))
+    border = counts.orderBy(F.desc("n_rows"), _FIRST).limit(k).agg(F.min(place).alias("p")).first().p
+    if border is not None:
+        n, first = border[0], -border[1]
+        counts = counts.where((F.col("n_rows") > n) | ((F.col("n_rows") == n) & (F.col(_FIRST) <= first)))
+    within = _broadcast_if_small(counts.select(_H1, _H2, "n_rows"))
+    # A set of one shape: unlike a smallest one it is gathered by hash, without a sort.
+    found = keyed.join(within, [_H1, _H2]).groupBy(_H1, _H2, "n_rows").agg(
+        F.collect_set(SHAPE).alias(SHAPE), F.min(RAW).alias("example")
+    )
+    top = found.orderBy(F.desc("n_rows"), "example").limit(k)
+    return top.select(_readable(F.get(SHAPE, F.lit(0)), model).alias("shape"), "n_rows", "example")
+
+
+def _first_bytes(text: Column) -> Column:
+    """The first seven bytes as a number: of two texts the smaller has no larger one."""
+    head = F.hex(F.substring(F.encode(text, "UTF-8"), 1, 7))
+    return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("bigint")
+
+
+def _readable(shape: Column, model) -> Column:
     names = F.array(*[F.lit(v) for v in model.class_values])
     place = lambda char: F.ascii(char) - F.lit(tk.SHAPE_BASE)
-    readable = F.array_join(
+    return F.array_join(
         F.transform(
-            F.split(SHAPE, ""),
+            F.split(shape, ""),
             lambda char: F.when(char == tk.SHAPE_BLANK, " ")
             .when(char == tk.SHAPE_UNKNOWN, RAW_LABEL)
             .otherwise(F.get(names, place(char))),
         ),
         "",
     )
-    top = counted.orderBy(F.desc("n_rows"), "example").limit(k)
-    return top.select(readable.alias("shape"), "n_rows", "example")
+
+
+def _broadcast_if_small(table: DataFrame) -> DataFrame:
+    """With a broadcast hint if a count shows few rows; else the join shuffles, with the same result.
+
+    ``table`` is read from files, so that counting it costs little."""
+    few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return F.broadcast(table) if few else table
 
 
 def unknown_tokens(
@@ -113,17 +155,27 @@ def unknown_tokens(
     key: str | None = None,
     by: str | list[str] | None = None,
     level: str = "type",
+    prune: bool = False,
 ) -> DataFrame:
     """``(by…, token, n_tokens[, n_keys])``: the k commonest tokens the model has no name for.
 
     ``level="type"`` asks for tokens whose type is the token itself, ``"class"`` leaves
     out those that a word list covers. ``n_keys`` counts the distinct keys they occur in.
-    With ``by`` there are k tokens per group.
+    With ``by`` there are k tokens per group. ``prune`` reads the texts three times instead of once and
+    shuffles only tokens that may be among the first k; the result is the same.
     """
     if level not in ("type", "class"):
         raise ValueError(f"unknown level {level!r}, expected type or class")
     keys = _names(by)
-    keep = list(dict.fromkeys([*keys, *_names(key)]))
+    arrays = _unknown_arrays(df, col, model, list(dict.fromkeys([*keys, *_names(key)])), level)
+    each = arrays.select(*keys, F.explode_outer(_UNKNOWN).alias("token")).where("token IS NOT NULL")
+    counts = _pruned_counts(each, keys, k) if prune else _token_counts(each, keys)
+    top = _first_k(counts, keys, k)
+    return top if key is None else _with_n_keys(written_once(top, "tokens"), arrays, keys, key)
+
+
+def _unknown_arrays(df: DataFrame, col: str, model, keep: list[str], level: str) -> DataFrame:
+    """``keep`` and the array of each row's unknown tokens."""
     vocab = model.type_values if level == "type" else model.class_values
     if not model.inline and level == "class":
         arrays = _arrays(df, col, model, *keep)
@@ -146,26 +198,91 @@ def unknown_tokens(
             return ~tk.is_blank(token) & tk.type_expr(token, model, known, itself)
 
         unknown = F.filter(TOKENS, is_unknown)
-    each = arrays.select(*keep, F.explode_outer(unknown).alias("token"))
-    each = each.where(F.col("token").isNotNull())
-    if key is None:
-        counts = each.groupBy(*keys, "token").agg(F.count("*").alias("n_tokens"))
-    else:
-        # First per token and key, then per token: a frequent token is spread by its keys.
-        per_key = each.groupBy(*keep, "token").agg(F.count("*").alias("n"))
-        counts = per_key.groupBy(*keys, "token").agg(
-            F.sum("n").alias("n_tokens"), F.count(key).alias("n_keys")
-        )
+    return arrays.select(*keep, unknown.alias(_UNKNOWN))
+
+
+def _token_counts(each: DataFrame, keys: list[str]) -> DataFrame:
+    return each.groupBy(*keys, "token").agg(F.count("*").alias("n_tokens"))
+
+
+def _first_k(counts: DataFrame, keys: list[str], k: int) -> DataFrame:
     order = [F.desc("n_tokens"), F.col("token")]
     if not keys:
         return counts.orderBy(*order).limit(k)
     # The first k of each part of a group, then of the group, so that no task sorts all its tokens.
-    part = F.pmod(F.xxhash64("token"), F.lit(GROUP_PARTS))
-    counts = counts.withColumn("__tf_part", part)
-    for within in ([*keys, "__tf_part"], keys):
+    counts = counts.withColumn(_PART, F.pmod(F.xxhash64("token"), F.lit(GROUP_PARTS)))
+    for within in ([*keys, _PART], keys):
         rank = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
-        counts = counts.withColumn("__tf_rank", rank).where(F.col("__tf_rank") <= k)
-    return counts.drop("__tf_rank", "__tf_part")
+        counts = counts.withColumn(_RANK, rank).where(F.col(_RANK) <= k)
+    return counts.drop(_RANK, _PART)
+
+
+def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    """Equality in which NULL is a group like others."""
+    result = F.lit(True)
+    for name in names:
+        result = result & left[name].eqNullSafe(right[name])
+    return result
+
+
+def _pruned_counts(each: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Exact counts of all tokens that may be among the first k of their group.
+
+    Tasks count by hash buckets, so what leaves them is bounded by the buckets. The tokens of the fullest
+    buckets are counted exactly; the k-th of these is a lower bound of the k-th of all. Tokens in a
+    bucket that holds less in all cannot reach it and stay in the task; the rest is counted exactly.
+    """
+    buckets = 1 << 16
+    while buckets < BUCKETS_PER_TOKEN * k:
+        buckets *= 2
+    each = each.withColumn(_PART, F.pmod(F.xxhash64("token"), F.lit(buckets)))
+    sums = written_once(each.groupBy(*keys, _PART).agg(F.count("*").alias("n")), "buckets")
+
+    def counted(kept: DataFrame) -> DataFrame:
+        kept = _broadcast_if_small(kept.select(*keys, _PART))
+        return _token_counts(each.join(kept, _same(each, kept, [*keys, _PART]), "left_semi"), keys)
+
+    within = Window.partitionBy(*keys)
+    fullest = F.row_number().over(within.orderBy(F.desc("n"), _PART))
+    ranked = written_once(sums.withColumn(_RANK, fullest), "ranked")
+    lead = written_once(counted(ranked.where(F.col(_RANK) <= 2 * k)), "lead")
+    kth = F.row_number().over(within.orderBy(F.desc("n_tokens"), "token"))
+    # A group with fewer tokens has no bound, and all its buckets are counted.
+    bound = lead.withColumn(_RANK, kth).where(F.col(_RANK) == k).select(*keys, F.col("n_tokens").alias(_BOUND))
+    rest = ranked.where(F.col(_RANK) > 2 * k)
+    bounded = rest.join(bound, _same(rest, bound, keys), "left").where(F.col("n") >= F.coalesce(_BOUND, F.lit(0)))
+    survivors = written_once(bounded.select(*[rest[name] for name in [*keys, _PART]]), "survivors")
+    return lead.unionByName(counted(survivors))
+
+
+def _with_n_keys(top: DataFrame, arrays: DataFrame, keys: list[str], key: str) -> DataFrame:
+    """Add ``n_keys``: each key gets a bitmap of the first tokens it has, and bits are summed.
+
+    Only bitmaps are shuffled, a row a key for 63 tokens, and none for a token and key; a hot key or token is
+    combined in the task.
+    """
+    order = [F.desc("n_tokens"), F.col("token")]
+    ranked = top.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+    held = arrays.select(
+        *[F.col(f"`{name}`") for name in dict.fromkeys([*keys, key])],
+        F.explode_outer(F.array_distinct(_UNKNOWN)).alias("token"),
+    ).where(F.col("token").isNotNull() & F.col(f"`{key}`").isNotNull())
+    known = _broadcast_if_small(ranked.select(*keys, "token", _RANK))
+    met = held.join(known, _same(held, known, [*keys, "token"])).select(
+        *[held[name] for name in dict.fromkeys([*keys, key])],
+        F.expr(f"{_RANK} DIV {WORD_BITS}").alias(_PART),
+        F.expr(f"shiftleft(1L, {_RANK} % {WORD_BITS})").alias(_BIT),
+    )
+    maps = met.groupBy(*dict.fromkeys([*keys, key, _PART])).agg(F.bit_or(_BIT).alias(_BIT))
+    places = F.filter(F.sequence(F.lit(0), F.lit(WORD_BITS - 1)), lambda i: F.bit_get(_BIT, i) == 1)
+    each = maps.select(*keys, _PART, F.explode(places).alias(_BIT))
+    each = each.select(*keys, (F.col(_PART) * WORD_BITS + F.col(_BIT)).cast("int").alias(_RANK))
+    sums = each.groupBy(*keys, _RANK).agg(F.count("*").alias("n_keys"))
+    joined = ranked.join(sums, _same(ranked, sums, [*keys, _RANK]), "left")
+    found = joined.select(
+        *[ranked[name] for name in [*keys, "token", "n_tokens"]], F.coalesce("n_keys", F.lit(0)).alias("n_keys")
+    )
+    return found if keys else found.orderBy(*order)
 
 
 def extraction_report(
