@@ -440,6 +440,22 @@ QUALIFY row_number() OVER (PARTITION BY source ORDER BY n_tokens DESC, token) <=
     "extraction_report": extraction_report(),
     "class_coverage": coverage("SELECT text FROM documents", "text"),
     "class_coverage_addresses": coverage(ADDRESSES, "address"),
+    "class_coverage_phrases": f"""
+WITH a AS ({ADDRESSES}),
+     r AS (SELECT row_number() OVER () AS row, {tokens_of("address")} AS tokens FROM a),
+     l AS (SELECT row, unnest(range(len(tokens))) AS pos, unnest(tokens) AS t FROM r),
+     w AS (SELECT t, t || lead(t) OVER d || lead(t, 2) OVER d AS run
+           FROM l WINDOW d AS (PARTITION BY row ORDER BY pos)),
+     e AS (SELECT DISTINCT 'PART_NAME' AS class, upper(p_name) AS entry FROM part
+           UNION SELECT 'PART_WORD', unnest(string_split(upper(p_name), ' ')) FROM part),
+     n AS (SELECT t, count(*) AS n FROM w GROUP BY t),
+     p AS (SELECT run, count(*) AS n FROM w GROUP BY run)
+SELECT class, entry,
+       CASE WHEN contains(entry, ' ') THEN 'unreachable' WHEN n.n IS NULL THEN 'unused' ELSE 'used' END AS status,
+       CASE WHEN contains(entry, ' ') THEN 0 ELSE coalesce(n.n, 0) END AS n_tokens,
+       CASE WHEN contains(entry, ' ') THEN coalesce(p.n, 0) END AS n_phrases
+FROM e LEFT JOIN n ON entry = n.t LEFT JOIN p ON entry = run
+""",
     "class_coverage_join_lookup": f"""
 WITH b AS ({BENCH_WORDS}),
      c AS (SELECT t, count(*) AS n FROM ({LONG_DOCS}) GROUP BY t)
@@ -457,6 +473,48 @@ UNION ALL SELECT 'lists have one length', 0
 UNION ALL SELECT 'NULLs are consistent', 0
 UNION ALL SELECT 'type_ids decode to types', 0
 UNION ALL SELECT 'class_ids decode to classes', 0
+""",
+    "check_tokenized_broken": f"""
+WITH d AS (SELECT doc_id % 10 AS c, {tokens_of("text")} AS tokens FROM documents WHERE text IS NOT NULL),
+     n AS (SELECT c, len(tokens) > 0 AS filled,
+                  len(list_filter(tokens, lambda t: {type_of("t")} <> t)) > 0 AS typed FROM d)
+SELECT 'tokens join to raw_value' AS "check", count(*) FILTER (WHERE c = 1) AS bad_rows FROM n
+UNION ALL SELECT 'tokens are not empty', count(*) FILTER (WHERE c = 5) FROM n
+UNION ALL SELECT 'lists hold no NULL', count(*) FILTER (WHERE c = 6 AND filled) FROM n
+UNION ALL SELECT 'lists have one length', count(*) FILTER (WHERE c = 5 OR c = 2 AND filled) FROM n
+UNION ALL SELECT 'NULLs are consistent', count(*) FILTER (WHERE c = 3) FROM n
+UNION ALL SELECT 'type_ids decode to types', count(*) FILTER (WHERE c = 5 OR c = 4 AND typed) FROM n
+UNION ALL SELECT 'class_ids decode to classes', count(*) FILTER (WHERE c = 5 OR c IN (2, 6) AND filled) FROM n
+""",
+    "validate_model_problems": f"""
+WITH d(name, regex) AS ({ALL_DEFINITIONS} UNION ALL SELECT DISTINCT upper(event_type), 'again' FROM events
+       UNION ALL SELECT '', r_name FROM region UNION ALL SELECT n_name, NULL FROM nation),
+     e AS (SELECT * FROM ({LISTS}) UNION SELECT '', c_mktsegment FROM customer
+           UNION SELECT 'NATION', '' UNION SELECT c_name, c_name || '!' FROM customer),
+     v AS (SELECT 'type' AS kind, name AS value FROM d UNION SELECT 'class', name FROM d
+           UNION SELECT 'class', class FROM e)
+SELECT 'empty definition name' AS problem, regex AS detail FROM d WHERE trim(name) = ''
+UNION ALL SELECT 'definition without regex', name FROM d WHERE regex IS NULL
+UNION ALL SELECT 'duplicate definition name', name FROM d GROUP BY name HAVING count(*) > 1
+UNION ALL SELECT 'empty class name', entry FROM e WHERE trim(class) = ''
+UNION ALL SELECT 'empty class entry', class FROM e WHERE trim(entry) = ''
+UNION ALL SELECT 'entry in more than one class', entry FROM e GROUP BY entry HAVING count(*) > 1
+UNION ALL SELECT 'vocabulary too large', kind || ' ' || count(*) FROM v GROUP BY kind HAVING count(*) > 254
+""",
+    "model_folder": f"""
+WITH c AS (SELECT c_custkey, c_custkey % 100 AS k, upper(left(c_mktsegment, 3)) AS w, c_mktsegment AS seg, n_name,
+                  c_custkey % 5 = 0 AS odd FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT c_custkey, concat('NUM| |ALPHA| |SEGMENT| |NATION', CASE WHEN odd THEN '| |ALPHA' ELSE '' END) AS classes,
+       CASE WHEN NOT odd THEN k::VARCHAR END AS "KEY", CASE WHEN NOT odd THEN w END AS "WORD",
+       CASE WHEN NOT odd THEN seg END AS "SEG", CASE WHEN NOT odd THEN n_name END AS "NATION",
+       CASE WHEN odd THEN concat(k, ' ', w, ' ', seg, ' ', n_name, ' odd') ELSE '' END AS complement
+FROM c
+""",
+    "line_end_types": f"""
+WITH c AS (SELECT c_custkey, concat(lpad(c_custkey::VARCHAR, 5, '0'), '-', lpad(c_nationkey::VARCHAR, 3, '0'),
+             CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN chr(133) WHEN 2 THEN chr(8232) ELSE chr(8233) END,
+             ' RTE', CASE WHEN c_custkey % 3 = 0 THEN chr(133) || '7' ELSE '7' END) AS v FROM customer)
+SELECT c_custkey, {joined(each(tokens_of("v"), type_of("t")))} AS types FROM c
 """,
     "model_tables": f"""
 SELECT 'definition' AS kind, name, regex AS value FROM ({ALL_DEFINITIONS})

@@ -312,6 +312,24 @@ def class_coverage(spark, sf_dir):
     return tf.class_coverage(docs, "text", model(spark))
 
 
+def _phrase_model(spark, sf_dir):
+    """Part names, of two words each, and their words: in capitals, as addresses have them."""
+    name = F.upper("p_name")
+    part = table(spark, sf_dir, "part")
+    entries = part.select(F.lit("PART_NAME").alias("class"), name.alias("entry")).unionAll(
+        part.select(F.lit("PART_WORD"), F.explode(F.split(name, " ")))
+    )
+    definitions = spark.createDataFrame(
+        [(i, name, regex) for i, (name, regex) in enumerate(DEFINITIONS)], DEFINITIONS_SCHEMA
+    )
+    return tf.Model.from_tables(definitions, entries.distinct(), lookup="join")
+
+
+def class_coverage_phrases(spark, sf_dir):
+    found = addresses(spark, sf_dir)
+    return tf.class_coverage(found, "address", _phrase_model(spark, sf_dir), phrases=True)
+
+
 def class_coverage_addresses(spark, sf_dir):
     return tf.class_coverage(addresses(spark, sf_dir), "address", model(spark))
 
@@ -324,6 +342,47 @@ def check_tokenized(spark, sf_dir):
     )
 
 
+def check_tokenized_broken(spark, sf_dir):
+    """Six of ten documents have one fault each in their tokenized struct."""
+    m = model(spark)
+    docs = texts(spark, sf_dir, "documents", "doc_id", "text")
+    found = tf.tokenize(docs, "text", m, type_ids=True, class_ids=True)
+    s, case = F.col("text"), F.col("doc_id") % 10
+    without_last = F.slice(s["classes"], F.lit(1), F.greatest(F.size(s["classes"]) - 1, F.lit(0)))
+    unknown_ids = F.transform(s["type_ids"], lambda _: F.lit(254).cast("smallint"))
+    nothing = F.lit(None).cast("string")
+    first_null = F.transform(s["classes"], lambda c, i: F.when(i == 0, nothing).otherwise(c))
+    faults = {
+        1: ("raw_value", F.concat(s["raw_value"], F.lit("x"))),
+        2: ("classes", without_last),
+        3: ("types", F.lit(None).cast("array<string>")),
+        4: ("type_ids", unknown_ids),
+        5: ("tokens", F.concat(s["tokens"], F.array(F.lit("")))),
+        6: ("classes", first_null),
+    }
+    fields = {name: s[name] for name in ("raw_value", "tokens", "types", "classes", "type_ids", "class_ids")}
+    for number, (name, value) in faults.items():
+        fields[name] = F.when(case == number, value).otherwise(fields[name])
+    broken = found.select(F.struct(*[value.alias(name) for name, value in fields.items()]).alias("text"))
+    return tf.check_tokenized(broken, "text", m)
+
+
+def line_end_types(spark, sf_dir):
+    """Codes with characters behind them that end a line for some regexes, though not for a model's."""
+    ends = F.get(F.array(*map(F.lit, ("", "\u0085", "\u2028", "\u2029"))), (F.col("c_custkey") % 4).cast("int"))
+    value = F.concat(
+        F.lpad(F.col("c_custkey").cast("string"), 5, "0"),
+        F.lit("-"),
+        F.lpad(F.col("c_nationkey").cast("string"), 3, "0"),
+        ends,
+        F.lit(" RTE"),
+        F.when(F.col("c_custkey") % 3 == 0, "\u00857").otherwise("7"),
+    )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", value.alias("v"))
+    found = tf.tokenize(customers, "v", model(spark), classes=False)
+    return found.select("c_custkey", joined("v.types").alias("types"))
+
+
 def _lists_from_tables(spark, sf_dir):
     """Word lists taken from the tables; a part's colour word is also a part word."""
     words = F.split("p_name", " ")
@@ -359,25 +418,54 @@ def _definitions_from_tables(spark, sf_dir):
 def model_tables(spark, sf_dir):
     """Word lists from the tables, written as model files and read back."""
     folder = new_folder(spark, "model")
-    entries = _lists_from_tables(spark, sf_dir)
+    _write_model(folder, _definitions_from_tables(spark, sf_dir), _lists_from_tables(spark, sf_dir))
+    read = tf.read_definitions(spark, f"{folder}/TOKENDEFINITION").select(
+        F.lit("definition").alias("kind"), F.col("name"), F.col("regex").alias("value")
+    )
+    return read.unionAll(
+        tf.read_classes(spark, f"{folder}/TOKENCLASS").select(F.lit("class"), "class", "entry")
+    )
+
+
+def _write_model(folder: str, definitions: DataFrame, entries: DataFrame) -> None:
+    """A model folder: a file for each word list, and one for the definitions, in order."""
     headers = entries.select("class").distinct()
     lines = headers.select(
         "class", F.lit(0).alias("rank"), F.concat(F.lit("TOKEN_CLASS: "), "class").alias("value")
     ).unionAll(entries.select("class", F.lit(1), "entry"))
     lines.repartition("class").sortWithinPartitions("class", "rank").select(
         "class", "value"
-    ).write.partitionBy("class").text(f"{folder}/classes")
-    definitions = _definitions_from_tables(spark, sf_dir)
-    texts = F.concat(
+    ).write.partitionBy("class").text(f"{folder}/TOKENCLASS")
+    lines = F.concat(
         F.lit("<NAME>"), "name", F.lit("</NAME>\t<VALUE>"), "regex", F.lit("</VALUE>\tnote")
     )
-    definitions.orderBy("ord", "name").coalesce(1).select(texts).write.text(f"{folder}/definitions")
-    read = tf.read_definitions(spark, f"{folder}/definitions").select(
-        F.lit("definition").alias("kind"), F.col("name"), F.col("regex").alias("value")
+    definitions.orderBy("ord", "name").coalesce(1).select(lines).write.text(f"{folder}/TOKENDEFINITION")
+
+
+def model_folder(spark, sf_dir):
+    """A model written to a folder, loaded from there, and used: tokens and fields of customer lines."""
+    folder = new_folder(spark, "model")
+    customers, nations = (table(spark, sf_dir, name) for name in ("customer", "nation"))
+    entries = nations.select(F.lit("NATION").alias("class"), F.col("n_name").alias("entry")).unionAll(
+        customers.select(F.lit("SEGMENT"), "c_mktsegment")
     )
-    return read.unionAll(
-        tf.read_classes(spark, f"{folder}/classes").select(F.lit("class"), "class", "entry")
+    _write_model(folder, _definitions_from_tables(spark, sf_dir), entries.distinct())
+    m = tf.Model.load(spark, folder)
+    line = F.concat_ws(
+        " ",
+        F.col("c_custkey") % 100,
+        F.upper(F.left("c_mktsegment", F.lit(3))),
+        "c_mktsegment",
+        "n_name",
+        F.when(F.col("c_custkey") % 5 == 0, "odd"),
     )
+    lines = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", line.alias("line")
+    )
+    tokenized = tf.tokenize(lines, "line", m)
+    pattern = "<<KEY#>> <<WORD@+>> <<SEG::SEGMENT>> <<NATION::NATION>>"
+    found = tf.extract(tokenized, "line", m, pattern, out="fields")
+    return found.select("c_custkey", joined("line.classes").alias("classes"), "fields.*")
 
 
 def vocabulary(spark, sf_dir):
@@ -390,6 +478,22 @@ def validate_model(spark, sf_dir):
     )
 
 
+def validate_model_problems(spark, sf_dir):
+    """Every problem there is, made of the tables."""
+    own = _definitions_from_tables(spark, sf_dir)
+    again = own.where("ord = 100").withColumn("regex", F.lit("again"))
+    nameless = table(spark, sf_dir, "region").select(F.lit(200).alias("ord"), F.lit("").alias("name"), F.col("r_name").alias("regex"))
+    bare = table(spark, sf_dir, "nation").select(
+        F.lit(300).alias("ord"), F.col("n_name").alias("name"), F.lit(None).cast("string").alias("regex")
+    )
+    customers = table(spark, sf_dir, "customer")
+    entries = _lists_from_tables(spark, sf_dir)
+    entries = entries.unionAll(customers.select(F.lit(""), "c_mktsegment"))
+    entries = entries.unionAll(table(spark, sf_dir, "region").select(F.lit("NATION"), F.lit("")))
+    entries = entries.unionAll(customers.select("c_name", F.concat("c_name", F.lit("!"))))
+    return tf.validate_model(own.unionByName(again).unionByName(nameless).unionByName(bare), entries)
+
+
 def _turn_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "conversations").schema
     files = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet")
@@ -478,11 +582,16 @@ QUERIES: dict[str, Query] = {
     "extraction_report": extraction_report,
     "class_coverage": class_coverage,
     "class_coverage_addresses": class_coverage_addresses,
+    "class_coverage_phrases": class_coverage_phrases,
     "class_coverage_join_lookup": class_coverage_join_lookup,
     "check_tokenized": check_tokenized,
+    "check_tokenized_broken": check_tokenized_broken,
+    "line_end_types": line_end_types,
+    "model_folder": model_folder,
     "model_tables": model_tables,
     "vocabulary": vocabulary,
     "validate_model": validate_model,
+    "validate_model_problems": validate_model_problems,
     "stream_tokenize": stream_tokenize,
     "stream_extract": stream_extract,
     "stream_tokenize_join": stream_tokenize_join,

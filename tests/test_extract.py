@@ -153,8 +153,8 @@ def test_broken_id_lists_raise(spark, model):
 @pytest.mark.parametrize(
     ("fields", "message"),
     [
-        ("classes: array<string>", "missing required 'tokens'"),
-        ("tokens: array<string>", "missing required 'classes' or 'class_ids'"),
+        ("classes: array<string>", "no list of tokens"),
+        ("tokens: array<string>", "needs 'classes' or 'class_ids'"),
         ("tokens: array<int>, classes: array<string>", "array<string>"),
         ("tokens: array<string>, class_ids: array<string>", "array of integers"),
         ("raw_value: int, tokens: array<string>, classes: array<string>", "must be a string"),
@@ -253,3 +253,28 @@ def test_plan_has_no_shuffle_and_splits_once(spark, model, tmp_path):
     assert "Exchange" not in plan and "Python" not in plan
     assert plan.count("regexp_extract_all") == 1 and plan.count("regexp_replace") == 1
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,3)]" in plan
+
+
+def test_all_patterns_and_modes_take_one_regex(spark, model):
+    df = spark.createDataFrame([("1 MAIN ST",)], "t string")
+    patterns = [("a", ADDRESS), ("n", "<<N#>>"), ("w", "<<W@+>>")]
+    report = tf.extraction_report(df, "t", model, patterns, ["whole", "start", "end", "any"])
+    first = tf.extract_first(df, "t", model, [(name, text, "any") for name, text in patterns])
+    for found in (report, first):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace") == 1
+
+
+@pytest.mark.parametrize("operator", ["report", "first"])
+def test_long_runs_stay_linear_with_several_patterns(spark, model, operator):
+    long = " ".join(["word"] * 60_000)
+    df = spark.createDataFrame([(long,), (long + " 7",)], "t string")
+    patterns = [("p", "<<A@+>> <<N#>> <<B@>>"), ("q", "<<A@+>> <<B@+>> <<N#>>")]
+    if operator == "report":
+        rows = tf.extraction_report(df, "t", model, patterns, ["whole", "any"]).collect()
+        assert {(r.pattern, r.mode): r.n_matched for r in rows} == {
+            ("p", "whole"): 0, ("p", "any"): 0, ("q", "whole"): 1, ("q", "any"): 1
+        }
+    else:
+        found = tf.extract_first(df, "t", model, [(*pattern, "any") for pattern in patterns])
+        assert sorted(r.t.pattern or "" for r in found.collect()) == ["", "q"]

@@ -238,3 +238,27 @@ def test_keys_are_counted_without_a_row_for_each_token_and_key(frame, model):
     plan = _plan(tf.unknown_tokens(frame, "t", model, 4, key="id"))
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert exchanges and not any("token" in line and "id#" in line for line in exchanges)
+
+
+@pytest.mark.parametrize("lookup", ["inline", "join"])
+@pytest.mark.parametrize("bitmap", [True, False])
+def test_entries_of_several_tokens_are_counted_in_rows_of_tokens(spark, monkeypatch, lookup, bitmap):
+    if not bitmap:
+        monkeypatch.setattr(reports.BitmapFilter, "build", lambda *args: None)
+    lists = {"P": ["CUL DE SAC", "A A", "A A A", "tab\tbed", " lead", "one"], "Q": ["DE SAC", "never there"]}
+    texts = ["CUL DE SAC", "a CUL DE SAC DE SAC", "A A A A", "CUL  DE SAC", "tab\tbed one", "x lead", None, "", "A"]
+    m = tf.Model.from_values(spark, DEFINITIONS, lists, lookup=lookup)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = {r.entry: (r.status, r.n_tokens, r.n_phrases) for r in tf.class_coverage(df, "t", m, True).collect()}
+    for entry in [w for words in lists.values() for w in words]:
+        run = brute.split(entry)
+        if len(run) == 1:
+            assert found[entry] == ("used", 1, None)
+            continue
+        n = 0
+        for text in texts:
+            tokens = brute.split(text or "")
+            n += sum(tokens[i : i + len(run)] == run for i in range(len(tokens)))
+        assert found[entry] == ("unreachable", 0, n)
+    plain = tf.class_coverage(df, "t", m)
+    assert plain.columns == ["class", "entry", "status", "n_tokens"] and plain.count() == len(found)

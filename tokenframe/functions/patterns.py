@@ -17,6 +17,7 @@ twice gives one field, filled by its first use.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from .tokens import SHAPE_BLANK, shape_char
@@ -87,23 +88,52 @@ def check_mode(mode: str) -> str:
 
 def shape_pattern(pattern: str, class_values, mode: str = "whole") -> ShapePattern:
     """Compile for a class vocabulary. Only the argument text is looked at, no data."""
-    check_mode(mode)
     names = capture_field_names(pattern)
     elements = parse_pattern(pattern)
+    head, body, tail = _regexes(pattern, elements, class_values, mode)
+    first = {}
+    for group, element in enumerate(elements, start=1):
+        if element.name:
+            first.setdefault(element.name, group)
+    return ShapePattern(
+        regex=head + "".join(f"({part})" for part in body) + tail,
+        groups=len(elements) + 2,
+        fields=tuple((name, first[name]) for name in names),
+    )
+
+
+def outline_regex(cases: Iterable[tuple[str, str]], class_values) -> str:
+    """One regex for many ``(pattern, mode)``, matched against a shape once.
+
+    It always matches. Each case has three groups, what is before its match, the match, and what is
+    after; all are empty where the case does not match, and a match never is. Cases stand in look-aheads
+    side by side, so each finds the match it would find alone.
+    """
+    parts = []
+    for pattern, mode in cases:
+        capture_field_names(pattern)
+        head, body, tail = _regexes(pattern, parse_pattern(pattern), class_values, mode)
+        parts.append(f"(?=(?:{head}({''.join(body)}){tail})?)")
+    return f"^{''.join(parts)}.*\\z"
+
+
+def first_regex(compiled: Iterable[ShapePattern]) -> str:
+    """One regex for several patterns, of which the first that matches wins; groups follow each other."""
+    return "|".join(f"(?:{one.regex})" for one in compiled)
+
+
+def _regexes(pattern: str, elements, class_values, mode: str) -> tuple[str, list[str], str]:
+    """What comes before a match, one part for each element, and what comes after."""
+    check_mode(mode)
     place = {value: i for i, value in enumerate(class_values)}
     unknown = [e.cls for e in elements if e.cls is not None and e.cls not in place]
     if unknown:
         raise ValueError(f"unknown class {unknown[0]!r} in pattern {pattern!r}")
-
-    body = ""
+    body = []
     for i, element in enumerate(elements):
-        if element.cls is None:
-            body += f"({SHAPE_BLANK})"
-            continue
-        char = shape_char(place[element.cls])
+        char = SHAPE_BLANK if element.cls is None else shape_char(place[element.cls])
         many = element.many and not _follows_repeated(elements, i)
-        body += f"({char}(?:{SHAPE_BLANK}{char})*)" if many else f"({char})"
-
+        body.append(f"{char}(?:{SHAPE_BLANK}{char})*" if many else char)
     guard = _run_guard(elements, place)
     head, tail = {
         "whole": ("^()", r"()\z"),
@@ -111,15 +141,7 @@ def shape_pattern(pattern: str, class_values, mode: str = "whole") -> ShapePatte
         "end": (f"^(.*?){guard}", r"()\z"),
         "any": (f"^(.*?){guard}", r"(.*)\z"),
     }[mode]
-    first = {}
-    for group, element in enumerate(elements, start=1):
-        if element.name:
-            first.setdefault(element.name, group)
-    return ShapePattern(
-        regex=head + body + tail,
-        groups=len(elements) + 2,
-        fields=tuple((name, first[name]) for name in names),
-    )
+    return head, body, tail
 
 
 def _follows_repeated(elements, i) -> bool:

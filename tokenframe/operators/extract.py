@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import tokens as tk
-from ..functions.patterns import COMPLEMENT, ShapePattern, capture_field_names, shape_pattern
+from ..functions.patterns import COMPLEMENT, ShapePattern, capture_field_names, first_regex, shape_pattern
 from .tokenize import string_column, tokenize
 
 _STRUCT, _TOKENS, _MATCH = "__tf_struct", "__tf_tokens", "__tf_match"
@@ -92,20 +92,27 @@ def extract_first(
             rest.alias(COMPLEMENT),
         )
 
-    def attempt(i: int, tokens: Column, shape: Column) -> Column:
-        """The i-th rule's fields where it matches, else what the later rules give."""
-        if i == len(rules):
-            return struct(None, {}, source.raw)
+    # All rules in one regex: the first that matches fills its groups, the others stay empty.
+    places = [1 + sum(c.groups for c in compiled[:i]) for i in range(len(compiled))]
 
-        def outcome(parts: Column) -> Column:
-            values = captures(compiled[i], tokens, parts)
-            hit = struct(rules[i][0], values, leftover(source.raw, tokens, parts))
-            return F.when(is_match(parts), hit).otherwise(attempt(i + 1, tokens, shape))
+    def fields(i: int, tokens: Column, parts: Column) -> Column:
+        own = F.slice(parts, places[i], compiled[i].groups)
+        return let(
+            own,
+            lambda p: struct(rules[i][0], captures(compiled[i], tokens, p), leftover(source.raw, tokens, p)),
+        )
 
-        return let(match_parts(compiled[i], shape), outcome)
+    def outcome(tokens: Column, parts: Column) -> Column:
+        chain = F
+        for i, place in enumerate(places):
+            # The group of the first element, which is never empty in a match.
+            hit = is_match(parts) & (F.get(parts, F.lit(place)) != "")
+            chain = chain.when(hit, fields(i, tokens, parts))
+        return chain.otherwise(struct(None, {}, source.raw))
 
     def found(tokens: Column) -> Column:
-        return let(source.shape(tokens), lambda shape: attempt(0, tokens, shape))
+        cut = cut_by(first_regex(compiled), sum(c.groups for c in compiled), source.shape(tokens))
+        return let(cut, lambda parts: outcome(tokens, parts))
 
     one = F.transform(F.array(source.tokens), found)
     return _with_one(source.df, out or col, one).drop(_STRUCT)
@@ -202,10 +209,10 @@ def _check_struct(col: str, kind: T.StructType) -> None:
         return isinstance(found, T.ArrayType) and isinstance(found.elementType, elements)
 
     if "tokens" not in kind.names:
-        raise ValueError(f"tokenized column '{col}' is missing required 'tokens' field")
+        raise ValueError(f"struct column '{col}' has {', '.join(kind.names)}, but no list of tokens ('tokens')")
     if "classes" not in kind.names and "class_ids" not in kind.names:
         raise ValueError(
-            f"tokenized column '{col}' is missing required 'classes' or 'class_ids' field"
+            f"struct column '{col}' has {', '.join(kind.names)}; it needs 'classes' or 'class_ids' as well"
         )
     for name in ("tokens", "classes"):
         if name in kind.names and not is_list_of(name, T.StringType):
@@ -218,9 +225,13 @@ def _check_struct(col: str, kind: T.StructType) -> None:
 
 def match_parts(compiled: ShapePattern, shape: Column) -> Column:
     """The match cut into head, elements and tail; a single part without a match."""
-    groups = _BORDER.join(f"${i}" for i in range(1, compiled.groups + 1))
-    cut = F.regexp_replace(shape, F.lit(compiled.regex), F.lit(groups))
-    return F.split(cut, f"\\{_BORDER}", -1)
+    return cut_by(compiled.regex, compiled.groups, shape)
+
+
+def cut_by(regex: str, groups: int, shape: Column) -> Column:
+    """What the groups of a regex that covers the whole shape hold; the shape itself without a match."""
+    borders = _BORDER.join(f"${i}" for i in range(1, groups + 1))
+    return F.split(F.regexp_replace(shape, F.lit(regex), F.lit(borders)), f"\\{_BORDER}", -1)
 
 
 def is_match(parts: Column) -> Column:

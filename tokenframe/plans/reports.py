@@ -11,8 +11,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import tokens as tk
-from ..functions.patterns import shape_pattern
-from ..operators.extract import is_match, match_parts, shape_source
+from ..functions.membership import BitmapFilter
+from ..functions.patterns import outline_regex
+from ..operators.extract import cut_by, shape_source
 from ..operators.tokenize import string_column, tokenize
 from ..sources.storage import written_once
 
@@ -23,7 +24,7 @@ RAW_LABEL = "(raw)"
 TOKENS, SHAPE, RAW = "__tf_tokens", "__tf_shape", "__tf_raw"
 _STRUCT, _ID, _BLANK_ID = "__tf_struct", "__tf_id", -1
 _H1, _H2, _FIRST, _UNKNOWN = "__tf_h1", "__tf_h2", "__tf_first", "__tf_unknown"
-_PART, _RANK, _BIT, _BOUND = "__tf_part", "__tf_rank", "__tf_bit", "__tf_bound"
+_PART, _RANK, _BIT, _BOUND, _CUT = "__tf_part", "__tf_rank", "__tf_bit", "__tf_bound", "__tf_cut"
 # Tables of fixed-width rows up to this length are broadcast, after a count.
 BROADCAST_ROWS = 100_000
 # Hash buckets for each of the k tokens asked for, and tokens in one bitmap of a key.
@@ -298,23 +299,19 @@ def extraction_report(
     The table is tokenized once and read once for all patterns and modes.
     """
     modes = list(modes)
-    cases = [
-        (name, mode, shape_pattern(text, model.class_values, mode))
-        for name, text in patterns
-        for mode in modes
-    ]
+    cases = [(name, text, mode) for name, text in patterns for mode in modes]
     if not cases:
         raise ValueError("extraction_report needs at least one pattern and mode")
+    regex = outline_regex([(text, mode) for _, text, mode in cases], model.class_values)
     source = shape_source(df.select(col), col, model)
     staged = source.df.select(source.shape(source.tokens).alias(SHAPE))
+    staged = staged.withColumn(_CUT, cut_by(regex, 3 * len(cases), F.col(SHAPE)))
     aggregates = [F.count(SHAPE).alias("n_rows")]
-    for i, (_, _, compiled) in enumerate(cases):
-        staged = staged.withColumn(f"__tf_m{i}", match_parts(compiled, F.col(SHAPE)))
-        parts = F.col(f"__tf_m{i}")
-        around = (F.get(parts, F.lit(0)) != "") | (F.element_at(parts, -1) != "")
-        left = F.when(is_match(parts), around).otherwise(F.col(SHAPE) != "")
-        aggregates.append(F.count_if(is_match(parts)).alias(f"m{i}"))
-        aggregates.append(F.count_if(left).alias(f"c{i}"))
+    for i in range(len(cases)):
+        before, match, after = (F.get(_CUT, F.lit(3 * i + j)) for j in range(3))
+        around = (before != "") | (after != "")
+        aggregates.append(F.count_if(match != "").alias(f"m{i}"))
+        aggregates.append(F.count_if(F.when(match != "", around).otherwise(F.col(SHAPE) != "")).alias(f"c{i}"))
     counts = staged.agg(*aggregates)
     rows = F.array(
         *[
@@ -325,21 +322,22 @@ def extraction_report(
                 F.col(f"m{i}").alias("n_matched"),
                 F.col(f"c{i}").alias("n_complement"),
             )
-            for i, (name, mode, _) in enumerate(cases)
+            for i, (name, _, mode) in enumerate(cases)
         ]
     )
     return counts.select(F.inline(rows))
 
 
-def class_coverage(df: DataFrame, col: str, model) -> DataFrame:
-    """``(class, entry, status, n_tokens)`` for every entry of the word lists.
+def class_coverage(df: DataFrame, col: str, model, phrases: bool = False) -> DataFrame:
+    """``(class, entry, status, n_tokens[, n_phrases])`` for every entry of the word lists.
 
     ``unreachable`` entries hold a blank, so no single token can equal them; others are
-    ``used`` or ``unused``.
+    ``used`` or ``unused``. With ``phrases`` unreachable entries of several tokens have in ``n_phrases`` how
+    often their tokens stand in a row, overlaps included; for other entries it is NULL.
     """
     tokens = tk.tokens_col(string_column(df, col))
     if not model.inline:
-        wanted = F.filter(tokens, lambda token: ~tk.is_blank(token))
+        wanted = F.filter(tokens, lambda token: ~tk.cannot_be_listed(token, model))
     else:
         wanted = F.filter(tokens, lambda token: tk.is_listed(token, model))
     each = df.select(F.explode_outer(wanted).alias("token")).where(F.col("token").isNotNull())
@@ -349,12 +347,49 @@ def class_coverage(df: DataFrame, col: str, model) -> DataFrame:
     joined = entries.join(counts, F.col("entry") == F.col("token"), "left")
     unreachable = F.col("entry").rlike(r"[ \t\n\r\f]") | tk.is_blank(F.col("entry"))
     status = F.when(unreachable, "unreachable").when(F.col("n").isNull(), "unused").otherwise("used")
-    return joined.select(
+    found = joined.select(
         "class",
         "entry",
         status.alias("status"),
         F.when(unreachable, F.lit(0)).otherwise(F.coalesce("n", F.lit(0))).cast("bigint").alias("n_tokens"),
     )
+    if not phrases:
+        return found
+    runs = _phrase_counts(df, col, entries).withColumnRenamed("entry", "__tf_run")
+    several = (F.col("status") == "unreachable") & (F.size(tk.tokens_col(F.col("entry"))) > 1)
+    return found.join(runs, F.col("entry") == F.col("__tf_run"), "left").select(
+        *found.columns, F.when(several, F.coalesce("n", F.lit(0))).alias("n_phrases")
+    )
+
+
+def _phrase_counts(df: DataFrame, col: str, entries: DataFrame) -> DataFrame:
+    """``(entry, n)``: runs of tokens that spell an entry of several tokens.
+
+    For each length that entries have, a row hashes the first and the last token of its runs of this length. Only
+    runs whose hash is in a bitmap of the entries are spelled out, counted per task, and joined.
+    """
+    spelled = tk.tokens_col(F.col("entry"))
+    listed = entries.select("entry", spelled.alias(TOKENS)).where(F.size(TOKENS) > 1).distinct()
+    lengths = sorted(row[0] for row in listed.select(F.size(TOKENS)).distinct().collect())
+    ends = lambda first, last, n: F.xxhash64(first, last, n)
+    held = BitmapFilter.build(
+        listed, ends(F.get(TOKENS, F.lit(0)), F.element_at(TOKENS, -1), F.size(TOKENS))
+    )
+    rows = df.select(tk.tokens_col(string_column(df, col)).alias(TOKENS))
+    nothing = F.array().cast("array<string>")
+
+    def runs_of(n: int) -> Column:
+        starts = F.sequence(F.lit(0), F.size(TOKENS) - n)
+        if held is not None:
+            starts = F.filter(
+                starts, lambda i: held.may_hold(ends(F.get(TOKENS, i), F.get(TOKENS, i + (n - 1)), F.lit(n)))
+            )
+        texts = F.transform(starts, lambda i: F.array_join(F.slice(TOKENS, i + 1, F.lit(n)), ""))
+        return F.when(F.size(TOKENS) >= n, texts).otherwise(nothing)
+
+    runs = F.concat(nothing, *map(runs_of, lengths))
+    each = rows.select(F.explode_outer(runs).alias("entry")).where(F.col("entry").isNotNull())
+    return each.groupBy("entry").agg(F.count("*").alias("n"))
 
 
 def check_tokenized(df: DataFrame, col: str, model) -> DataFrame:
