@@ -192,7 +192,8 @@ def _plan(df):
 
 def test_shapes_are_counted_without_a_sort_or_a_text_in_the_first_exchange(frame, model, monkeypatch):
     plans = []
-    monkeypatch.setattr(reports, "written_once", lambda df, name: plans.append(_plan(df)) or df)
+    within = reports._within_border
+    monkeypatch.setattr(reports, "_within_border", lambda df, k: plans.append(_plan(df)) or within(df, k))
     assert "SortAggregate" not in _plan(tf.shape_profile(frame, "t", model, 3))
     (first,) = plans
     assert "SortAggregate" not in first and "HashAggregate" in first
@@ -212,10 +213,11 @@ def test_shapes_tied_at_the_border(spark, model, monkeypatch):
 
 @pytest.mark.parametrize("by", [None, "grp"])
 @pytest.mark.parametrize("k", [1, 3, 70])
-def test_pruned_top_tokens_are_the_same(spark, model, by, k):
+def test_pruned_top_tokens_are_the_same(spark, model, by, k, monkeypatch):
     rows = [(i % 7 or None, i % 3 or None, " ".join(f"#{j}!" for j in range(1, 90) if i % j == 0)) for i in range(120)]
     df = spark.createDataFrame([*rows, (1, 1, None), (None, 2, "")], "id int, grp int, t string")
-    for key in (None, "id"):
+    for key, listed in ((None, 9), ("id", 0), ("id", 2_000)):
+        monkeypatch.setattr(reports, "LISTED", listed)
         plain, pruned = (
             tf.unknown_tokens(df, "t", model, k, key=key, by=by, prune=prune).collect() for prune in (False, True)
         )

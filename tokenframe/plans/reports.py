@@ -14,6 +14,7 @@ from ..functions import tokens as tk
 from ..functions.membership import BitmapFilter
 from ..functions.patterns import outline_regex
 from ..operators.extract import cut_by, shape_source
+from ..operators.lookup import element_name
 from ..operators.tokenize import string_column, tokenize
 from ..sources.storage import written_once
 
@@ -25,8 +26,11 @@ TOKENS, SHAPE, RAW = "__tf_tokens", "__tf_shape", "__tf_raw"
 _STRUCT, _ID, _BLANK_ID = "__tf_struct", "__tf_id", -1
 _H1, _H2, _FIRST, _UNKNOWN = "__tf_h1", "__tf_h2", "__tf_first", "__tf_unknown"
 _PART, _RANK, _BIT, _BOUND, _CUT = "__tf_part", "__tf_rank", "__tf_bit", "__tf_bound", "__tf_cut"
+_NAME = "__tf_name"
 # Tables of fixed-width rows up to this length are broadcast, after a count.
 BROADCAST_ROWS = 100_000
+# So many names of tokens, of bounded length, are written out in a plan.
+LISTED = 2_000
 # Hash buckets for each of the k tokens asked for, and tokens in one bitmap of a key.
 BUCKETS_PER_TOKEN = 64
 WORD_BITS = 63
@@ -99,27 +103,37 @@ def shape_profile(df: DataFrame, col: str, model, k: int) -> DataFrame:
     source = shape_source(df.select(col), col, model)
     shaped = source.df.select(source.shape(source.tokens).alias(SHAPE), source.raw.alias(RAW))
     keyed = shaped.select(
-        F.xxhash64(SHAPE).alias(_H1), F.xxhash64(F.lit(1), SHAPE).alias(_H2), SHAPE, RAW
-    )
-    counted = keyed.select(_H1, _H2, _first_bytes(F.col(RAW)).alias(_FIRST)).groupBy(_H1, _H2)
+        F.xxhash64(SHAPE).alias(_H1), F.xxhash64(F.lit(1), SHAPE).alias(_H2), SHAPE, RAW,
+        _first_bytes(F.col(RAW)).alias(_FIRST),
+    )
+    counted = keyed.select(_H1, _H2, _FIRST).groupBy(_H1, _H2)
     # NULL texts are one group, left out by its count.
-    counts = written_once(
-        counted.agg(F.count(_FIRST).alias("n_rows"), F.min(_FIRST).alias(_FIRST)).where("n_rows > 0"), "shapes"
-    )
-    place = F.struct(F.col("n_rows"), -F.col(_FIRST))
-    border = counts.orderBy(F.desc("n_rows"), _FIRST).limit(k).agg(F.min(place).alias("p")).first().p
-    if border is not None:
-        n, first = border[0], -border[1]
-        counts = counts.where((F.col("n_rows") > n) | ((F.col("n_rows") == n) & (F.col(_FIRST) <= first)))
-    within = _broadcast_if_small(counts.select(_H1, _H2, "n_rows"))
-    # A set of one shape: unlike a smallest one it is gathered by hash, without a sort.
-    found = keyed.join(within, [_H1, _H2]).groupBy(_H1, _H2, "n_rows").agg(
+    counts = counted.agg(F.count(_FIRST).alias("n_rows"), F.min(_FIRST).alias(_FIRST)).where("n_rows > 0")
+    within = _within_border(counts, k)
+    # Only texts that begin as their group's smallest. A set of one shape is gathered by hash, without a sort.
+    found = keyed.join(within, [_H1, _H2, _FIRST]).groupBy(_H1, _H2, "n_rows").agg(
         F.collect_set(SHAPE).alias(SHAPE), F.min(RAW).alias("example")
     )
     top = found.orderBy(F.desc("n_rows"), "example").limit(k)
     return top.select(_readable(F.get(SHAPE, F.lit(0)), model).alias("shape"), "n_rows", "example")
 
 
+def _within_border(counts: DataFrame, k: int) -> DataFrame:
+    """Hashes and counts of the k first groups, and of all that are tied with the last of these."""
+    spark = counts.sparkSession
+    fields = [_H1, _H2, _FIRST, "n_rows"]
+    # k rows of four numbers, and one more to see whether the last is tied.
+    head = counts.orderBy(F.desc("n_rows"), _FIRST).limit(k + 1).collect()
+    place = lambda row: (row.n_rows, row[_FIRST])
+    sure = head if len(head) <= k else [row for row in head if place(row) != place(head[k])]
+    rows = spark.createDataFrame([tuple(row[f] for f in fields) for row in sure], counts.select(*fields).schema)
+    if len(head) <= k or len(sure) == k:
+        return F.broadcast(rows) if k <= BROADCAST_ROWS else rows
+    n, first = place(head[k])
+    tied = counts.where((F.col("n_rows") == n) & (F.col(_FIRST) == first)).select(*fields)
+    return _broadcast_if_small(written_once(rows.unionAll(tied), "border"))
+
+
 def _first_bytes(text: Column) -> Column:
     """The first seven bytes as a number: of two texts the smaller has no larger one."""
     head = F.hex(F.substring(F.encode(text, "UTF-8"), 1, 7))
@@ -172,7 +186,15 @@ def unknown_tokens(
     each = arrays.select(*keys, F.explode_outer(_UNKNOWN).alias("token")).where("token IS NOT NULL")
     counts = _pruned_counts(each, keys, k) if prune else _token_counts(each, keys)
     top = _first_k(counts, keys, k)
-    return top if key is None else _with_n_keys(written_once(top, "tokens"), arrays, keys, key)
+    if key is None:
+        return top
+    top = written_once(top, "tokens")
+    # A token is unknown wherever it stands, so the first ones are found again without the rules.
+    names = [row[0] for row in top.select(element_name(F.col("token"))).distinct().limit(LISTED + 1).collect()]
+    if len(names) <= LISTED:
+        tokens = F.filter(tk.tokens_col(string_column(df, col)), lambda t: element_name(t).isin(names))
+        arrays = df.select(*[F.col(f"`{name}`") for name in dict.fromkeys([*keys, key])], tokens.alias(_UNKNOWN))
+    return _with_n_keys(top, arrays, keys, key)
 
 
 def _unknown_arrays(df: DataFrame, col: str, model, keep: list[str], level: str) -> DataFrame:
@@ -268,8 +290,9 @@ def _with_n_keys(top: DataFrame, arrays: DataFrame, keys: list[str], key: str) -
         *[F.col(f"`{name}`") for name in dict.fromkeys([*keys, key])],
         F.explode_outer(F.array_distinct(_UNKNOWN)).alias("token"),
     ).where(F.col("token").isNotNull() & F.col(f"`{key}`").isNotNull())
-    known = _broadcast_if_small(ranked.select(*keys, "token", _RANK))
-    met = held.join(known, _same(held, known, [*keys, "token"])).select(
+    held = held.withColumn(_NAME, element_name(F.col("token"))).drop("token")
+    known = _broadcast_if_small(ranked.select(*keys, element_name(F.col("token")).alias(_NAME), _RANK))
+    met = held.join(known, _same(held, known, keys) & (held[_NAME] == known[_NAME])).select(
         *[held[name] for name in dict.fromkeys([*keys, key])],
         F.expr(f"{_RANK} DIV {WORD_BITS}").alias(_PART),
         F.expr(f"shiftleft(1L, {_RANK} % {WORD_BITS})").alias(_BIT),
