@@ -47,7 +47,7 @@ def test_broken_files_are_refused(spark, tmp_path):
     (tmp_path / "A.param").write_text("TOKEN_CLASS:A\nx\nTOKEN_CLASS:B\ny\n")
     with pytest.raises(ValueError, match="more than one TOKEN_CLASS header"):
         tf.read_classes(spark, str(tmp_path))
-    with pytest.raises(ValueError, match="failed to load model"):
+    with pytest.raises(ValueError, match="no usable model in folder"):
         tf.Model.load(spark, str(tmp_path / "nowhere"))
 
 

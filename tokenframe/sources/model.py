@@ -173,7 +173,7 @@ class Model:
                 **options,
             )
         except Exception as error:
-            raise ValueError(f"failed to load model from '{path}': {error}") from error
+            raise ValueError(f"no usable model in folder '{path}': {error}") from error
 
     @classmethod
     def from_values(
