@@ -388,11 +388,12 @@ def format_turns(
 ) -> DataFrame:
     """A row per turn: its place, its formatted text, and the spans under the loss, in characters.
 
-    The rows of a conversation lie one behind the other in one partition.
+    The rows of a conversation lie one behind the other in one partition. Its id is taken as a bigint.
     """
     Template(template)
     named = rows.select(
-        *[F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate((conv, role, text, turn))]
+        F.col(f"`{conv}`").cast("bigint").alias("__c0"),
+        *[F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate((role, text, turn), start=1)],
     )
     ordered = named.repartition(tasks_for(rows.sparkSession), "__c0").sortWithinPartitions(
         "__c0", "__c3", "__c1", "__c2"

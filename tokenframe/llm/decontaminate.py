@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .native import bound, fixed, shingle_hashes, words_of
-from .store import salted_join, saved
+from .store import neutral, salted_join, saved
 
 SHINGLE = 5
 SIMILARITY = 0.75
@@ -166,6 +166,6 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents that hold no benchmark item, with the columns they came with."""
     found = saved(found_items(docs, text, items, item_id, item_text).select(_KEY).distinct(), "found")
-    keyed = docs.select("*", _key(text))
-    clean = salted_join(keyed, found, [_KEY], F.col(f"`{doc_id}`"), "left_anti")
-    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, names, back = neutral(docs)
+    keyed = rows.select("*", _key(names[text]))
+    return back(salted_join(keyed, found, [_KEY], F.col(names[doc_id]), "left_anti"))

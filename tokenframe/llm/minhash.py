@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .store import salted_join, saved, tasks_for
+from .store import neutral, salted_join, saved, tasks_for
 from .words import chained, mixed, slices, texts_of, words_in
 
 SHINGLE = 5
@@ -419,4 +419,5 @@ def keep_one(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     gone = near_groups(docs, doc_id, text).where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
     gone = saved(gone, "gone")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, F.col(f"`{doc_id}`").cast("bigint") == F.col("gone_id"), "left_anti")
+    rows, names, back = neutral(docs)
+    return back(rows.join(gone, F.col(names[doc_id]).cast("bigint") == F.col("gone_id"), "left_anti"))

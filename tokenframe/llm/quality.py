@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .native import bound, shingle_hashes, words_of
-from .store import salted_join, saved
+from .store import neutral, salted_join, saved
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -156,6 +156,6 @@ def quality_report(df: DataFrame, doc_id: str, text: str, host: str) -> DataFram
 
 def keep_good(df: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
     """The documents that pass, with the columns they came with."""
-    measured = saved(measure(df, text, df.columns), "quality")
-    judged = judge(measured, host, F.col(f"`{doc_id}`"))
-    return judged.where("__q_kept").select(*[F.col(f"`{c}`") for c in df.columns])
+    rows, names, back = neutral(df)
+    measured = saved(measure(rows, names[text], rows.columns), "quality")
+    return back(judge(measured, names[host], F.col(names[doc_id])).where("__q_kept"))

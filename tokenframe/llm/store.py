@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -45,5 +46,18 @@ def salted_join(
     )
 
 
+def neutral(docs: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns ``c0``, ``c1``, …, the new name of each, and the way back.
+
+    A stage that adds columns of its own cannot clash with those a table came with.
+    """
+    names = {name: f"c{k}" for k, name in enumerate(docs.columns)}
+
+    def back(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(new).alias(name) for name, new in names.items()])
+
+    return docs.toDF(*names.values()), names, back
+
+
 def tasks_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

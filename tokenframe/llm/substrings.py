@@ -35,7 +35,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .store import tasks_for
+from .store import neutral, tasks_for
 from .words import Words, chained, mixed, slices, texts_of, words_in
 
 WINDOW = 13
@@ -434,6 +434,6 @@ def substring_report(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def without_repeats(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The documents with repeats cut from their texts, and the columns they came with."""
-    cut = cut_repeats(docs, doc_id, text, docs.columns, True)
-    same = F.when(F.col(f"`{text}`").isNotNull(), F.col("__s_kept"))
-    return cut.select(*[same.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    rows, names, back = neutral(docs)
+    cut = cut_repeats(rows, names[doc_id], names[text], rows.columns, True)
+    return back(cut.withColumn(names[text], F.when(F.col(names[text]).isNotNull(), F.col("__s_kept"))))
