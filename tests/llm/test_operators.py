@@ -634,3 +634,29 @@ def test_template_language():
     for bad in ("{% for m in messages %}", "{{ x | nothing }}", "{% run x %}", "{{ 1 + }}", "{% endif %}", "{{ f(x) }}"):
         with pytest.raises(chat.TemplateError):
             chat.Template(bad + "{% for m in messages %}{% endfor %}")
+
+
+@pytest.mark.parametrize("bound, collide", [(32 << 20, False), (0, False), (32 << 20, True)])
+def test_word_tokens(monkeypatch, bound, collide):
+    """With a table that is always full, and with words that share a hash, ids stay those of the tokenizer."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    monkeypatch.setattr(packing, "KNOWN_BYTES", bound)
+    if collide:
+        whole = packing.words_in
+
+        def coarse(*args):
+            found = whole(*args)
+            found.hashes &= np.uint64(3)
+            return found
+
+        monkeypatch.setattr(packing, "words_in", coarse)
+    parts = ["the", "The", "cat's", "Été!?", "x2y", "", "  ", "a\tb\n", "İΣ", "<|endoftext|>", "end.", "​"]
+    texts = [" ".join(parts[k % 12] + parts[(k * j) % 12] for j in range(k % 9)) for k in range(300)]
+    tokens, column = packing.WordTokens(path), packing.texts_of(pa.array([*texts, None, ""]))
+    for lo, hi in [(0, 100), (100, 250), (250, 302)]:
+        flat, counts = tokens.ids(column, lo, hi)
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in column[lo:hi].to_pylist()]
+        assert counts.tolist() == [len(w) for w in want] and flat.tolist() == [k for w in want for k in w]

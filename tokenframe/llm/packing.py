@@ -19,29 +19,28 @@ table gives no rows.
 from __future__ import annotations
 
 import heapq
-import re
-import sys
+import os
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import chain
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .words import texts_of
+from .words import Words, slices, texts_of, words_in
 
 CAPACITY = 4_096
 MAX_PIECE = 1_024
 END_ID = 2
 CELL_SEQUENCES = 256
-#: Words whose ids are kept, so that a common word is tokenized once in a worker process.
-CACHED_WORDS = 1_000_000
-#: Letters whose forms no normalisation changes, then marks: two pre-tokens at most.
-PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]*)")
-KEPT = "_llm_kept_word_ids"
+#: Size of the table of words that a task keeps, so that a common word is encoded once in it.
+KNOWN_BYTES = 32 << 20
+#: Letters that normalisation only makes small, then marks: two pre-tokens at most.
+PLAIN = r"\A(?P<letters>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)(?P<marks>[.,;:!?]*)\z"
 
 
 def karmarkar_karp(sizes: list[int], windows: int) -> list[list[int]]:
@@ -82,75 +81,155 @@ def deal(sizes: list[int], capacity: int) -> list[list[int]]:
         windows += 1
 
 
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` with these starts and sizes, one behind the other."""
+    shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    shift += np.arange(len(shift))
+    return flat[shift]
+
+
+@dataclass
+class _Known:
+    """Words met before, in the order of their hashes: spelling and ids of each."""
+
+    hashes: np.ndarray
+    letters: np.ndarray
+    letter_starts: np.ndarray
+    letter_sizes: np.ndarray
+    ids: np.ndarray
+    id_starts: np.ndarray
+    id_sizes: np.ndarray
+
+    @classmethod
+    def none(cls) -> _Known:
+        numbers = [np.empty(0, np.int64)] * 2
+        return cls(np.empty(0, np.uint64), np.empty(0, np.uint8), *numbers, np.empty(0, np.uint32), *numbers)
+
+    def nbytes(self) -> int:
+        return sum(part.nbytes for part in vars(self).values())
+
+    def joined(self, other: _Known) -> _Known:
+        order = np.argsort(np.concatenate([self.hashes, other.hashes]), kind="stable")
+        both = lambda a, b, shift=0: np.concatenate([a, b + shift])
+        return _Known(
+            both(self.hashes, other.hashes)[order],
+            both(self.letters, other.letters),
+            both(self.letter_starts, other.letter_starts, len(self.letters))[order],
+            both(self.letter_sizes, other.letter_sizes)[order],
+            both(self.ids, other.ids),
+            both(self.id_starts, other.id_starts, len(self.ids))[order],
+            both(self.id_sizes, other.id_sizes)[order],
+        )
+
+
 class WordTokens:
-    """Ids of texts, word by word: this kind of tokenizer never joins across blanks."""
+    """Ids of texts, word by word: this kind of tokenizer never joins across blanks.
+
+    A distinct word is encoded once. Words are looked up by a hash and checked by their bytes. The words
+    met so far are kept up to ``KNOWN_BYTES``, for as long as this object, so for one task.
+    """
 
     def __init__(self, path: str) -> None:
+        # A task has one core; threads of its own would take those of others.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For words of plain small letters, which no normalisation changes and no rule splits.
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
-        # Kept for the tasks that follow in this worker process: they meet the same words.
-        kept = sys.modules.setdefault(KEPT, ModuleType(KEPT))
-        self.known: dict[bytes, tuple[int, ...]] = kept.__dict__.setdefault(path, {})
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        split = [text.encode().split() for text in texts]
+        self.known = _Known.none()
+
+    def ids(self, texts: pa.Array, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words of a run of texts, and how many each text has."""
+        words = words_in(texts, lo, hi)
+        sizes = words.ends - words.starts
+        hashes, first, inverse = np.unique(words.hashes, return_index=True, return_inverse=True)
+        if not self._alike(words.data, words.starts, sizes, words.starts[first][inverse], sizes[first][inverse]):
+            return self._one_by_one(words)
         known = self.known
-        missing = [w for w in set(chain.from_iterable(split)) if w not in known]
-        if missing:
-            fresh = self._encoded(missing)
-            if len(known) < CACHED_WORDS:
-                known.update(fresh)
-            else:
-                known = {**known, **fresh} if len(fresh) > 10_000 else _Both(fresh, known)
-        get = known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, words)), np.uint32) for words in split]
-
-
-    def _encoded(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Ids of each word. Plain words are encoded many at a time, and cut apart where a
-        token ends a word; letters and the marks behind them are separate pre-tokens."""
-        plain, other = {}, []
-        for word in words:
-            match = PLAIN.fullmatch(word.decode())
-            if match:
-                plain[word] = match.groups()
-            else:
-                other.append(word)
-        letters = list({x for x, _ in plain.values()})
-        marks = list({x for _, x in plain.values() if x})
-        runs = [letters[k : k + 256] for k in range(0, len(letters), 256)]
-        parts: dict[str, tuple[int, ...]] = {"": ()}
-        for run, found in zip(runs, self._ids([" ".join(run) for run in runs]), strict=True):
-            ids = np.array(found)
-            ends = np.flatnonzero(self.ends[ids]) + 1
-            if len(ends) != len(run):
-                raise ValueError("the tokenizer does not end each word by a token of its own")
-            begin = 0
-            for text, end in zip(run, ends.tolist(), strict=True):
-                parts[text] = tuple(found[begin:end])
-                begin = end
-        parts.update(zip(marks, map(tuple, self._ids(marks)), strict=True))
-        out = {word: parts[a] + parts[b] for word, (a, b) in plain.items()}
-        out.update(zip(other, map(tuple, self._ids([w.decode() for w in other])), strict=True))
-        return out
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-
-class _Both(dict):
-    """A few fresh entries in front of many others."""
-
-    def __init__(self, fresh: dict, rest: dict) -> None:
-        super().__init__(fresh)
-        self.rest = rest
-
-    def __missing__(self, key):
-        return self.rest[key]
+        at = np.minimum(np.searchsorted(known.hashes, hashes), max(0, len(known.hashes) - 1))
+        there = known.hashes[at] == hashes if len(known.hashes) else np.zeros(len(hashes), bool)
+        own, old = first[there], at[there]
+        old_letters = _gathered(known.letters, known.letter_starts[old], known.letter_sizes[old])
+        if not np.array_equal(sizes[own], known.letter_sizes[old]) or not np.array_equal(
+            _gathered(words.data, words.starts[own], sizes[own]), old_letters
+        ):
+            return self._one_by_one(words)
+        if not there.all():
+            new = first[~there]
+            fresh = self._learnt(hashes[~there], words.data, words.starts[new], sizes[new])
+            if known.nbytes() > KNOWN_BYTES:
+                # Start again with the words of these texts.
+                known, fresh = _Known.none(), self._learnt(hashes, words.data, words.starts[first], sizes[first])
+            self.known = known = known.joined(fresh)
+            at = np.searchsorted(known.hashes, hashes)
+        places = at[inverse]
+        lengths = known.id_sizes[places]
+        sums = np.concatenate([[0], np.cumsum(lengths)])
+        return _gathered(known.ids, known.id_starts[places], lengths), np.diff(sums[words.first])
+
+    def _alike(self, data, starts, sizes, other_starts, other_sizes) -> bool:
+        return np.array_equal(sizes, other_sizes) and np.array_equal(
+            _gathered(data, starts, sizes), _gathered(data, other_starts, other_sizes)
+        )
+
+    def _one_by_one(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The same without hashes, for texts with words that share one."""
+        spelt = [words.data[a:b].tobytes().decode() for a, b in zip(words.starts, words.ends, strict=True)]
+        ids, sizes = self._flat(self._ids(spelt))
+        sums = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, np.diff(sums[words.first])
+
+    def _learnt(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> _Known:
+        letters = _gathered(data, starts, sizes)
+        ends = np.cumsum(sizes)
+        offsets = pa.py_buffer(np.concatenate([[0], ends]))
+        spelt = pa.LargeStringArray.from_buffers(len(sizes), offsets, pa.py_buffer(letters))
+        ids, lengths = self._encoded(spelt)
+        return _Known(hashes, letters, ends - sizes, sizes, ids, np.cumsum(lengths) - lengths, lengths)
+
+    def _encoded(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many each has. Plain words are encoded many at a time, and cut
+        apart where a token ends a word; letters and the marks behind them are separate pre-tokens."""
+        parts = pc.extract_regex(words, PLAIN)
+        plain = parts.is_valid()
+        mask = plain.to_numpy(zero_copy_only=False)
+        letters = pc.utf8_lower(parts.filter(plain).field(0)).dictionary_encode()
+        marks = parts.filter(plain).field(1).dictionary_encode()
+        runs = letters.dictionary.to_pylist()
+        runs = [" ".join(runs[k : k + 256]) for k in range(0, len(runs), 256)]
+        found = self._flat(self.plain.encode_batch_fast(runs, add_special_tokens=False))[0]
+        ends = np.flatnonzero(self.ends[found]) + 1
+        if len(ends) != len(letters.dictionary) or len(ends) and ends[-1] != len(found):
+            raise ValueError("the tokenizer does not end each word by a token of its own")
+        behind, behind_sizes = self._flat(self._ids(marks.dictionary.to_pylist()))
+        other, other_sizes = self._flat(self._ids(words.filter(pc.invert(plain)).to_pylist()))
+        # Each word is a run of letters' ids and one of marks' ids, or one of its own.
+        flat = np.concatenate([found, behind, other])
+        starts, sizes = np.zeros((2, len(words), 2), np.int64)
+        own = np.diff(ends, prepend=0)
+        for k, coded, first, size in (
+            (0, letters, ends - own, own),
+            (1, marks, len(found) + np.cumsum(behind_sizes) - behind_sizes, behind_sizes),
+        ):
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            starts[mask, k], sizes[mask, k] = first[at], size[at]
+        starts[~mask, 0] = len(found) + len(behind) + np.cumsum(other_sizes) - other_sizes
+        sizes[~mask, 0] = other_sizes
+        return _gathered(flat, starts.ravel(), sizes.ravel()), sizes.sum(axis=1)
+
+    def _flat(self, encodings: list) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in encodings]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes
+
+    def _ids(self, texts: list[str]) -> list:
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
 
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -197,9 +276,13 @@ def _packer(path: str, with_ids: bool):
         for batch in batches:
             texts = texts_of(batch.column(1))
             keys = batch.column(0).to_pylist()
-            for lo in range(0, len(keys), 256):
-                for key, ids in zip(keys[lo : lo + 256], tokens.ids(texts[lo : lo + 256].to_pylist()), strict=True):
-                    ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
+            for lo, hi in slices(texts):
+                flat, counts = tokens.ids(texts, lo, hi)
+                ends = np.cumsum(counts)
+                flat = np.insert(flat, ends, END_ID).astype("<u4", copy=False)
+                begins = ends - counts + np.arange(hi - lo)
+                for key, begin, count in zip(keys[lo:hi], begins.tolist(), counts.tolist(), strict=True):
+                    ids = flat[begin : begin + count + 1]
                     for start, length in pieces(ids):
                         raw = ids[start : start + length].tobytes()
                         piece = (key, start, length, zlib.crc32(raw), len(ids), *[raw] * with_ids)
