@@ -8,10 +8,8 @@ the whole sequence is the one member. Two documents are linked if 100 * |interse
 2. Each class gets the minima of 128 universal hash functions, in 32 bands of 4. Two sets at
    the similarity limit share no band with probability (1 - 0.75**4)**32 < 6e-6.
 3. A band's value with several classes is a bucket. No bucket is turned into all its pairs:
-   each member is first paired with the bucket's smallest member only. Of each class's pairs, the
-   one that shares most bands is checked on the whole texts; then, between each two of the
-   components found, again the one that shares most. The other pairs that still lie across
-   components are checked by signature, and on the whole texts.
+   each member is first paired with the bucket's smallest member only, at most one pair a band and
+   class. These pairs are checked by signature, then on the whole texts.
 4. Buckets that lie inside one component are done. In the others, signatures are compared
    across components, block by block inside a task, and pairs that agree by their samples: all
    shingle hashes of a set of up to 512, else those below a limit. Only pairs that may still be
@@ -163,38 +161,47 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ).filter(pa.array(keep, pa.bool_()))
 
 
-def _with(pairs: DataFrame, side: str, table: DataFrame, column: str) -> DataFrame:
+def _with(pairs: DataFrame, side: str, table: DataFrame, column: str, counted: DataFrame) -> DataFrame:
     """Add ``column`` of ``table`` (by ``cid``) for one side of the pairs.
 
-    The ids with most pairs, a fixed number, are found by a count and get several copies.
+    The ids with most pairs, a fixed number, are found by a count of ``counted`` and get several copies.
     """
-    copies = F.ceil(F.col("count") / PAIRS_PER_COPY).cast("int").alias("copies")
-    hot = (
-        pairs.groupBy(side).count().orderBy(F.desc("count"), side).limit(HOT_IDS)
-        .where(F.col("count") > PAIRS_PER_COPY).select(F.col(side).alias("hot"), copies)
-    )
+    own = table.select(F.col("cid").alias(side), F.col(column).alias(f"{column}_{side}"))
+    counts = counted.groupBy(side).count().where(F.col("count") > PAIRS_PER_COPY)
+    hot = counts.orderBy(F.desc("count"), side).limit(HOT_IDS).collect()
+    if not hot:
+        return pairs.join(own.hint("merge"), side)
+    copies = pairs.sparkSession.createDataFrame(
+        [(r[side], -(-r["count"] // PAIRS_PER_COPY)) for r in hot], "hot bigint, copies int"
+    )
     other = "b" if side == "a" else "a"
-    left = pairs.join(F.broadcast(hot), F.col(side) == F.col("hot"), "left").withColumn(
+    left = pairs.join(F.broadcast(copies), F.col(side) == F.col("hot"), "left").withColumn(
         "salt", F.pmod(F.xxhash64(other), F.coalesce("copies", F.lit(1))).cast("int")
     )
-    right = table.join(F.broadcast(hot), F.col("cid") == F.col("hot"), "left").select(
-        F.col("cid").alias(side),
-        F.col(column).alias(f"{column}_{side}"),
+    right = own.join(F.broadcast(copies), F.col(side) == F.col("hot"), "left").select(
+        side,
+        f"{column}_{side}",
         F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("salt"),
     )
-    return left.join(right, [side, "salt"]).drop("salt", "hot", "copies")
+    return left.drop("hot", "copies").join(right.hint("merge"), [side, "salt"]).drop("salt")
+
+
+def _both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """Add ``column`` of both sides to written pairs."""
+    half = _with(pairs, "b", table, column, counted=pairs)
+    return _with(half, "a", table, column, counted=pairs)
 
 
 def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs whose signatures agree well enough, with the number of minima that do."""
-    both = _with(_with(pairs, "a", classes, "bits"), "b", classes, "bits")
+    both = _both(pairs, classes, "bits")
     return both.select("a", "b", "bits_a", "bits_b").mapInArrow(
         _agreeing, "a bigint, b bigint, agree bigint"
     )
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    both = _with(_with(pairs.select("a", "b"), "a", texts, "text"), "b", texts, "text")
+    both = _both(pairs, texts, "text")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a bigint, b bigint")
 
 
@@ -219,13 +226,13 @@ def components(edges: DataFrame) -> DataFrame:
         # Large star: every larger neighbour goes to the smallest of the neighbourhood.
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = salted_join(both.where("v > u"), least, ["u"], F.col("v"), "inner").select(
+        large = salted_join(both.where("v > u"), least, ["u"], F.col("v"), "inner", hint="merge").select(
             F.col("v").alias("u"), F.col("m").alias("v")
         )
         large = saved(large.where("u <> v").distinct(), "edges")
         # Small star: every smaller neighbour, and the node itself, goes to the smallest.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = salted_join(large, least, ["u"], F.col("v"), "inner")
+        joined = salted_join(large, least, ["u"], F.col("v"), "inner", hint="merge")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )
@@ -239,16 +246,6 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
     return components(stars.unionByName(links))
 
 
-def _across(pairs: DataFrame, found: DataFrame, keep: bool = False) -> DataFrame:
-    """Pairs that lie in different components; with ``keep`` also these, ``c_a`` and ``c_b``."""
-    part = lambda side: found.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-    both = salted_join(pairs, part("a"), ["a"], F.col("b"), "left")
-    both = salted_join(both, part("b"), ["b"], F.col("a"), "left")
-    both = both.withColumns({"c_a": F.coalesce("c_a", "a"), "c_b": F.coalesce("c_b", "b")})
-    both = both.where("c_a <> c_b")
-    return both if keep else both.drop("c_a", "c_b")
-
-
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each set the level, and the hashes (32 bits, sorted) below 2**(32 - level)."""
     for batch in batches:
@@ -384,20 +381,9 @@ def near_groups(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     texts = docs.select(F.col(f"`{doc_id}`").cast("bigint").alias("cid"), F.col(f"`{text}`").alias("text"))
     texts = saved(texts.join(ids, F.col("cid") == F.col("needed_id"), "left_semi"), "texts")
 
-    stars = saved(
-        members.where("cid <> leader").groupBy(F.col("cid").alias("a"), F.col("leader").alias("b"))
-        .agg(F.count("*").alias("shared")),
-        "stars",
-    )
-    best = stars.groupBy("a").agg(F.max(F.struct("shared", F.col("b").alias("to"))).alias("best"))
-    found = components(saved(_verified(best.select("a", F.col("best.to").alias("b")), texts), "links"))
-    # Between two components one pair, the one that shares most bands, stands for the others.
-    between = _across(stars, found, keep=True)
-    ends = [F.least("c_a", "c_b").alias("x"), F.greatest("c_a", "c_b").alias("y")]
-    chosen = between.groupBy(*ends).agg(F.max(F.struct("shared", "a", "b")).alias("best"))
-    found = _merged(found, _verified(chosen.select("best.a", "best.b"), texts))
-    others = _across(stars.select("a", "b"), found)
-    found = _merged(found, _verified(_promising(others, classes), texts))
+    stars = members.where("cid <> leader").select(F.col("cid").alias("a"), F.col("leader").alias("b"))
+    close = saved(_promising(saved(stars.distinct(), "stars"), classes).select("a", "b"), "close")
+    found = components(_verified(close, texts))
     last = saved(_open_pairs(members, found, classes, texts), "last")
     found = _merged(found, _verified(last, texts))
 

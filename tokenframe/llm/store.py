@@ -32,16 +32,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, keys: list[str], spread: Column, how: str, salts: int = 16
+    left: DataFrame, right: DataFrame, keys: list[str], spread: Column, how: str, salts: int = 16, hint: str = ""
 ) -> DataFrame:
     """Join where one key may hold a large share of ``left``; ``right`` has few rows a key.
 
-    ``spread`` is computed from the row, so a task that runs again repeats it.
+    ``spread`` is computed from the row, so a task that runs again repeats it. ``hint`` is a join hint
+    for ``right``.
     """
     many = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(SALT)
+    copies = right.select("*", many)
     return (
         left.withColumn(SALT, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-        .join(right.select("*", many), [*keys, SALT], how)
+        .join(copies.hint(hint) if hint else copies, [*keys, SALT], how)
         .drop(SALT)
     )
 
