@@ -272,6 +272,15 @@ def test_near_groups(docs, odd, empty, texts, monkeypatch, limit):
     assert kept.columns == docs.columns and kept.count() == sum(w[2] for w in want.values())
 
 
+def test_hot_ids_of_pairs_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "PAIRS_PER_COPY", 2)
+    pairs = [(k, 100) for k in range(9)] + [(3, k) for k in range(50, 56)]
+    table = spark.createDataFrame([(k, f"t{k}") for k in range(101)], "cid bigint, text string")
+    found = minhash._both(spark.createDataFrame(pairs, "a bigint, b bigint"), table, "text")
+    got = sorted((r["a"], r["b"], r["text_a"], r["text_b"]) for r in found.collect())
+    assert got == sorted((a, b, f"t{a}", f"t{b}") for a, b in pairs)
+
+
 def test_chain_of_near_copies(spark):
     """Each text is near the next only, so the group hangs on every single link."""
     rng = random.Random(11)
