@@ -161,19 +161,12 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ).filter(pa.array(keep, pa.bool_()))
 
 
-def _with(pairs: DataFrame, side: str, table: DataFrame, column: str, counted: DataFrame) -> DataFrame:
-    """Add ``column`` of ``table`` (by ``cid``) for one side of the pairs.
-
-    The ids with most pairs, a fixed number, are found by a count of ``counted`` and get several copies.
-    """
+def _with(pairs: DataFrame, side: str, table: DataFrame, column: str, hot: list[tuple[int, int]]) -> DataFrame:
+    """Add ``column`` of ``table`` (by ``cid``) for one side of the pairs; ids of ``hot`` get several copies."""
     own = table.select(F.col("cid").alias(side), F.col(column).alias(f"{column}_{side}"))
-    counts = counted.groupBy(side).count().where(F.col("count") > PAIRS_PER_COPY)
-    hot = counts.orderBy(F.desc("count"), side).limit(HOT_IDS).collect()
     if not hot:
         return pairs.join(own.hint("merge"), side)
-    copies = pairs.sparkSession.createDataFrame(
-        [(r[side], -(-r["count"] // PAIRS_PER_COPY)) for r in hot], "hot bigint, copies int"
-    )
+    copies = pairs.sparkSession.createDataFrame(hot, "hot bigint, copies int")
     other = "b" if side == "a" else "a"
     left = pairs.join(F.broadcast(copies), F.col(side) == F.col("hot"), "left").withColumn(
         "salt", F.pmod(F.xxhash64(other), F.coalesce("copies", F.lit(1))).cast("int")
@@ -187,9 +180,15 @@ def _with(pairs: DataFrame, side: str, table: DataFrame, column: str, counted: D
 
 
 def _both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
-    """Add ``column`` of both sides to written pairs."""
-    half = _with(pairs, "b", table, column, counted=pairs)
-    return _with(half, "a", table, column, counted=pairs)
+    """Add ``column`` of both sides to written pairs.
+
+    One count finds the ids with most pairs on either side, a fixed number.
+    """
+    ends = pairs.select(F.inline(F.array(*(F.struct(F.lit(x).alias("side"), F.col(x).alias("id")) for x in "ab"))))
+    counts = ends.groupBy("side", "id").count().where(F.col("count") > PAIRS_PER_COPY)
+    rows = counts.orderBy(F.desc("count"), "side", "id").limit(2 * HOT_IDS).collect()
+    hot = {x: [(r["id"], -(-r["count"] // PAIRS_PER_COPY)) for r in rows if r["side"] == x] for x in "ab"}
+    return _with(_with(pairs, "b", table, column, hot["b"]), "a", table, column, hot["a"])
 
 
 def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -205,31 +204,39 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_linked, "a bigint, b bigint")
 
 
-def _are_stars(edges: DataFrame) -> bool:
-    """Whether every node is either one edge's larger end or smaller ends only."""
-    upper = F.count_if(F.col("end") == "u")
-    ends = edges.select(F.posexplode(F.array("u", "v")).alias("place", "node"))
-    ends = ends.select("node", F.when(F.col("place") == 0, "u").otherwise("v").alias("end"))
-    counts = ends.groupBy("node").agg(upper.alias("upper"), F.count("*").alias("all"))
-    return counts.where("upper > 0 AND all > 1").isEmpty()
+def _neighbourhoods(edges: DataFrame) -> DataFrame:
+    """Of every node: ``m``, the smallest of itself and its neighbours, and how many edges have it as
+    their larger end, and in all."""
+    both = F.array(
+        F.struct(F.col("u").alias("node"), F.col("v").alias("other"), F.lit(1).alias("larger")),
+        F.struct(F.col("v").alias("node"), F.col("u").alias("other"), F.lit(0).alias("larger")),
+    )
+    return (
+        edges.select(F.inline(both))
+        .groupBy("node")
+        .agg(F.min("other").alias("m"), F.sum("larger").alias("upper"), F.count("*").alias("all"))
+        .select("node", F.least("m", "node").alias("m"), "upper", "all")
+    )
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable, for every node with an edge to another.
 
-    Alternating large-star and small-star steps, each written out, until only stars are left.
+    Alternating large-star and small-star steps, each written out, until only stars are left: until
+    every node is either one edge's larger end or smaller ends only.
     """
     up = F.greatest("a", "b").alias("u")
     down = F.least("a", "b").alias("v")
     now = saved(edges.where("a <> b").select(up, down).distinct(), "edges")
-    while not _are_stars(now):
-        # Large star: every larger neighbour goes to the smallest of the neighbourhood.
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = salted_join(both.where("v > u"), least, ["u"], F.col("v"), "inner", hint="merge").select(
-            F.col("v").alias("u"), F.col("m").alias("v")
-        )
-        large = saved(large.where("u <> v").distinct(), "edges")
+    while True:
+        near = saved(_neighbourhoods(now), "near")
+        if near.where("upper > 0 AND all > 1").isEmpty():
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        # Large star: every larger neighbour goes to the smallest of the neighbourhood. An edge gives
+        # one edge, so repeated ones wait for the next step.
+        least = near.select(F.col("node").alias("v"), "m")
+        large = salted_join(now, least, ["v"], F.col("u"), "inner", hint="merge")
+        large = saved(large.select("u", F.col("m").alias("v")), "edges")
         # Small star: every smaller neighbour, and the node itself, goes to the smallest.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = salted_join(large, least, ["u"], F.col("v"), "inner", hint="merge")
@@ -237,7 +244,6 @@ def components(edges: DataFrame) -> DataFrame:
             least.select("u", F.col("m").alias("v"))
         )
         now = saved(small.where("u <> v").distinct(), "edges")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
 def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
