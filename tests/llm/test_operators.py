@@ -517,6 +517,33 @@ def test_katz_hot_pairs_are_not_dealt(spark, monkeypatch):
         assert math.isclose(got[k]["score"], score, rel_tol=1e-9)
 
 
+def test_katz_lists_hot_pairs(spark, monkeypatch):
+    """Beyond the dense table, pairs of many places are listed, and no others; scores stay exact."""
+    monkeypatch.setattr(katz, "TOKENS_PER_TASK", 700)
+    monkeypatch.setattr(katz, "DENSE", 1)
+    rng = random.Random(14)
+    texts = [" ".join(f"c{rng.randrange(8)}" for _ in range(150)) + " hot pair" * 25 for _ in range(40)]
+    tokens = {k: [*words(t), None] for k, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = docs.selectExpr("text", "crc32(encode(string(doc_id), 'UTF-8')) % 5 <> 1 AS train")
+    counts = rows.mapInArrow(katz._counted, "h bigint, n bigint, every bigint")
+    plain = katz._unigrams(counts.groupBy("h").sum("n", "every").toDF("h", "n", "every"))
+    uni = katz._with_hot_pairs(rows, plain)
+    assert len(uni.hot) == 2 and plain.dense == 1
+    every, trained = Counter(), Counter()
+    for k, t in tokens.items():
+        every.update(zip(t, t[1:], strict=False))
+        if zlib.crc32(str(k).encode()) % 5 != 1:
+            trained.update(zip(t, t[1:], strict=False))
+    hot = [p for p, n in every.items() if n > 700]
+    assert sorted(uni.hot_counts) == sorted(trained[p] for p in hot)
+    assert largest_part(uni, texts, 32)[1] <= 700 < largest_part(plain, texts, 32)[1]
+    got = by_id(katz.fit_and_score(docs, "doc_id", "text"))
+    training = [t for k, t in tokens.items() if zlib.crc32(str(k).encode()) % 5 != 1]
+    for k, (_, _, score) in score_by_hand(training, tokens).items():
+        assert math.isclose(got[k]["score"], score, rel_tol=1e-9)
+
+
 def score_by_hand(training, tokens):
     c, pairs = Counter(), Counter()
     for t in training:

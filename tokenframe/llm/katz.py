@@ -16,17 +16,17 @@ counts, and they travel as numbers. All other words, the tail, travel as 64-bit
    documents and answers for every document with sums: how many of its pairs have a count of 1,
    2, …, the logarithms of larger counts, and the head words after which it must back off.
 2. What stands after a tail word v goes on to the table of contexts, dealt by v. There all
-   followers of v are together: its discount and weight are computed and applied.
-3. Discounts and weights of the head are applied to the sums of step 1, document by document.
+   followers of v are together: its discount and weight are computed and applied, and sums go on,
+   packed, to buckets of documents.
+3. There discounts and weights of the head are applied to the sums of step 1; each document is one row.
 
-A pair of two words that each stand in more than ``TOKENS_PER_TASK`` places, or are among the ``DENSE``
-most frequent, is counted in a dense table instead, as such a pair may be anywhere. There is at most
-one such word for each partition, besides those. Of the pairs that are dealt, none stands in more
-than ``TOKENS_PER_TASK`` places, or 1 of ``DENSE`` of all; a tail word stands in at most 1 of
-``VOCABULARY``. So no group fills a partition alone. Pairs are told apart by 64-bit hashes.
+Pairs of the ``DENSE`` most frequent words are counted in a dense table instead, and so is, in a list, each
+other pair that stands in more than ``TOKENS_PER_TASK`` places: at most one for each partition. Of the
+pairs that are dealt none stands in more; a tail word stands in at most 1 of ``VOCABULARY`` places. So no
+group fills a partition alone. Pairs are told apart by 64-bit hashes.
 
-What the driver sees is bounded: a histogram of counts, the head, the dense table, and one row of
-backoff sums per head word. Counts cover all training documents.
+What the driver sees is bounded: a histogram of counts, the head, the dense table of fixed size, the list
+of hot pairs, and one row of backoff sums per head word. Counts cover all training documents.
 
 Defined cases: a NULL text is empty, so only its end is scored. A NULL id is a training document.
 Repeated rows are counted and scored one by one. Without training documents each probability
@@ -36,7 +36,7 @@ comes from the added halves. Columns of the input are read by the two given name
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -58,9 +58,9 @@ TOKENS_PER_TASK = 6_000_000
 END = np.uint64(0x5F3759DF5F3759DF)
 
 _ID, _TEXT, _CRC, _TRAIN = "__k_id", "__k_text", "__k_crc", "__k_train"
-#: Counts of pairs with 1, …, CUT; logarithms; own part of backing off; tail words known, their logarithms.
-_STATS = CUT + 4
-_HEADS, _DOCS, _CONTEXTS = 0, 1, 2
+#: Counts of pairs with 1, …, CUT; tail words known; logarithms of pairs, and of tail words.
+_STATS = CUT + 3
+_HEADS, _DOCS, _CONTEXTS, _AFTER_TAIL = 0, 1, 2, 3
 
 
 class Lookup:
@@ -132,8 +132,14 @@ class Unigrams:
     total: int
     distinct: int
     places: int = 0
-    #: So many words have the dense table.
+    #: Of the places, those of words outside the head.
+    tail: int = 0
+    #: So many words have the dense table; so many stand in more than ``TOKENS_PER_TASK`` places.
     dense: int = DENSE
+    frequent: int = 0
+    #: Codes of the hot pairs, ascending, and their counts.
+    hot: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    hot_counts: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
 
     def __post_init__(self) -> None:
         size = len(self.hashes)
@@ -148,6 +154,21 @@ class Unigrams:
         at = lookup(hashes)
         return np.where(at >= 0, at, UNKNOWN).astype(np.uint32)
 
+    def in_dense(self, prev: np.ndarray, cur: np.ndarray) -> np.ndarray:
+        return (cur < self.dense) & (prev < self.dense)
+
+    def hot_at(self, prev: np.ndarray, cur: np.ndarray) -> np.ndarray:
+        """Place of each pair among the hot ones, or -1."""
+        if not len(self.hot):
+            return np.full(len(cur), -1)
+        codes = _codes(prev, cur)
+        at = np.minimum(np.searchsorted(self.hot, codes), len(self.hot) - 1)
+        return np.where(self.hot[at] == codes, at, -1)
+
+
+def _codes(prev: np.ndarray, cur: np.ndarray) -> np.ndarray:
+    return (prev.astype(np.int64) << 16) | cur.astype(np.int64)
+
 
 def _histories(ids: np.ndarray, first: np.ndarray, end: int) -> np.ndarray:
     before = np.empty_like(ids)
@@ -167,7 +188,7 @@ def _dense_counter(words: Unigrams):
                 hashes, first = _tokens(texts, lo, hi)
                 cur = words.ids(lookup, hashes)
                 prev = _histories(cur, first, end)
-                both = (cur < words.dense) & (prev < words.dense)
+                both = words.in_dense(prev, cur)
                 table += np.bincount(prev[both].astype(np.int64) * words.dense + cur[both], minlength=len(table))
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["pair", "n"])
@@ -175,6 +196,43 @@ def _dense_counter(words: Unigrams):
     return count
 
 
+def _frequent_counter(words: Unigrams):
+    """Places of pairs of frequent words outside the dense table, in the training documents and in all."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lookup = Lookup(words.hashes)
+        end = int(lookup(np.array([END]))[0]) % (UNKNOWN + 1)
+        for batch in batches:
+            texts = texts_of(batch.column(0))
+            train = batch.column(1).to_numpy(zero_copy_only=False)
+            for lo, hi in slices(texts):
+                hashes, first = _tokens(texts, lo, hi)
+                cur = words.ids(lookup, hashes)
+                prev = _histories(cur, first, end)
+                wanted = (cur < words.frequent) & (prev < words.frequent) & ~words.in_dense(prev, cur)
+                pairs, at = np.unique(_codes(prev[wanted], cur[wanted]), return_inverse=True)
+                own = np.bincount(at[np.repeat(train[lo:hi], np.diff(first))[wanted]], minlength=len(pairs))
+                every = np.bincount(at, minlength=len(pairs))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs), pa.array(own), pa.array(every)], names=["pair", "n", "every"]
+                )
+
+    return count
+
+
+def _with_hot_pairs(rows: DataFrame, words: Unigrams) -> Unigrams:
+    """Find the pairs that stand in more than ``TOKENS_PER_TASK`` places of ``rows`` (text, train).
+
+    Both words of such a pair do so too. There is at most one such pair for each partition.
+    """
+    if words.frequent <= words.dense:
+        return words
+    counts = rows.mapInArrow(_frequent_counter(words), "pair bigint, n bigint, every bigint").groupBy("pair")
+    hot = counts.agg(F.sum("n").alias("n"), F.sum("every").alias("every")).where(F.col("every") > TOKENS_PER_TASK)
+    hot = hot.orderBy("pair").toArrow()
+    return replace(words, hot=hot["pair"].to_numpy(), hot_counts=hot["n"].to_numpy())
+
+
 def _dealer(words: Unigrams, partitions: int):
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(words.hashes)
@@ -196,7 +254,7 @@ def _dealer(words: Unigrams, partitions: int):
                 cur = words.ids(lookup, hashes)
                 prev = _histories(cur, first, end)
                 doc = np.repeat(np.arange(lo, hi, dtype=np.uint64), np.diff(first))
-                cold = (cur >= words.dense) | (prev >= words.dense)
+                cold = ~words.in_dense(prev, cur) & (words.hot_at(prev, cur) < 0)
                 before = _histories(hashes, first, END)
                 held.append((prev[cold], cur[cold], before[cold], hashes[cold], doc[cold]))
                 size += len(hashes) * 6
@@ -254,7 +312,7 @@ def _open(blob: bytes) -> tuple[np.ndarray, ...]:
     return prev, cur, tails[:cut], tails[cut:], keys, counts
 
 
-def _answerer(words: Unigrams, partitions: int):
+def _answerer(words: Unigrams, partitions: int, contexts: int):
     """For one partition of the pair table: backoff sums of the head, sums for documents, and what
     stands after tail words."""
 
@@ -288,28 +346,27 @@ def _answerer(words: Unigrams, partitions: int):
         for k in range(1, CUT + 1):
             stats[:, k - 1] = sums(r == k)
         big, none = r > CUT, r == 0
-        stats[:, CUT] = sums(big, np.log10(r[big]))
-        stats[:, CUT + 1] = sums(none, np.log10(mass[none] / words.down))
-        stats[:, CUT + 2] = sums(rare, of_word > 0)
-        stats[:, CUT + 3] = sums(rare, np.log10(of_word + 0.5))
+        stats[:, CUT] = sums(rare, of_word > 0)
+        stats[:, CUT + 1] = sums(big, np.log10(r[big])) + sums(none, np.log10(mass[none] / words.down))
+        stats[:, CUT + 2] = sums(rare, np.log10(of_word + 0.5))
         back = np.flatnonzero(none & (prev != UNKNOWN))
         back = back[np.argsort(doc[back], kind="stable")]
         n_after = np.bincount(doc[back], minlength=len(unique))
         begins = np.concatenate([[0], np.cumsum(n_after)])
-        bucket = (mixed(unique[:, 0].astype(np.uint64)) % np.uint64(partitions)).astype(np.int64)
+        bucket = _bucket_of(unique, partitions)
         for b in np.unique(bucket):
             at = np.flatnonzero(bucket == b)
             words_after = prev[np.concatenate([back[begins[k] : begins[k + 1]] for k in at])]
             yield _blob_row(
                 _DOCS, int(b),
-                [unique[at].ravel(), stats[at, :CUT].astype(np.uint32).T.ravel(), stats[at, CUT:].T.ravel(),
+                [_keys(unique[at]), stats[at, : CUT + 1].astype(np.uint32).T.ravel(), stats[at, CUT + 1 :].T.ravel(),
                  n_after[at].astype(np.uint32), words_after],
             )
 
         met = met[prev[met] == UNKNOWN]
         own, table = _backoff_sums(v[met], r[met], mass[met])
         table = table.reshape(-1, CUT + 3)
-        bucket_of = lambda h: (mixed(h) % np.uint64(partitions)).astype(np.int64)
+        bucket_of = lambda h: (mixed(h) % np.uint64(contexts)).astype(np.int64)
         target, rows_of = bucket_of(before), bucket_of(own)
         order = np.lexsort((before, target))
         target, places = target[order], after_rare[order]
@@ -325,12 +382,27 @@ def _answerer(words: Unigrams, partitions: int):
             rows[np.searchsorted(values, own[here])] = table[here]
             yield _blob_row(
                 _CONTEXTS, int(target[a]),
-                [values, n.astype(np.uint32), rows.ravel(), unique[docs].ravel(), local.astype(np.uint32), none[at]],
+                [values, n.astype(np.uint32), rows.ravel(), _keys(unique[docs]), local.astype(np.uint32), none[at]],
             )
 
     return answer
 
 
+def _bucket_of(keys: np.ndarray, partitions: int) -> np.ndarray:
+    return (mixed(keys[:, 0].astype(np.uint64)) % np.uint64(partitions)).astype(np.int64)
+
+
+def _keys(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys of documents, column by column; ids as steps, which are small."""
+    return np.concatenate([np.diff(keys[:, 0], prepend=np.int64(0)), keys[:, 1], keys[:, 2]])
+
+
+def _from_keys(flat: np.ndarray) -> np.ndarray:
+    keys = flat.reshape(3, -1).T.copy()
+    keys[:, 0] = np.cumsum(keys[:, 0])
+    return keys
+
+
 def _blob_row(kind: int, bucket: int, arrays: list[np.ndarray]) -> pa.RecordBatch:
     body = zstandard.ZstdCompressor(level=1).compress(b"".join(map(_planes, arrays)))
     head = np.array([len(a) for a in arrays], np.int64).tobytes()
@@ -388,7 +460,7 @@ def _weights(
 
 
 class Model:
-    """Discounts of all pairs and backoff weights of the head; arrays over its numbers.
+    """Discounts of all pairs, counts of those that are not dealt, and backoff weights of the head.
 
     In ``sums``, the row of ``UNKNOWN`` adds up all tail words: it is there for the discounts only.
     """
@@ -396,7 +468,11 @@ class Model:
     def __init__(self, words: Unigrams, dense: np.ndarray, sums: np.ndarray) -> None:
         self.words, self.dense = words, dense
         prev, cur = np.divmod(np.flatnonzero(dense), words.dense)
-        own, table = _backoff_sums(prev, dense[prev * words.dense + cur], words.mass[cur])
+        met = words.hot_counts > 0
+        counts = np.concatenate([dense[prev * words.dense + cur], words.hot_counts[met]])
+        prev = np.concatenate([prev, words.hot[met] >> 16])
+        cur = np.concatenate([cur, words.hot[met] & 0xFFFF])
+        own, table = _backoff_sums(prev, counts, words.mass[cur])
         sums = sums.copy()
         sums[own] += table.reshape(-1, CUT + 3)
         self.discount = good_turing(sums[:, : CUT + 1].sum(axis=0))
@@ -404,6 +480,15 @@ class Model:
         self.log_down, self.log_alpha = _weights(sums, words.context, self.discount, words.down)
         self.log_kept = np.log10(self.discount * np.arange(1, CUT + 1))
 
+    def known(self, prev: np.ndarray, cur: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs are dense or hot, and the counts of these."""
+        dense, at = self.words.in_dense(prev, cur), self.words.hot_at(prev, cur)
+        r = np.zeros(len(cur), np.int64)
+        r[dense] = self.dense[prev[dense].astype(np.int64) * self.words.dense + cur[dense]]
+        r[at >= 0] = self.words.hot_counts[at[at >= 0]]
+        both = dense | (at >= 0)
+        return both, r[both]
+
     def seen_logs(self, r: np.ndarray) -> np.ndarray:
         return np.where(r <= CUT, self.log_kept[np.clip(r, 1, CUT) - 1], np.log10(np.maximum(r, 1)))
 
@@ -422,42 +507,49 @@ def good_turing(n: np.ndarray) -> np.ndarray:
     return np.where((d > 0) & (d < 1), d, half)
 
 
-def _by_document(keys: list, values: list[np.ndarray]) -> pa.RecordBatch:
-    """A row per document, values of equal keys added."""
+def _by_document(keys: list, values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, and for each the sums of its values."""
     unique, row = np.unique(np.concatenate(keys), axis=0, return_inverse=True)
-    total = [np.bincount(row.ravel(), x, len(unique)) for x in np.concatenate(values).T]
-    ids = pa.array(unique[:, 0], mask=unique[:, 2] >= 2)
-    return pa.RecordBatch.from_arrays([ids, pa.array(unique[:, 1]), *map(pa.array, total)], names=[_ID, _CRC, *_PARTS])
+    return unique, np.stack([np.bincount(row.ravel(), x, len(unique)) for x in np.concatenate(values).T], axis=1)
 
 
 _PARTS = ["cold", "rare_known", "rare_base"]
 
 
 def _doc_sums(model: Model):
-    """Sums of one partition's documents: what the pair table answered, weights applied."""
+    """A row for each document of a partition: all that the other tables answered, weights applied."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = [], []
         for batch in batches:
-            for blob in batch.column(1).to_pylist():
-                k, few, logs, n_after, after = _arrays(
-                    blob, [np.int64, np.uint32, np.float64, np.uint32, np.uint16]
-                )
-                d = len(k) // 3
-                logs = logs.reshape(-1, d)
-                score = few.reshape(CUT, d).T @ model.log_kept + logs[0] + logs[1]
-                doc = np.repeat(np.arange(d), n_after)
-                score += np.bincount(doc, (model.log_alpha + model.log_down)[after], d)
-                keys.append(k.reshape(d, 3))
-                values.append(np.stack([score, logs[2], logs[3]], axis=1))
+            for kind, blob in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if kind == _AFTER_TAIL:
+                    k, score = _arrays(blob, [np.int64, np.float64])
+                    known = rare = np.zeros_like(score)
+                else:
+                    k, few, logs, n_after, after = _arrays(
+                        blob, [np.int64, np.uint32, np.float64, np.uint32, np.uint16]
+                    )
+                    d = len(n_after)
+                    few, (pairs, rare) = few.reshape(CUT + 1, d), logs.reshape(2, d)
+                    known = few[CUT].astype(np.float64)
+                    score = few[:CUT].T @ model.log_kept + pairs
+                    doc = np.repeat(np.arange(d), n_after)
+                    score += np.bincount(doc, (model.log_alpha + model.log_down)[after], d)
+                keys.append(_from_keys(k))
+                values.append(np.stack([score, known, rare], axis=1))
         if keys:
-            yield _by_document(keys, values)
+            unique, total = _by_document(keys, values)
+            ids = pa.array(unique[:, 0], mask=unique[:, 2] >= 2)
+            columns = [pa.array(np.ascontiguousarray(x)) for x in total.T]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(unique[:, 1]), *columns], names=[_ID, _CRC, *_PARTS])
 
     return sums
 
 
-def _context_sums(discount: np.ndarray, down: float):
-    """One partition of the table of contexts: what its tail words give to the documents."""
+def _context_sums(discount: np.ndarray, down: float, partitions: int):
+    """One partition of the table of contexts: what its tail words give to the documents, packed for
+    each bucket of documents."""
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [np.uint64, np.uint32, np.float64, np.int64, np.uint32, np.bool_]
@@ -475,11 +567,13 @@ def _context_sums(discount: np.ndarray, down: float):
             word = np.repeat(at[begin : begin + len(h[0])], h[1])
             begin += len(h[0])
             given = np.where(h[5], log_alpha[word], -log_down[word])
-            keys.append(h[3].reshape(-1, 3))
-            values.append(np.bincount(h[4], given, len(keys[-1])))
-        total = np.concatenate(values)
-        nothing = np.zeros_like(total)
-        yield _by_document(keys, [np.stack([total, nothing, nothing], axis=1)])
+            keys.append(_from_keys(h[3]))
+            values.append(np.bincount(h[4], given, len(keys[-1]))[:, None])
+        unique, total = _by_document(keys, values)
+        bucket = _bucket_of(unique, partitions)
+        order = np.argsort(bucket, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+            yield _blob_row(_AFTER_TAIL, int(bucket[some[0]]), [_keys(unique[some]), total[some, 0]])
 
     return sums
 
@@ -503,8 +597,7 @@ def _doc_rows(model: Model):
                 # Tail words are counted where their places are together.
                 logs = np.where(cur == UNKNOWN, 0.0, log_count[cur])
                 own = -model.log_down[prev]
-                both = (cur < words.dense) & (prev < words.dense)
-                r = model.dense[prev[both].astype(np.int64) * words.dense + cur[both]]
+                both, r = model.known(prev, cur)
                 backed = model.log_alpha[prev[both]] + words.log_p[cur[both]] + model.log_down[prev[both]]
                 own[both] += np.where(r > 0, model.seen_logs(r), backed)
                 yield pa.RecordBatch.from_arrays(
@@ -535,6 +628,7 @@ def fit_and_score(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     training = rows.where(_TRAIN).select(_TEXT)
     counts = rows.select(_TEXT, _TRAIN).mapInArrow(_counted, "h bigint, n bigint, every bigint")
     words = _unigrams(saved(counts.groupBy("h").agg(F.sum("n").alias("n"), F.sum("every").alias("every")), "unigrams"))
+    words = _with_hot_pairs(rows.select(_TEXT, _TRAIN), words)
     dense = np.zeros(words.dense**2, np.int64)
     found = (
         training.mapInArrow(_dense_counter(words), "pair bigint, n bigint").groupBy("pair")
@@ -543,11 +637,11 @@ def fit_and_score(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     dense[found["pair"].to_numpy()] = found["n"].to_numpy()
 
     partitions = max(tasks_for(spark), words.places // TOKENS_PER_TASK + 1)
+    contexts = max(tasks_for(spark), words.tail // TOKENS_PER_TASK + 1)
+    packed = "kind int, bucket int, blob binary"
     dealt = rows.select(_ID, _TEXT, _CRC, _TRAIN).mapInArrow(_dealer(words, partitions), "part int, blob binary")
     answers = saved(
-        dealt.repartitionById(partitions, F.col("part")).mapInArrow(
-            _answerer(words, partitions), "kind int, bucket int, blob binary"
-        ),
+        dealt.repartitionById(partitions, F.col("part")).mapInArrow(_answerer(words, partitions, contexts), packed),
         "answers",
     )
     sums = np.zeros((UNKNOWN + 1, CUT + 3))
@@ -559,12 +653,16 @@ def fit_and_score(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     sums[table["prev"].to_numpy()] = np.stack([table[s].to_numpy() for s in _SUMS], axis=1)
     model = Model(words, dense, sums)
 
-    def parts(kind: int, use) -> DataFrame:
-        some = answers.where(F.col("kind") == kind).select("bucket", "blob")
-        fields = f"{_ID} bigint, {_CRC} bigint, " + ", ".join(f"{k} double" for k in _PARTS)
-        return some.repartitionById(partitions, F.col("bucket")).mapInArrow(use, fields)
-
-    cold = parts(_DOCS, _doc_sums(model)).unionAll(parts(_CONTEXTS, _context_sums(model.discount, words.down)))
+    after_tail = (
+        answers.where(F.col("kind") == _CONTEXTS).select("bucket", "blob")
+        .repartitionById(contexts, F.col("bucket"))
+        .mapInArrow(_context_sums(model.discount, words.down, partitions), packed)
+    )
+    cold = (
+        answers.where(F.col("kind") == _DOCS).unionAll(after_tail)
+        .repartitionById(partitions, F.col("bucket"))
+        .mapInArrow(_doc_sums(model), f"{_ID} bigint, {_CRC} bigint, " + ", ".join(f"{k} double" for k in _PARTS))
+    )
     own = rows.select(_ID, _TEXT, _CRC).mapInArrow(
         _doc_rows(model), f"{_ID} bigint, {_CRC} bigint, n bigint, known bigint, base double, own double"
     )
@@ -615,5 +713,7 @@ def _unigrams(counts: DataFrame) -> Unigrams:
     table = counts.where((step >= limit) | end).toArrow()
     hashes, n, every = table["h"].to_numpy().view(np.uint64), table["n"].to_numpy(), table["every"].to_numpy()
     order = np.lexsort((hashes, -every))
-    dense = min(VOCABULARY, max(DENSE, int((every > TOKENS_PER_TASK).sum())))
-    return Unigrams(hashes[order], n[order], total, distinct, places, dense)
+    return Unigrams(
+        hashes[order], n[order], total, distinct, places, places - int(every.sum()),
+        DENSE, int((every > TOKENS_PER_TASK).sum()),
+    )
