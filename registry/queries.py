@@ -496,8 +496,9 @@ def validate_model_problems(spark, sf_dir):
 
 def _turn_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "conversations").schema
-    files = spark.readStream.schema(schema).option("pathGlobFilter", "conversations.parquet")
-    return files.parquet(sf_dir).select("conv_id", "turn", "text")
+    # As a pattern the path may be one file as well as a folder of files; as a plain path only the latter.
+    files = spark.readStream.schema(schema).parquet(f"{sf_dir}/conversations.parque[t]")
+    return files.select("conv_id", "turn", "text")
 
 
 def _run(stream: DataFrame, name: str) -> DataFrame:

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import tokenframe as tf
 from registry.inputs import ADDRESS
+from registry.queries import QUERIES
 
 from .texts import TEXTS
 
@@ -98,3 +101,16 @@ def test_what_cannot_be_done_is_refused_at_build(spark, source, join_model, tmp_
         tf.write_batches(stream, lambda df: df, "o", "c", fmt="kafka")
     with pytest.raises(ValueError, match="streaming DataFrame"):
         tf.write_batches(source, lambda df: df, "o", "c")
+
+
+@pytest.mark.parametrize("name", ["stream_tokenize_join"])
+def test_a_table_may_be_a_folder_of_files(spark, name, tmp_path):
+    tables = "/root/testdata/sf0.001"
+    if not os.path.isdir(tables):
+        pytest.skip("no test tables")
+    turns = spark.read.parquet(f"{tables}/conversations.parquet")
+    turns.repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    os.symlink(f"{tables}/benchmark.parquet", tmp_path / "benchmark.parquet")
+    found, expected = QUERIES[name](spark, str(tmp_path)), QUERIES[name](spark, tables)
+    assert found.count() == turns.count()
+    assert found.exceptAll(expected).count() == 0
