@@ -103,7 +103,7 @@ def test_what_cannot_be_done_is_refused_at_build(spark, source, join_model, tmp_
         tf.write_batches(source, lambda df: df, "o", "c")
 
 
-@pytest.mark.parametrize("name", ["stream_tokenize_join", "stream_extract"])
+@pytest.mark.parametrize("name", ["stream_tokenize_join", "stream_extract", "stream_tokenize"])
 def test_a_table_may_be_a_folder_of_files(spark, name, tmp_path):
     tables = "/root/testdata/sf0.001"
     if not os.path.isdir(tables):
