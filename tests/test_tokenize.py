@@ -6,6 +6,7 @@ from pyspark.sql import functions as F, types as T
 import tokenframe as tf
 from registry.inputs import DEFINITIONS, WORD_LISTS
 from tokenframe.functions import decode_col, encode_col
+from tokenframe.functions.tokens import definition_type
 from tokenframe.operators import lookup
 
 from . import brute
@@ -185,3 +186,27 @@ def test_unused_outputs_are_pruned(spark, model, tmp_path):
     assert "regexp_extract_all" not in plan("k.raw_value")
     assert "ReadSchema: struct<id:int>" in plan("id")
     assert plan("k.classes").count("regexp_extract_all") == 1
+
+
+def test_ids_and_names_of_a_token_take_its_rules_once(spark, model, capsys):
+    df = spark.createDataFrame([("12 MAIN ST",)], "address string")
+    tf.tokenize(df, "address", model, type_ids=True, class_ids=True).explain()
+    plan = capsys.readouterr().out
+    postal = r"^[\s_-]*[A-Za-z]"
+    # In one transform only, and no id is looked up by its name.
+    assert sum(postal in line for line in plan.splitlines()) == 1
+    assert "transform(__tf_types" not in plan and "transform(__tf_classes" not in plan
+
+
+def test_rules_found_by_halving_are_the_first_that_match(spark):
+    rules = [
+        ("A", "^a"), ("B", "b$|^xb"), ("C", "(^c|d)e"), ("D", "[|^]f"), ("E", "^e|^f"), ("F", "g"), ("G", "^[ab|]+$"),
+    ]
+    tokens = ["a", "ab", "b", "xb", "ce", "xde", "xce", "|f", "e", "xe", "f", "xg", "b|a", "b|", "", "é", "a\nb", "b\n"]
+    df = spark.createDataFrame([(token,) for token in tokens], "t string")
+    t = F.col("t")
+    chain = F
+    for name, regex in rules:
+        chain = chain.when(t.rlike("(?d)" + regex), F.lit(name))
+    for row in df.select("t", definition_type(t, rules).alias("found"), chain.alias("expected")).collect():
+        assert row.found == row.expected, row

@@ -76,23 +76,49 @@ def definition_type(token: Column, definitions, emit: Emit = F.lit) -> Column:
     return _first_match(token, definitions, emit)
 
 
-def _first_match(token: Column, rules, emit: Emit) -> Column:
-    chain = F
-    for name, regex in rules:
-        chain = chain.when(token.rlike(UNIX_LINES + regex), emit(name))
-    return chain
-
-
-def _gate(definitions) -> str | None:
-    """One regex that finds a match wherever a fast rule or a definition does.
+def _first_match(token: Column, rules, emit: Emit, sure: bool = False) -> Column:
+    """The first of the rules that matches, found by halving: one regex tells whether it is in the first half.
 
-    Spares most tokens that match nothing all the single regexes. None when a definition
-    uses something that changes meaning inside an alternation.
+    With ``sure`` the caller knows that one of them matches, so the last one left needs no test.
     """
-    regexes = [FAST_CHARACTERS, *[regex for _, regex in definitions]]
-    if any(re.search(r"\\[1-9kQ]|\(\?[^:=!]", regex) for regex in regexes):
-        return None
-    return UNIX_LINES + "|".join(f"(?:{regex})" for regex in regexes)
+    rules = list(rules)
+    if len(rules) == 1 and sure:
+        return emit(rules[0][0])
+    regexes = [regex for _, regex in rules]
+    if len(rules) == 1 or not all(map(_combines, regexes)):
+        chain = F
+        for name, regex in rules:
+            chain = chain.when(token.rlike(UNIX_LINES + regex), emit(name))
+        return chain
+    if not sure:
+        return F.when(_matches_any(token, regexes), _first_match(token, rules, emit, True))
+    half = len(rules) // 2
+    first, second = (_first_match(token, part, emit, True) for part in (rules[:half], rules[half:]))
+    return F.when(_matches_any(token, regexes[:half]), first).otherwise(second)
+
+
+def _combines(regex: str) -> bool:
+    """Does a regex keep its meaning inside an alternation?"""
+    return not re.search(r"\\[1-9kQ]|\(\?[^:=!]", regex)
+
+
+def _matches_any(token: Column, regexes) -> Column:
+    """Does one of the regexes match? Those that do so at the start of a token only are tried there only."""
+    anchored = [regex for regex in regexes if _is_anchored(regex)]
+    others = [regex for regex in regexes if not _is_anchored(regex)]
+    tests = []
+    if anchored:
+        tests.append(token.rlike(UNIX_LINES + r"\A(?:" + "|".join(anchored) + ")"))
+    if others:
+        tests.append(token.rlike(UNIX_LINES + "|".join(f"(?:{regex})" for regex in others)))
+    return tests[0] if len(tests) == 1 else tests[0] | tests[1]
+
+
+def _is_anchored(regex: str) -> bool:
+    """Every alternative begins with the start of the text; a regex that hides its alternatives does not count."""
+    if "|" not in regex:
+        return regex.startswith("^")
+    return not re.search(r"[(\\]|\[[^\]]*\|", regex) and all(part.startswith("^") for part in regex.split("|"))
 
 
 def known_type(token: Column, model, emit: Emit = F.lit, blanks: bool = True) -> Column:
@@ -111,15 +137,18 @@ def known_type(token: Column, model, emit: Emit = F.lit, blanks: bool = True) ->
         for blank, name in model.blank_types:
             if name is not None:
                 chain = chain.when(token == blank, emit(name))
-    chain = chain.when(token.isin(nameless), F.lit(None))
+    # All of these come before the exclamation mark, and most words do not.
+    chain = chain.when((token < F.lit("!")) & token.isin(nameless), F.lit(None))
     if "ALPHA" in on:
         chain = chain.when(token.rlike(on.pop("ALPHA")), emit("ALPHA"))
     if "NUM" in on:
         # A digit comes before the colon; most words do not, and skip the regex.
         chain = chain.when((token < F.lit(":")) & token.rlike(on.pop("NUM")), emit("NUM"))
-    found = _first_match(token, [*on.items(), *model.definitions], emit)
-    gate = _gate(model.definitions)
-    return chain.otherwise(found) if gate is None else chain.when(token.rlike(gate), found)
+    definitions = _first_match(token, model.definitions, emit)
+    if not on:
+        return chain.otherwise(definitions)
+    fast = _first_match(token, [*on.items(), *model.definitions], emit)
+    return chain.when(token.rlike(FAST_CHARACTERS), fast).otherwise(definitions)
 
 
 def type_expr(token: Column, model, emit: Emit = F.lit, raw: Raw = _itself) -> Column:
@@ -206,12 +235,30 @@ def emit_id(vocab) -> tuple[Emit, Raw]:
     place = {value: i for i, value in enumerate(vocab)}
     return (
         lambda name: F.lit(place[name]).cast("smallint"),
-        lambda token: F.when(token.isin(list(vocab)), value_id(token, vocab)).otherwise(
+        lambda token: F.when(spells_one(token, vocab), value_id(token, vocab)).otherwise(
             F.lit(RAW_ID).cast("smallint")
         ),
     )
 
 
+def spells_one(token: Column, vocab) -> Column:
+    """Is the token one of the names? Blanks and most words lie before or behind all of them."""
+    if not vocab:
+        return F.lit(False)
+    return (token >= F.lit(vocab[0])) & (token <= F.lit(vocab[-1])) & token.isin(list(vocab))
+
+
+def class_id_expr(token: Column, model, type_id: Column) -> Column:
+    """Id of a token's class, where the id of its type is known: listed, or the type's place among the classes."""
+    vocab = model.class_values
+    emit, raw = emit_id(vocab)
+    place = {value: i for i, value in enumerate(vocab)}
+    places = F.array(*[F.lit(place[name]).cast("smallint") for name in model.type_values])
+    of_type = F.when(type_id != RAW_ID, F.get(places, type_id.cast("int")))
+    named = F.coalesce(listed_class(token, model, emit), of_type, raw(token))
+    return F.when(is_blank(token), raw(token)).otherwise(named)
+
+
 def shape_char(place: int) -> str:
     return chr(SHAPE_BASE + place)
 

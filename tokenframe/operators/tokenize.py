@@ -8,6 +8,7 @@ from ..functions import tokens as tk
 from .lookup import lookup_by_join
 
 _TOKENS, _TYPES, _CLASSES = "__tf_tokens", "__tf_types", "__tf_classes"
+_TYPE_IDS, _CLASS_IDS = "__tf_type_ids", "__tf_class_ids"
 _LISTED, _STRUCT = "__tf_listed", "__tf_struct"
 _STRINGS = T.ArrayType(T.StringType())
 _IDS = T.ArrayType(T.ShortType())
@@ -86,12 +87,25 @@ def tokenize(
     found = _listed_by_join(df, col, model) if by_join else df
     # One staged column per array: used several times below, computed once per row.
     staged = found.withColumn(_TOKENS, tk.tokens_col(text))
+    # Where ids and names are both wanted, the rules give ids, which are cheap to turn into names.
     if types or lookup == "join":
-        staged = staged.withColumn(
-            _TYPES, F.transform(_TOKENS, lambda token: tk.type_expr(token, model))
-        )
+        if type_ids:
+            staged = staged.withColumn(_TYPE_IDS, _ids_of_types(model))
+            names = tk.decode_col(F.col(_TYPE_IDS), F.col(_TOKENS), model.type_values)
+        else:
+            names = F.transform(_TOKENS, lambda token: tk.type_expr(token, model))
+        staged = staged.withColumn(_TYPES, names)
     if by_join:
         staged = staged.withColumn(_CLASSES, _classes_with_listed()).drop(_LISTED)
+    elif classes and class_ids:
+        staged = staged.withColumn(
+            _CLASS_IDS,
+            F.zip_with(_TOKENS, _TYPE_IDS, lambda token, kind: tk.class_id_expr(token, model, kind))
+            if types and type_ids
+            else _ids_of_classes(model),
+        )
+        names = tk.decode_col(F.col(_CLASS_IDS), F.col(_TOKENS), model.class_values)
+        staged = staged.withColumn(_CLASSES, names)
     elif classes and types:
         staged = staged.withColumn(
             _CLASSES,
@@ -109,25 +123,23 @@ def tokenize(
         "classes": F.col(_CLASSES),
     }
     if type_ids:
-        vocab = model.type_values
-        emit, raw = tk.emit_id(vocab)
-        values["type_ids"] = (
-            tk.encode_col(F.col(_TYPES), vocab)
-            if types or lookup == "join"
-            else F.transform(_TOKENS, lambda token: tk.type_expr(token, model, emit, raw))
-        )
-    if class_ids:
-        vocab = model.class_values
-        emit, raw = tk.emit_id(vocab)
-        values["class_ids"] = (
-            tk.encode_col(F.col(_CLASSES), vocab)
-            if classes or lookup == "join"
-            else F.transform(
-                _TOKENS, lambda token: tk.class_expr(token, model, emit=emit, raw=raw)
-            )
-        )
+        values["type_ids"] = F.col(_TYPE_IDS) if types or lookup == "join" else _ids_of_types(model)
+    if class_ids and by_join:
+        values["class_ids"] = tk.encode_col(F.col(_CLASSES), model.class_values)
+    elif class_ids:
+        values["class_ids"] = F.col(_CLASS_IDS) if classes else _ids_of_classes(model)
     struct = F.struct(*[values[field.name].alias(field.name) for field in schema])
-    return staged.withColumn(out or col, struct).drop(_TOKENS, _TYPES, _CLASSES)
+    return staged.withColumn(out or col, struct).drop(_TOKENS, _TYPES, _CLASSES, _TYPE_IDS, _CLASS_IDS)
+
+
+def _ids_of_types(model) -> Column:
+    emit, raw = tk.emit_id(model.type_values)
+    return F.transform(_TOKENS, lambda token: tk.type_expr(token, model, emit, raw))
+
+
+def _ids_of_classes(model) -> Column:
+    emit, raw = tk.emit_id(model.class_values)
+    return F.transform(_TOKENS, lambda token: tk.class_expr(token, model, emit=emit, raw=raw))
 
 
 def _listed_by_join(df: DataFrame, col: str, model) -> DataFrame:
