@@ -430,9 +430,10 @@ def check_tokenized(df: DataFrame, col: str, model) -> DataFrame:
     checks: dict[str, Column] = {}
     if "raw_value" in have:
         checks["tokens join to raw_value"] = F.array_join(tokens, "") != s["raw_value"]
-    checks["tokens are not empty"] = F.exists(tokens, lambda t: t == "")
+    checks["tokens are not empty"] = F.array_contains(tokens, "")
+    # A list whose type allows no NULL needs no look.
     checks["lists hold no NULL"] = _any(
-        F.exists(s[name], lambda item: item.isNull()) for name in ["tokens", *lists]
+        F.exists(s[name], lambda item: item.isNull()) for name in ["tokens", *lists] if kind[name].dataType.containsNull
     )
     if lists:
         checks["lists have one length"] = _any(F.size(s[n]) != F.size(tokens) for n in lists)
