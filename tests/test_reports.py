@@ -264,3 +264,14 @@ def test_entries_of_several_tokens_are_counted_in_rows_of_tokens(spark, monkeypa
         assert found[entry] == ("unreachable", 0, n)
     plain = tf.class_coverage(df, "t", m)
     assert plain.columns == ["class", "entry", "status", "n_tokens"] and plain.count() == len(found)
+
+
+def test_tokens_are_counted_before_they_are_looked_up(spark, model, join_model, capsys):
+    rows = [(i % 3, text) for i, text in enumerate([*TEXTS, "12 MAIN ST", "STREETTYPE ST", "NUM_EXTENDED", "RTE\n7"])]
+    df = spark.createDataFrame(rows, "g int, text string")
+    found = tf.class_profile(df, "text", join_model, by="g")
+    expected = tf.class_profile(df, "text", model, by="g")
+    assert sorted(found.collect()) == sorted(expected.collect())
+    assert sorted(tf.class_profile(df, "text", join_model).collect()) == sorted(tf.class_profile(df, "text", model).collect())
+    found.explain()
+    assert "__tf_content" not in capsys.readouterr().out

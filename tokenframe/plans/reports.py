@@ -14,7 +14,7 @@ from ..functions import tokens as tk
 from ..functions.membership import BitmapFilter
 from ..functions.patterns import outline_regex
 from ..operators.extract import cut_by, shape_source
-from ..operators.lookup import element_name
+from ..operators.lookup import SPREAD, element_name
 from ..operators.tokenize import string_column, tokenize
 from ..sources.storage import written_once
 
@@ -59,13 +59,10 @@ def class_profile(
     vocab = model.class_values if kind == "class" else model.type_values
     emit, raw = tk.emit_id(vocab)
     blank = F.lit(_BLANK_ID).cast("smallint")
+    tokens = df.select(*keys, tk.tokens_col(string_column(df, col)).alias(TOKENS))
     if not model.inline and kind == "class":
-        tokens = _arrays(df, col, model, *keys)
-        ids = F.transform(
-            f"{_STRUCT}.classes", lambda c: F.when(tk.is_blank(c), blank).otherwise(tk.value_id(c, vocab))
-        )
+        counts = _class_counts_by_join(tokens, keys, model)
     else:
-        tokens = df.select(*keys, tk.tokens_col(string_column(df, col)).alias(TOKENS))
 
         def token_id(token: Column) -> Column:
             if kind == "class":
@@ -75,9 +72,9 @@ def class_profile(
             )
 
         ids = F.transform(TOKENS, token_id)
-    # The outer explode keeps Spark from adding a non-empty check that would classify twice.
-    each = tokens.select(*keys, F.explode_outer(ids).alias(_ID))
-    counts = each.where(F.col(_ID).isNotNull()).groupBy(*keys, _ID).agg(F.count("*").alias("n_tokens"))
+        # The outer explode keeps Spark from adding a non-empty check that would classify twice.
+        each = tokens.select(*keys, F.explode_outer(ids).alias(_ID))
+        counts = each.where(F.col(_ID).isNotNull()).groupBy(*keys, _ID).agg(F.count("*").alias("n_tokens"))
     names = F.array(*[F.lit(v) for v in vocab])
     label = (
         F.when(F.col(_ID) == _BLANK_ID, BLANK_LABEL)
@@ -90,6 +87,28 @@ def class_profile(
     )
 
 
+def _class_counts_by_join(tokens: DataFrame, keys: list[str], model) -> DataFrame:
+    """``(keys…, id, n_tokens)``, with word lists looked up by join.
+
+    Tokens are counted before they are classified: a token of a group is one row for each task, is joined
+    once with the entries, of which each is one row, and takes the rules once. Blanks need no join.
+    """
+    emit, raw = tk.emit_id(model.class_values)
+    token = F.col("token")
+    each = tokens.select(*keys, F.explode_outer(TOKENS).alias("token")).where(token.isNotNull())
+    # A token that many groups have is spread over salts, and every salt finds a copy of its entry.
+    counted = _token_counts(each, keys).withColumn(_PART, F.pmod(F.xxhash64(*keys, F.lit(0)), F.lit(SPREAD)))
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint")))
+    entries = model.classes.select(element_name(F.col("entry")).alias(_NAME), "class", salts.alias(_RANK))
+    found = ~tk.is_blank(token) & (element_name(token) == F.col(_NAME)) & (F.col(_PART) == F.col(_RANK))
+    joined = counted.join(entries, found, "left")
+    listed = F.when(F.col("class").isNotNull(), tk.value_id(F.col("class"), model.class_values))
+    blank = F.lit(_BLANK_ID).cast("smallint")
+    # ``type_expr`` with ids of classes: a token that spells a class name counts as it.
+    label = F.when(tk.is_blank(token), blank).otherwise(F.coalesce(listed, tk.type_expr(token, model, emit, raw)))
+    return joined.groupBy(*keys, label.alias(_ID)).agg(F.sum("n_tokens").alias("n_tokens"))
+
+
 def shape_profile(df: DataFrame, col: str, model, k: int) -> DataFrame:
     """``(shape, n_rows, example)``: the k commonest class sequences.
 
