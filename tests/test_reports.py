@@ -275,3 +275,13 @@ def test_tokens_are_counted_before_they_are_looked_up(spark, model, join_model,
     assert sorted(tf.class_profile(df, "text", join_model).collect()) == sorted(tf.class_profile(df, "text", model).collect())
     found.explain()
     assert "__tf_content" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("by", ["g"])
+def test_pruning_applies_the_rules_once(spark, model, by, capsys):
+    df = spark.createDataFrame([(i % 3, text) for i, text in enumerate(TEXTS)], "g int, text string")
+    found = tf.unknown_tokens(df, "text", model, 3, by=by, prune=True)
+    found.explain()
+    assert "regexp_extract_all" not in capsys.readouterr().out
+    expected = tf.unknown_tokens(df, "text", model, 3, by=by)
+    assert sorted(found.collect()) == sorted(expected.collect())

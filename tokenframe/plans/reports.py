@@ -195,13 +195,16 @@ def unknown_tokens(
 
     ``level="type"`` asks for tokens whose type is the token itself, ``"class"`` leaves
     out those that a word list covers. ``n_keys`` counts the distinct keys they occur in.
-    With ``by`` there are k tokens per group. ``prune`` reads the texts three times instead of once and
-    shuffles only tokens that may be among the first k; the result is the same.
+    With ``by`` there are k tokens per group. ``prune`` writes the unknown tokens of each row once, reads them
+    three times and shuffles only tokens that may be among the first k; the result is the same.
     """
     if level not in ("type", "class"):
         raise ValueError(f"unknown level {level!r}, expected type or class")
     keys = _names(by)
     arrays = _unknown_arrays(df, col, model, list(dict.fromkeys([*keys, *_names(key)])), level)
+    if prune:
+        # Read three times, so the rules run once and only the tokens they leave are written.
+        arrays = written_once(arrays.where(F.size(_UNKNOWN) > 0), "unknown")
     each = arrays.select(*keys, F.explode_outer(_UNKNOWN).alias("token")).where("token IS NOT NULL")
     counts = _pruned_counts(each, keys, k) if prune else _token_counts(each, keys)
     top = _first_k(counts, keys, k)
