@@ -277,7 +277,7 @@ def test_tokens_are_counted_before_they_are_looked_up(spark, model, join_model,
     assert "__tf_content" not in capsys.readouterr().out
 
 
-@pytest.mark.parametrize("by", ["g"])
+@pytest.mark.parametrize("by", ["g", None])
 def test_pruning_applies_the_rules_once(spark, model, by, capsys):
     df = spark.createDataFrame([(i % 3, text) for i, text in enumerate(TEXTS)], "g int, text string")
     found = tf.unknown_tokens(df, "text", model, 3, by=by, prune=True)
