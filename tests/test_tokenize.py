@@ -210,3 +210,15 @@ def test_rules_found_by_halving_are_the_first_that_match(spark):
         chain = chain.when(t.rlike("(?d)" + regex), F.lit(name))
     for row in df.select("t", definition_type(t, rules).alias("found"), chain.alias("expected")).collect():
         assert row.found == row.expected, row
+
+
+def test_places_of_a_class_travel_as_bits(spark, model, join_model, capsys):
+    words = ["ST", "the", "N", "x", "12", "a.b"]
+    texts = [" ".join(words[(i * k) % 6] for i in range(n)) for k, n in ((1, 31), (1, 32), (5, 33), (1, 200), (4, 129))]
+    rows = [(i, text) for i, text in enumerate([*texts, *texts[:2], "x " * 90 + "ST", "", None])]
+    df = spark.createDataFrame(rows, "id int, address string")
+    for options in ({"types": False}, {"type_ids": True, "class_ids": True}):
+        found = tf.tokenize(df, "address", join_model, **options)
+        assert by_id(found) == by_id(tf.tokenize(df, "address", model, **options))
+    tf.tokenize(df, "address", join_model, types=False).explain()
+    assert "bit_or" in capsys.readouterr().out

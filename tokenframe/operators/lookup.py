@@ -29,7 +29,9 @@ NAME_BYTES = 64
 
 _CONTENT, _SALT, _HITS = "__tf_content", "__tf_salt", "__tf_hits"
 _POS, _VALUE, _HIT = "__tf_pos", "__tf_value", "__tf_hit"
-_TEXT, _SALTS = "__tf_text", "__tf_salts"
+_TEXT, _SALTS, _BITS = "__tf_text", "__tf_salts", "__tf_bits"
+#: Places whose payloads travel together, a bit each.
+BLOCK = 64
 
 
 def lookup_by_join(
@@ -41,12 +43,14 @@ def lookup_by_join(
     payload: str,
     out: str,
     skip: Callable[[Column], Column] | None = None,
+    few: bool = False,
 ) -> DataFrame:
     """Add ``out``: for each element of ``elements_of(col)`` its ``payload``, or NULL.
 
     ``table`` has unique, non-NULL values. Elements for which ``skip`` holds are not
-    looked up. ``out`` ends with the last element found; ``zip_with`` fills up the rest. A stream is
-    refused: the join back needs a batch, as ``write_batches`` gives it.
+    looked up. ``out`` ends with the last element found, or up to a block later; ``zip_with`` fills up the rest,
+    or the caller cuts it. ``few`` says that many elements share a payload, as classes are shared: their places
+    then travel as bits. A stream is refused: the join back needs a batch, as ``write_batches`` gives it.
     """
     if df.isStreaming:
         raise ValueError(
@@ -63,8 +67,13 @@ def lookup_by_join(
     copied = texts.join(F.broadcast(frequent), _CONTENT, "left_semi").dropDuplicates([_CONTENT])
     hits = _found(rare, elements_of, named, skip).unionByName(_found(copied, elements_of, named, skip))
     # Bounded by the length of one row's array; rare copies bring the same hits again.
-    packed = hits.groupBy(_CONTENT).agg(F.array_sort(F.collect_set(F.struct(_POS, _HIT))).alias(_HITS))
-    dense = F.coalesce(_dense(F.col(_HITS), kind), F.array().cast(T.ArrayType(kind)))
+    if few:
+        packed = _blocks(hits).groupBy(_CONTENT).agg(F.array_sort(F.collect_list(F.struct(_POS, _HIT))).alias(_HITS))
+        dense = _from_blocks(_dense(F.col(_HITS), packed.schema[_HITS].dataType.elementType[_HIT].dataType), kind)
+    else:
+        packed = hits.groupBy(_CONTENT).agg(F.array_sort(F.collect_set(F.struct(_POS, _HIT))).alias(_HITS))
+        dense = _dense(F.col(_HITS), kind)
+    dense = F.coalesce(dense, F.array().cast(T.ArrayType(kind)))
     return _join_back(rows, packed, frequent).withColumn(out, dense).drop(_CONTENT, _HITS)
 
 
@@ -124,3 +133,30 @@ def _dense(hits: Column, kind: T.DataType) -> Column:
         return F.concat(F.array_repeat(nothing, hit[_POS] - before - 1), F.array(hit[_HIT]))
 
     return F.flatten(F.transform(hits, step))
+
+
+def _blocks(hits: DataFrame) -> DataFrame:
+    """``(content, pos, hit)`` for blocks of places: ``hit`` has the block's payloads, each with its places as bits.
+
+    Bits are of fixed width and combined in the task, so a payload's row stands for all its places in a block,
+    and those that copies bring again add nothing.
+    """
+    block = F.expr(f"{_POS} DIV {BLOCK}").cast("int").alias(_POS)
+    bit = F.expr(f"shiftleft(1L, {_POS} % {BLOCK})")
+    masks = hits.select(_CONTENT, block, _HIT, bit.alias(_BITS)).groupBy(_CONTENT, _POS, _HIT).agg(F.bit_or(_BITS).alias(_BITS))
+    return masks.groupBy(_CONTENT, _POS).agg(F.collect_list(F.struct(_HIT, _BITS)).alias(_HIT))
+
+
+def _from_blocks(blocks: Column, kind: T.DataType) -> Column:
+    """Payloads of all places, NULL where there is none. A place has one payload, so their order is of no account."""
+    places = F.sequence(F.lit(0), F.lit(BLOCK - 1))
+    nothing = F.lit(None).cast(kind)
+    has = lambda hit, place: F.bit_get(hit[_BITS], place) == 1
+
+    def spread(hits: Column) -> Column:
+        one = F.get(hits, F.lit(0))
+        single = F.transform(places, lambda place: F.when(has(one, place), one[_HIT]))
+        several = F.transform(places, lambda place: F.get(F.filter(hits, lambda hit: has(hit, place)), F.lit(0))[_HIT])
+        return F.when(hits.isNull(), F.array_repeat(nothing, BLOCK)).when(F.size(hits) == 1, single).otherwise(several)
+
+    return F.flatten(F.transform(blocks, spread))

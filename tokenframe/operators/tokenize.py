@@ -88,7 +88,7 @@ def tokenize(
     # One staged column per array: used several times below, computed once per row.
     staged = found.withColumn(_TOKENS, tk.tokens_col(text))
     # Where ids and names are both wanted, the rules give ids, which are cheap to turn into names.
-    if types or lookup == "join":
+    if types:
         if type_ids:
             staged = staged.withColumn(_TYPE_IDS, _ids_of_types(model))
             names = tk.decode_col(F.col(_TYPE_IDS), F.col(_TOKENS), model.type_values)
@@ -96,7 +96,7 @@ def tokenize(
             names = F.transform(_TOKENS, lambda token: tk.type_expr(token, model))
         staged = staged.withColumn(_TYPES, names)
     if by_join:
-        staged = staged.withColumn(_CLASSES, _classes_with_listed()).drop(_LISTED)
+        staged = staged.withColumn(_CLASSES, _classes_with_listed(model, types)).drop(_LISTED)
     elif classes and class_ids:
         staged = staged.withColumn(
             _CLASS_IDS,
@@ -123,7 +123,7 @@ def tokenize(
         "classes": F.col(_CLASSES),
     }
     if type_ids:
-        values["type_ids"] = F.col(_TYPE_IDS) if types or lookup == "join" else _ids_of_types(model)
+        values["type_ids"] = F.col(_TYPE_IDS) if types else _ids_of_types(model)
     if class_ids and by_join:
         values["class_ids"] = tk.encode_col(F.col(_CLASSES), model.class_values)
     elif class_ids:
@@ -145,14 +145,20 @@ def _ids_of_classes(model) -> Column:
 def _listed_by_join(df: DataFrame, col: str, model) -> DataFrame:
     """Classes of the tokens in word lists, for tokens that may be in one."""
     skip = lambda token: tk.cannot_be_listed(token, model)
-    return lookup_by_join(df, col, tk.tokens_col, model.classes, "entry", "class", _LISTED, skip)
+    return lookup_by_join(df, col, tk.tokens_col, model.classes, "entry", "class", _LISTED, skip, few=True)
 
 
-def _classes_with_listed() -> Column:
-    unlisted = F.zip_with(
+def _classes_with_listed(model, typed: bool) -> Column:
+    # What is found comes in blocks and may end behind the last token.
+    listed = F.slice(_LISTED, F.lit(1), F.size(_TOKENS))
+    if not typed:
+        # Only tokens that are in no list take the rules.
+        unlisted = lambda token: F.when(tk.is_blank(token), token).otherwise(tk.type_expr(token, model))
+        return F.zip_with(_TOKENS, listed, lambda token, hit: F.coalesce(hit, unlisted(token)))
+    types = F.zip_with(
         _TOKENS, _TYPES, lambda token, kind: F.when(tk.is_blank(token), token).otherwise(kind)
     )
-    return F.zip_with(unlisted, _LISTED, lambda other, listed: F.coalesce(listed, other))
+    return F.zip_with(types, listed, lambda other, hit: F.coalesce(hit, other))
 
 
 def tokens_long(df: DataFrame, key: str | list[str], col: str, model) -> DataFrame:
