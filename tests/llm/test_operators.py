@@ -214,6 +214,22 @@ def test_equal_windows_of_a_document_go_once():
     assert found.tolist() == [20 * k + j for k in range(500) for j in range(8)]
 
 
+def test_rows_travel_packed_and_once(spark, docs, tmp_path):
+    """No join carries plain texts, and a packed row holds its text once."""
+    docs.write.parquet(f"{tmp_path}/docs")
+    cut = substrings.without_repeats(spark.read.parquet(f"{tmp_path}/docs"), "doc_id", "text")
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("- Exchange") == 2
+    dealt = [line for line in plan.splitlines() if "MapInArrow deal" in line and "c0" in line]
+    assert len(dealt) == 1 and "__s_text" not in dealt[0]
+    columns = {"__s_id": pa.array([1, None]), "t": pa.array(["a b", "c"]), "__s_row": pa.array([5, 6])}
+    batch = pa.RecordBatch.from_pydict(columns)
+    packed = pa.Table.from_batches(substrings._packed_rows(3)(iter([batch])))
+    blobs = pa.RecordBatch.from_pydict({"kind": [substrings._OF_ROWS] * len(packed), "blob": packed["blob"].combine_chunks()})
+    back = [row for own, places in substrings._with_places(iter([blobs])) for row in own.to_pylist()]
+    assert sorted(back, key=str) == sorted(batch.to_pylist(), key=str)
+
+
 def test_splits_keep_windows_together():
     rng = np.random.default_rng(1)
     import pyarrow as pa

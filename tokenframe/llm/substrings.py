@@ -14,6 +14,7 @@ prefixes as for a prefix-partitioned suffix tree, but no tree is built and no su
    places inside them.
    Groups are packed into partitions of about ``SUFFIXES_PER_TASK`` suffixes.
 3. A partition sorts the hashes of its windows. In each run of one window, the smallest document is found, and the others' places go back to their documents.
+   Documents and places meet in partitions by id, the rows of documents packed and compressed as the places are.
    Neighbouring places merge there into longer passages, which are cut out.
 4. Windows that are frequent in the sample, a fixed number, are leaves that need no subtree: their
    smallest documents are found by a plain aggregate, and each document compares for itself.
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -47,6 +49,8 @@ SUFFIXES_PER_TASK = 4_000_000
 FLUSH_BYTES = 8 << 20
 
 _ID, _TEXT, _ROW, _PLACES = "__s_id", "__s_text", "__s_row", "__s_places"
+#: What a blob holds; places stand before the rows they are for.
+_OF_PLACES, _OF_ROWS = 0, 1
 
 
 def _member(values: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -247,6 +251,11 @@ def _open(blob: bytes) -> tuple[np.ndarray, ...]:
     return hashes, ids, rows, counts, places
 
 
+def _home(keys: np.ndarray, partitions: int) -> np.ndarray:
+    """The partition in which a document meets its places."""
+    return (mixed(keys.astype(np.uint64)) % np.uint64(partitions)).astype(np.int32)
+
+
 def _subtree(partitions: int):
     """Places (by document) of windows that stand in a document with a smaller id too,
     packed for the partition that gathers what its documents get."""
@@ -266,7 +275,7 @@ def _subtree(partitions: int):
         own = ids[doc[order]]
         smallest = np.repeat(np.minimum.reduceat(own, node), np.diff([*node, len(own)]))
         hit = np.sort(order[own > smallest])
-        target = (mixed(ids.astype(np.uint64)) % np.uint64(partitions)).astype(np.int64)[doc[hit]]
+        target = _home(ids, partitions).astype(np.int64)[doc[hit]]
         hit = hit[np.argsort(target, kind="stable")]
         target = np.sort(target)
         packer = zstandard.ZstdCompressor(level=1)
@@ -322,12 +331,68 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _cutter(columns: list[str], splits: Splits, hot: np.ndarray, first: np.ndarray, with_text: bool):
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed_rows(partitions: int):
+    """Rows (partition, blob): the rows of documents that go to a partition."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = texts_of(batch.column(batch.schema.get_field_index(_TEXT)))
-            ids = batch.column(batch.schema.get_field_index(_ID)).to_pylist()
-            back = batch.column(batch.schema.get_field_index(_PLACES))
+            ids, rows = batch.column(_ID), batch.column(_ROW)
+            # Documents without an id have no places to meet.
+            target = _home(pc.coalesce(ids, rows).to_numpy(zero_copy_only=False), partitions)
+            order = np.argsort(target, kind="stable")
+            target, dealt = target[order], batch.take(pa.array(order))
+            cuts = (np.flatnonzero(np.diff(target)) + 1).tolist()
+            for x, y in zip([0, *cuts], [*cuts, len(target)], strict=True):
+                if x == y:
+                    continue
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema) as stream:
+                    stream.write_batch(dealt.slice(x, y - x))
+                blob = packer.compress(sink.getvalue())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([target[x]], pa.int32()), pa.array([blob], pa.binary())], names=["part", "blob"]
+                )
+
+    return deal
+
+
+def _with_places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Rows of documents, some ``FLUSH_BYTES`` at a time, and the places of each."""
+    packed: list[bytes] = []
+    places: dict[tuple[int, int], bytes] = {}
+    held, size = [], 0
+
+    def joined() -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+        for own in pa.Table.from_batches(held).combine_chunks().to_batches():
+            keys = zip(own.column(_ID).to_pylist(), own.column(_ROW).to_pylist(), strict=True)
+            yield own, [places.get(key) for key in keys]
+
+    for batch in batches:
+        for kind, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if kind == _OF_PLACES:
+                packed.append(blob)
+                continue
+            if packed:
+                blobs = pa.array(packed, pa.binary())
+                found = _gathered(iter([pa.RecordBatch.from_arrays([blobs, blobs], names=["part", "blob"])]))
+                for some in found:
+                    places.update(zip(zip(*(c.to_pylist() for c in some.columns[:2]), strict=True), some[2].to_pylist(), strict=True))
+                packed = []
+            held += pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(blob))
+            size += held[-1].nbytes
+            if size >= FLUSH_BYTES:
+                yield from joined()
+                held, size = [], 0
+    if held:
+        yield from joined()
+
+
+def _cutter(columns: list[str], text: str, splits: Splits, hot: np.ndarray, first: np.ndarray, with_text: bool):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, back in _with_places(batches):
+            texts = texts_of(batch.column(text))
+            ids = batch.column(_ID).to_pylist()
             for lo, hi in slices(texts):
                 words = words_in(texts, lo, hi)
                 hashes, at = words.windows(WINDOW)
@@ -340,7 +405,7 @@ def _cutter(columns: list[str], splits: Splits, hot: np.ndarray, first: np.ndarr
                     own = np.array([np.iinfo(np.int64).min if x is None else x for x in ids[lo:hi]], np.int64)
                     later = own[docs] > first[np.searchsorted(hot, hashes[hit])]
                     marks.append(at[hit][later])
-                for d, places in enumerate(back[lo:hi].to_pylist()):
+                for d, places in enumerate(back[lo:hi]):
                     if places:
                         marks.append(_all_like(words, hashes, at, d, np.frombuffer(places, np.uint32)))
                 if marks:
@@ -408,17 +473,21 @@ def cut_repeats(docs: DataFrame, doc_id: str, text: str, keep: list[str], with_t
     placed = dealt.repartitionById(splits.partitions, F.col("part")).mapInArrow(
         _subtree(splits.partitions), "part int, blob binary"
     )
-    back = placed.repartitionById(splits.partitions, F.col("part")).mapInArrow(
-        _gathered, f"{_ID} bigint, {_ROW} bigint, {_PLACES} binary"
+    # A text that stands in a column to keep goes along once.
+    carried = tagged.drop(_TEXT) if text in keep else tagged
+    packed = carried.mapInArrow(_packed_rows(splits.partitions), "part int, blob binary")
+    met = placed.select("part", F.lit(_OF_PLACES).alias("kind"), "blob").unionAll(
+        packed.select("part", F.lit(_OF_ROWS).alias("kind"), "blob")
     )
-    joined = tagged.join(back, [_ID, _ROW], "left").select(*[F.col(f"`{c}`") for c in keep], _ID, _TEXT, _PLACES)
+    met = met.repartitionById(splits.partitions, F.col("part")).sortWithinPartitions("kind").select("kind", "blob")
     fields = [T.StructField(docs.schema[c].name, docs.schema[c].dataType) for c in keep] + [
         T.StructField("__s_n_words", T.LongType()),
         T.StructField("__s_n_removed", T.LongType()),
         T.StructField("__s_sha256", T.StringType()),
         *[T.StructField("__s_kept", T.StringType())] * with_text,
     ]
-    return joined.mapInArrow(_cutter(keep, splits, hot, first, with_text), T.StructType(fields))
+    own = text if text in keep else _TEXT
+    return met.mapInArrow(_cutter(keep, own, splits, hot, first, with_text), T.StructType(fields))
 
 
 def substring_report(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
