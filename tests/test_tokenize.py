@@ -7,7 +7,7 @@ import tokenframe as tf
 from registry.inputs import DEFINITIONS, WORD_LISTS
 from tokenframe.functions import decode_col, encode_col
 from tokenframe.functions.tokens import definition_type
-from tokenframe.operators import lookup
+from tokenframe.operators import dictionary as dictionary_module, lookup
 
 from . import brute
 from .texts import TEXTS
@@ -169,6 +169,24 @@ def test_dictionary(spark, how, monkeypatch):
     assert back.exceptAll(df).count() == df.exceptAll(back).count() == 0
 
 
+def test_common_values_of_a_dictionary_are_not_joined(spark, monkeypatch):
+    left = []
+
+    def spied(df, col, elements_of, table, value, payload, out, skip):
+        items = df.select(F.explode(col).alias("item")).where("item IS NOT NULL")
+        left.append({row.item for row in items.where(~skip(F.col("item"))).collect()})
+        return lookup.lookup_by_join(df, col, elements_of, table, value, payload, out, skip)
+
+    monkeypatch.setattr(dictionary_module, "COMMON", 2)
+    monkeypatch.setattr(dictionary_module, "lookup_by_join", spied)
+    rows = [(1, ["a", "b", "c", None]), (2, ["b", "a"]), (3, ["b", "d", "a"]), (4, ["b", "a", "d"]), (5, None), (6, [])]
+    df = spark.createDataFrame(rows, "id int, items array<string>")
+    names, encoded = tf.dictionary_encode(df, "items")
+    back = tf.dictionary_decode(encoded, "items", names)
+    assert back.exceptAll(df).count() == df.exceptAll(back).count() == 0
+    assert left == [{"c", "d"}, {2, 3}]
+
+
 def test_plan_has_no_shuffle_and_no_python(frame, model, table_model):
     for m in (model, table_model):
         plan = tf.tokenize(frame, "address", m)._jdf.queryExecution().executedPlan().toString()
