@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 import tokenframe as tf
 from registry.inputs import ADDRESS, DEFINITIONS, WORD_LISTS
 
+from tokenframe.functions import tokens as tk
 from tokenframe.plans import reports
 
 from . import brute
@@ -285,3 +288,33 @@ def test_pruning_applies_the_rules_once(spark, model, by, capsys):
     assert "regexp_extract_all" not in capsys.readouterr().out
     expected = tf.unknown_tokens(df, "text", model, 3, by=by)
     assert sorted(found.collect()) == sorted(expected.collect())
+
+
+@pytest.mark.parametrize("level", ["type", "class"])
+def test_pruning_reads_a_text_once(spark, model, level, monkeypatch):
+    plans, write = [], reports.written_once
+    monkeypatch.setattr(reports, "written_once", lambda df, name: plans.append(_plan(df)) or write(df, name))
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "id int, text string")
+    found = tf.unknown_tokens(df, "text", model, 3, key="id", level=level, prune=True)
+    assert sum(plan.count("regexp_extract_all") for plan in [*plans, _plan(found)]) == 1
+    expected = tf.unknown_tokens(df, "text", model, 3, key="id", level=level)
+    assert found.collect() == expected.collect()
+
+
+@pytest.mark.parametrize("on", [{"ALPHA", "NUM"}, {"ALPHA"}, {"NUM"}, set()])
+def test_only_plain_words_before_a_blank_are_stepped_over(spark, on):
+    m = tf.Model.from_values(spark, [d for d in DEFINITIONS if d[0] in on or d[0] not in ("ALPHA", "NUM")], WORD_LISTS)
+    rnd = random.Random(5)
+    pieces = ["a", "Zb", "7", "é", "!", "'", "\x0b", "\u00a0", "\U0001f600", " ", "  ", "\n", "\t\r\f"]
+    texts = ["".join(rnd.choices(pieces, k=rnd.randrange(12))) for _ in range(400)]
+    texts += [*filter(None, TEXTS), "ab 12 " * 100_000 + "é", "ab " * 100_000, " " * 300_000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select("t", tk.maybe_unknown_col(F.col("t"), m).alias("found")).collect()
+    plain = re.compile("|".join([*["[A-Za-z]+"] * ("ALPHA" in on), *["[0-9]+"] * ("NUM" in on), "(?!)"]))
+    for text, tokens in found:
+        words = re.findall(r"[^ \t\n\r\f]+", text)
+        known = [bool(plain.fullmatch(word)) for word in words]
+        # The last word has no blank behind it, so the rules see it.
+        open_end = bool(words) and text.endswith(words[-1])
+        last = len(words) - 1
+        assert [t for t in tokens if t] == [w for i, w in enumerate(words) if not known[i] or open_end and i == last]

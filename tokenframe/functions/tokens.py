@@ -34,6 +34,8 @@ FAST_RULES = {
     "ALPHA_NUM_EXTENDED": r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9'-]+\z",
 }
 RAW_ID = 255
+# Fast rules that a token meets by its characters alone.
+PLAIN_RULES = {"ALPHA": "[A-Za-z]++", "NUM": "[0-9]++"}
 
 # Any token that a fast rule matches consists of these.
 FAST_CHARACTERS = r"^[A-Za-z0-9\s'_-]+\z"
@@ -57,6 +59,17 @@ def tokens_col(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(SPLIT_PATTERN), F.lit(0))
 
 
+def maybe_unknown_col(text: Column, model) -> Column:
+    """The tokens of a text that a model may have no name for, in order, and an empty one at its end.
+
+    One regex steps over blanks and over plain words before a blank, so these never become tokens. Its parts
+    are possessive: a long run of plain words is walked once, without recursion.
+    """
+    plain = "|".join(regex for name, regex in PLAIN_RULES.items() if name in model.names)
+    known = rf"(?:(?:{plain})?+[ \t\n\r\f]++)*+"
+    return F.regexp_extract_all(text, F.lit(rf"{known}([^ \t\n\r\f]*+)"), F.lit(1))
+
+
 def is_blank(token: Column) -> Column:
     """All whitespace in the Unicode sense, or empty.
 

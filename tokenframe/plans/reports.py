@@ -203,8 +203,9 @@ def unknown_tokens(
     keys = _names(by)
     arrays = _unknown_arrays(df, col, model, list(dict.fromkeys([*keys, *_names(key)])), level)
     if prune:
-        # Read three times, so the rules run once and only the tokens they leave are written.
-        arrays = written_once(arrays.where(F.size(_UNKNOWN) > 0), "unknown")
+        # Read three times, so the rules run once and only the tokens they leave are written. Rows without one
+        # are written too: a filter on the array would be pushed below it, and the rules would run twice.
+        arrays = written_once(arrays, "unknown")
     each = arrays.select(*keys, F.explode_outer(_UNKNOWN).alias("token")).where("token IS NOT NULL")
     counts = _pruned_counts(each, keys, k) if prune else _token_counts(each, keys)
     top = _first_k(counts, keys, k)
@@ -214,8 +215,11 @@ def unknown_tokens(
     # A token is unknown wherever it stands, so the first ones are found again without the rules.
     names = [row[0] for row in top.select(element_name(F.col("token"))).distinct().limit(LISTED + 1).collect()]
     if len(names) <= LISTED:
-        tokens = F.filter(tk.tokens_col(string_column(df, col)), lambda t: element_name(t).isin(names))
-        arrays = df.select(*[F.col(f"`{name}`") for name in dict.fromkeys([*keys, key])], tokens.alias(_UNKNOWN))
+        tokens = F.col(_UNKNOWN)
+        if not prune:
+            arrays, tokens = df, tk.maybe_unknown_col(string_column(df, col), model)
+        tokens = F.filter(tokens, lambda t: element_name(t).isin(names))
+        arrays = arrays.select(*[F.col(f"`{name}`") for name in dict.fromkeys([*keys, key])], tokens.alias(_UNKNOWN))
     return _with_n_keys(top, arrays, keys, key)
 
 
@@ -233,7 +237,7 @@ def _unknown_arrays(df: DataFrame, col: str, model, keep: list[str], level: str)
             lambda p: p["tokens"],
         )
     else:
-        arrays = df.select(*keep, tk.tokens_col(string_column(df, col)).alias(TOKENS))
+        arrays = df.select(*keep, tk.maybe_unknown_col(string_column(df, col), model).alias(TOKENS))
 
         def is_unknown(token: Column) -> Column:
             known = lambda _: F.lit(False)
@@ -285,7 +289,9 @@ def _pruned_counts(each: DataFrame, keys: list[str], k: int) -> DataFrame:
 
     def counted(kept: DataFrame) -> DataFrame:
         kept = _broadcast_if_small(kept.select(*keys, _PART))
-        return _token_counts(each.join(kept, _same(each, kept, [*keys, _PART]), "left_semi"), keys)
+        # A bucket is never NULL.
+        same = _same(each, kept, keys) & (each[_PART] == kept[_PART])
+        return _token_counts(each.join(kept, same, "left_semi"), keys)
 
     within = Window.partitionBy(*keys)
     fullest = F.row_number().over(within.orderBy(F.desc("n"), _PART))
